@@ -1,0 +1,25 @@
+"""Joining a large table with one that is expected, but not known, to be small."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 10_000
+
+
+def join_small(
+    large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Broadcast `small` if it really has at most `max_rows` rows, else leave the join to Catalyst.
+
+    The check computes `small` once and the fetched rows are what gets broadcast, so it costs no second
+    pass over whatever `small` is derived from.
+    """
+    rows = small.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return large.join(small, list(on), how)
+    fixed = large.sparkSession.createDataFrame(rows, small.schema)
+    return large.join(F.broadcast(fixed), list(on), how)
