@@ -162,11 +162,10 @@ def _variant(template: str):
     return F.format_string(text, *[columns[m].cast("string") for m in marks]) if marks else F.lit(text)
 
 
-def broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def broken_config(spark: SparkSession, sf_dir: str) -> LogConfig:
     """The same log with some payloads damaged, written once."""
 
     def build(path: str) -> None:
-        body = F.lit(None).cast("string")
         case = F.col("event_id") % 50
         chosen = None
         for number, template in BROKEN.items():
@@ -176,7 +175,11 @@ def broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         append_to_file_log(_as_records(_positioned(spark, sf_dir), body), path)
 
     path = once(spark, "broken-log", sf_dir, build)
-    return read_log_batch(spark, LogConfig(TOPIC, format="parquet", path=path))
+    return LogConfig(TOPIC, format="parquet", path=path)
+
+
+def broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_log_batch(spark, broken_config(spark, sf_dir))
 
 
 # --- the lake --------------------------------------------------------------------------------------

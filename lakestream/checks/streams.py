@@ -9,7 +9,7 @@ from lakestream.checks.etl import SQL_WINDOWS
 from lakestream.checks.fixture import (
     RULES,
     SQL_LOG,
-    broken_log,
+    broken_config,
     check,
     log_config,
     once,
@@ -22,7 +22,8 @@ from lakestream.plans.etl import flagged_readings, run_etl, statistics
 from lakestream.plans.lake import Lake, run_lake
 from lakestream.schemas import CURATED_ZONE, RAW_ZONE
 from lakestream.session import scratch_path, streaming_session
-from lakestream.sources.log import LogConfig, read_log_stream
+from lakestream.sinks.batch import write_batch
+from lakestream.sources.log import read_log_stream
 from lakestream.sources.zones import read_or_empty, read_stream_output
 from lakestream.streaming import writers
 from lakestream.streaming.supervise import ProgressTotals, run_queries
@@ -30,11 +31,6 @@ from lakestream.streaming.supervise import ProgressTotals, run_queries
 WITH_LOG = f"WITH {SQL_LOG}"
 
 
-def _broken_config(spark: SparkSession, sf: str) -> LogConfig:
-    files = broken_log(spark, sf).inputFiles()
-    return LogConfig("sensor-events", format="parquet", path=files[0].rsplit("/", 1)[0])
-
-
 @check(
     f"""{WITH_LOG}, {SQL_WINDOWS}
     SELECT window_start, window_end, sensor, {sql_round('avg_value', 4)} AS avg_value, min_value,
@@ -64,7 +60,7 @@ def flagged_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def _streamed_lake(spark: SparkSession, sf: str) -> Lake:
     """Raw and curated zones fed from the damaged log."""
-    config = _broken_config(spark, sf)
+    config = broken_config(spark, sf)
 
     def build(root: str) -> None:
         run_lake(streaming_session(spark), config, Lake(root), RULES, trigger=None)
@@ -107,7 +103,7 @@ def curated_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
 def dead_letter_stream(spark: SparkSession, sf: str) -> DataFrame:
     """One scan, good and rejected rows to two tables."""
     good, bad = scratch_path(spark, "good"), scratch_path(spark, "rejected")
-    readings = parse_readings(read_log_stream(streaming_session(spark), _broken_config(spark, sf)))
+    readings = parse_readings(read_log_stream(streaming_session(spark), broken_config(spark, sf)))
     writers.write_split(
         readings, good, bad, scratch_path(spark, "checkpoint"), RULES, None
     ).awaitTermination()
@@ -158,8 +154,9 @@ def idempotent_stream(spark: SparkSession, sf: str) -> DataFrame:
     config = log_config(spark, sf, max_files_per_batch=8)
     rows = flagged_readings(read_log_stream(streaming_session(spark), config), RULES)
     writers.foreach_batch_once(rows, path, checkpoint, None).awaitTermination()
-    repeated = spark.read.parquet(writers.batch_folder(path, 0)).checkpoint()
-    writers.write_batch_once(repeated, path, 0)
+    copy = scratch_path(spark, "redelivered")
+    write_batch(spark.read.parquet(writers.batch_folder(path, 0)), copy)
+    writers.write_batch_once(spark.read.parquet(copy), path, 0)
     return spark.read.parquet(path).select("partition", "offset", "sensor", "is_anomaly")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +79,13 @@ def human_bytes(size: Column) -> Column:
     return F.when(size.isNotNull(), text)
 
 
+def names_where(checks: Mapping[str, Column]) -> Column:
+    """The names whose condition holds, in order, as a list. Joined and split again because that stays
+    inside generated code, which array functions with a lambda would leave."""
+    joined = F.concat_ws(",", *[F.when(check, name) for name, check in checks.items()])
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
+
+
 def celsius_to_fahrenheit(df: DataFrame, value: str = "value", unit: str = "unit") -> DataFrame:
     """Convert the rows measured in C, leave the others alone."""
     is_celsius = F.col(unit) == "C"

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1 << 20
+# 131072 rows are a small task, and a billion of them are under ten thousand buckets to accumulate
+BUCKET_WIDTH = 1 << 17
 
 
 def with_bucket(df: DataFrame, order_by: str, width: int) -> DataFrame:

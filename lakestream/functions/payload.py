@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,13 @@ def parsed_once(text: Column, schema: StructType, prefix: str = "") -> Column:
     return F.inline(F.array(F.from_json(text, schema))).alias(*names)
 
 
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add costly columns behind the same barrier, so that later filters and projections read their
+    values instead of repeating the expressions."""
+    made = F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return df.select("*", made.alias(*columns) if len(columns) > 1 else made)
+
+
 def decode(log: DataFrame) -> DataFrame:
     """Key and value as text, the rest of the envelope untouched."""
     return log.withColumns({"key": utf8("key"), "value": utf8("value")})

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.functions.columns import human_bytes
+from lakestream.session import listing_session
 
 # More than this many files, smaller than this on average, are worth compacting.
 SMALL_FILE_BYTES = 1024 * 1024
@@ -23,7 +24,8 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     are skipped. No rows if the folder does not exist."""
     try:
         files = (
-            spark.read.format("binaryFile")
+            listing_session(spark)
+            .read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", pattern)
             .load(root)
@@ -31,10 +33,21 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _INVENTORY)
+        return listing_session(spark).createDataFrame([], _INVENTORY)
     return files.select("path", "length")
 
 
+def partition_files(spark: SparkSession, root: str) -> DataFrame:
+    """Length and partition columns of every Parquet file of a Hive-partitioned zone, from the listing."""
+    return (
+        listing_session(spark)
+        .read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+        .drop("path", "modificationTime", "content")
+    )
+
+
 def file_inventory(spark: SparkSession, zones: Mapping[str, str]) -> DataFrame:
     """Parquet and JSON files of several zones: zone, kind, path relative to the zone, length."""
     parts = None
@@ -110,13 +123,13 @@ def pruning_report(full: DataFrame, pruned: DataFrame) -> DataFrame:
     """What a filter on partition columns saves. `files` are those the scans opened; seconds depend on
     the machine and say little on a small lake."""
     a, b = _scan_metrics(full), _scan_metrics(pruned)
+    plan = pruned._jdf.queryExecution().toString()
     row = (
         a["files"],
         b["files"],
         a["rows"],
         b["rows"],
-        "PartitionFilters: [" in pruned._jdf.queryExecution().toString()
-        and "PartitionFilters: []" not in pruned._jdf.queryExecution().toString(),
+        "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan,
         a["seconds"],
         b["seconds"],
         a["seconds"] / b["seconds"] if b["seconds"] else None,

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestream.functions.columns import utf8
+from lakestream.functions.columns import names_where, utf8
 from lakestream.functions.joins import join_small
+from lakestream.functions.payload import computed_once
 from lakestream.schemas import DEFAULT_RULES, SensorRules
 
 REQUIRED = ("sensor", "value", "event_time")
@@ -89,35 +90,44 @@ def alerts(log: DataFrame, rules: SensorRules = DEFAULT_RULES) -> DataFrame:
     )
 
 
-def rejection_reasons(
+REASONS = ("missing_sensor", "missing_value", "missing_event_time", "not_a_number", "out_of_range")
+
+
+def rejection_bits(
     rules: SensorRules, sensor: str = "sensor", value: str = "value", event_time: str = "event_time"
 ) -> Column:
-    """Why a parsed reading would not enter the curated zone, as a list; empty for a good one."""
+    """Why a parsed reading would not enter the curated zone, one bit per entry of REASONS; 0 for a good
+    one. A number, unlike a list, can be aggregated without sorting."""
     number = F.col(value)
-    checks = {
-        "missing_sensor": F.col(sensor).isNull(),
-        "missing_value": number.isNull(),
-        "missing_event_time": F.col(event_time).isNull(),
-        "not_a_number": F.coalesce(F.isnan(number), F.lit(False)),
-        "out_of_range": F.coalesce(
-            ~F.isnan(number) & ~number.between(rules.corrupt_below, rules.corrupt_above), F.lit(False)
-        ),
-    }
-    listed = F.array(*[F.when(failed, F.lit(name)) for name, failed in checks.items()])
-    return F.array_compact(listed)
+    failed = (
+        F.col(sensor).isNull(),
+        number.isNull(),
+        F.col(event_time).isNull(),
+        F.isnan(number),
+        ~F.isnan(number) & ~number.between(rules.corrupt_below, rules.corrupt_above),
+    )
+    bits = F.lit(0)
+    for place, check in enumerate(failed):
+        bits = bits + F.when(check, 1 << place).otherwise(0)
+    return bits
+
+
+def reason_names(bits: Column) -> Column:
+    """The reasons of `rejection_bits` as a list."""
+    return names_where({name: bits.bitwiseAND(1 << i) != 0 for i, name in enumerate(REASONS)})
 
 
 def with_reasons(df: DataFrame, rules: SensorRules = DEFAULT_RULES, **columns: str) -> DataFrame:
-    return df.withColumn("reasons", rejection_reasons(rules, **columns))
+    """Add `reasons`, empty for a good reading."""
+    return df.withColumn("reasons", reason_names(rejection_bits(rules, **columns)))
 
 
 def split_valid(
     df: DataFrame, rules: SensorRules = DEFAULT_RULES, **columns: str
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejected rows with their reasons: nothing disappears silently."""
-    judged = with_reasons(df, rules, **columns)
-    is_good = F.size("reasons") == 0
-    return judged.filter(is_good).drop("reasons"), judged.filter(~is_good)
+    bits = rejection_bits(rules, **columns)
+    return df.filter(bits == 0), df.filter(bits != 0).withColumn("reasons", reason_names(bits))
 
 
 # The numbers Python's float() accepts as text, once trimmed.
@@ -127,17 +137,13 @@ _FLOAT_TEXT = (
 )
 
 
-def _submitted_number(field: Column) -> Column:
+def _submitted_number(field: Column, kind: Column) -> Column:
     """A variant as a double the way a lenient API reads it: numbers, numeric text and booleans."""
-    kind = F.schema_of_variant(field)
     text = F.trim(F.try_variant_get(field, "$", "string"))
     cleaned = F.replace(text, F.lit("_"), F.lit(""))
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(field, "$", "boolean").cast("double"))
-        .when(kind == "STRING", F.when(text.rlike(_FLOAT_TEXT), cleaned.try_cast("double")))
-        .when(kind.rlike("^(OBJECT|ARRAY|VOID)"), F.lit(None).cast("double"))
-        .otherwise(F.try_variant_get(field, "$", "double"))
-    )
+    return F.when(
+        kind == "STRING", F.when(text.rlike(_FLOAT_TEXT), cleaned.try_cast("double"))
+    ).otherwise(F.try_variant_get(field, "$", "double"))
 
 
 def validate_payloads(
@@ -149,53 +155,47 @@ def validate_payloads(
     absent, a null one counts as present), and the fields of the body: sensor, submitted (the number),
     unit and device_id with the defaults for absent ones. Bodies that are JSON but not an object are 400.
     """
-    parsed = df.withColumn("_body", F.try_parse_json(utf8(body)))
+    parsed = computed_once(df, {"_body": F.try_parse_json(utf8(body))})
 
-    def part(name: str, kind: str) -> Column:
+    def part(name: str, kind: str = "variant") -> Column:
         return F.try_variant_get(F.col("_body"), f"$.{name}", kind)
 
-    read = parsed.withColumns(
+    def text_or(name: str, default: str) -> Column:
+        return F.coalesce(part(name, "string"), F.when(part(name).isNull(), F.lit(default)))
+
+    read = parsed.withColumns({"_sensor": part("sensor"), "_value": part("value")}).withColumns(
         {
-            "_is_object": F.schema_of_variant("_body").startswith("OBJECT"),
-            "_sensor": part("sensor", "variant"),
-            "_value": part("value", "variant"),
+            "_sensor_kind": F.schema_of_variant("_sensor"),
+            "_value_kind": F.schema_of_variant("_value"),
+            "_is_object": F.col("_body").isNotNull() & utf8(body).rlike(r"^[ \t\r\n]*\{"),
         }
     )
     typed = read.withColumns(
         {
-            "sensor": part("sensor", "string"),
-            "submitted": _submitted_number(F.col("_value")),
-            "unit": F.when(part("unit", "variant").isNull(), F.lit("")).otherwise(part("unit", "string")),
-            "device_id": F.when(part("device_id", "variant").isNull(), F.lit("api")).otherwise(
-                part("device_id", "string")
-            ),
-            "missing": F.array_compact(
-                F.array(
-                    F.when(F.col("_sensor").isNull(), F.lit("sensor")),
-                    F.when(F.col("_value").isNull(), F.lit("value")),
-                )
+            "sensor": F.try_variant_get("_sensor", "$", "string"),
+            "submitted": _submitted_number(F.col("_value"), F.col("_value_kind")),
+            "unit": text_or("unit", ""),
+            "device_id": text_or("device_id", "api"),
+            "missing": names_where(
+                {"sensor": F.col("_sensor").isNull(), "value": F.col("_value").isNull()}
             ),
         }
     )
-    is_text = F.schema_of_variant("_sensor") == "STRING"
-    known = F.coalesce(is_text & F.col("sensor").isin(rules.sensors), F.lit(False))
+    known = (F.col("_sensor_kind") == "STRING") & F.col("sensor").isin(rules.sensors)
     error = (
-        F.when(~F.coalesce("_is_object", F.lit(False)), F.lit("not_json"))
-        .when(F.size("missing") > 0, F.lit("missing_fields"))
-        .when(~known, F.lit("unknown_sensor"))
-        .when(F.col("submitted").isNull(), F.lit("not_numeric"))
-        .when(~_in_physical_range(rules, F.col("sensor"), F.col("submitted")), F.lit("out_of_range"))
+        F.when(~F.coalesce("_is_object", F.lit(False)), "not_json")
+        .when(F.col("_sensor").isNull() | F.col("_value").isNull(), "missing_fields")
+        .when(~F.coalesce(known, F.lit(False)), "unknown_sensor")
+        .when(F.col("submitted").isNull(), "not_numeric")
+        .when(~_in_physical_range(rules, F.col("sensor"), F.col("submitted")), "out_of_range")
     )
     status = (
         F.when(F.col("error").isNull(), 201)
         .when(F.col("error").isin("not_json", "missing_fields"), 400)
         .otherwise(422)
     )
-    return (
-        typed.withColumn("error", error)
-        .withColumn("status_code", status)
-        .drop("_body", "_is_object", "_sensor", "_value")
-    )
+    working = ("_body", "_sensor", "_value", "_sensor_kind", "_value_kind", "_is_object")
+    return computed_once(typed, {"error": error}).withColumn("status_code", status).drop(*working)
 
 
 def accepted_readings(validated: DataFrame, source: str = "api-v1", now_ms: Column | None = None) -> DataFrame:

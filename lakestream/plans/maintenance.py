@@ -4,30 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.functions.joins import join_small
-from lakestream.operators.lake_audit import list_files
-from lakestream.operators.log_audit import multiset_diff
+from lakestream.operators.lake_audit import list_files, partition_files
+from lakestream.operators.log_audit import same_rows
 from lakestream.schemas import CURATED_PARTITIONS
 
-TARGET_BYTES = 128 * 1024 * 1024
+TARGET_BYTES = 512 * 1024 * 1024
+MAX_BROADCAST_FOLDERS = 100_000
 
 
 class RowsChanged(RuntimeError):
     """A rewrite did not preserve the rows."""
 
 
-def planned_files(spark: SparkSession, path: str, partitions: Sequence[str], target_bytes: int) -> DataFrame:
-    """Per directory, how many files of the target size its data fills; 1 for a small directory."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .groupBy(*partitions)
+def planned_files(
+    spark: SparkSession,
+    path: str,
+    partitions: Sequence[str],
+    target_bytes: int,
+    files_per_partition: int = 1,
+    where: Column | None = None,
+) -> DataFrame:
+    """Per directory, how many files of the target size its data fills, from the file listing alone."""
+    listed = partition_files(spark, path)
+    if where is not None:
+        listed = listed.filter(where)
+    filled = F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int")
+    return listed.groupBy(*partitions).agg(
+        F.greatest(F.lit(files_per_partition), filled).alias("_files")
     )
-    return listed.agg(F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int").alias("_files"))
 
 
 def compact(
@@ -35,20 +43,25 @@ def compact(
     source: str,
     target: str,
     partitions: Sequence[str] = CURATED_PARTITIONS,
+    files_per_partition: int = 1,
     target_bytes: int = TARGET_BYTES,
+    where: Column | None = None,
     sort_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Rewrite a zone to a new folder with as few files as its size allows, and report on it.
+    """Rewrite a zone to a new folder with at most `files_per_partition` files per directory, and report
+    on it. `where`, on partition columns, compacts a part of the zone, such as the last closed month.
 
-    A directory below the target size becomes exactly one file; a larger one is spread over as many tasks
-    as it fills files, so the largest directory never ends up in one task. Rows are spread by the file and
-    position they were read from, which a repeated task reproduces.
+    A directory that would not fit its files at the target size gets as many as it fills, each written
+    by a task of its own, so the largest directory never ends up in one task. Rows are spread by the file
+    and position they were read from, which a repeated task reproduces.
     """
     zone = spark.read.parquet(source)
-    plan = planned_files(spark, source, partitions, target_bytes)
+    if where is not None:
+        zone = zone.filter(where)
+    plan = planned_files(spark, source, partitions, target_bytes, files_per_partition, where)
     total = plan.agg(F.sum("_files")).first()[0] or 1
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    placed = join_small(zone.withColumn("_place", place), plan, partitions, "left", max_rows=100_000)
+    placed = join_small(zone.withColumn("_place", place), plan, partitions, "left", MAX_BROADCAST_FOLDERS)
     slot = F.pmod(F.col("_place"), F.coalesce("_files", F.lit(1)))
     spread = placed.withColumn("_slot", slot).repartition(int(total), *partitions, "_slot")
     if sort_by:
@@ -90,9 +103,9 @@ def compaction_report(spark: SparkSession, source: str, target: str | None = Non
     )
 
 
-def verify_same_rows(left: DataFrame, right: DataFrame) -> int:
+def verify_same_rows(left: DataFrame, right: DataFrame, exact: bool = False) -> int:
     """Raise unless both hold the same rows equally often; returns how many. To be run before a
     compacted zone takes the place of the original."""
-    if not multiset_diff(left, right).isEmpty():
+    if not same_rows(left, right, exact):
         raise RowsChanged("the rewritten zone does not hold the same rows")
     return right.count()

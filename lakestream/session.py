@@ -50,4 +50,17 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return session
+
+
+def listing_session(spark: SparkSession) -> SparkSession:
+    """A session for queries that list files without reading them.
+
+    Spark packs files into tasks by their size, so listing 100 TB would take a task per 128 MB although
+    nothing is read; here the number of tasks follows the cluster's cores.
+    """
+    session = ensure_utc(spark.newSession())
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.files.maxPartitionNum", str(tasks))
     return session

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestream.operators.log_audit import multiset_diff
+from lakestream.operators.log_audit import same_rows
 from lakestream.schemas import CURATED_PARTITIONS, GOLD_PARTITIONS, RAW_PARTITIONS
 
 
@@ -56,8 +56,7 @@ def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     """Write, read back, and compare row by row. Returns the number of rows."""
     write_batch(df, path, partition_by)
     written = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-    wrong = multiset_diff(df, written)
-    if not wrong.isEmpty():
+    if not same_rows(df, written):
         raise WriteMismatch(f"{path}: rows differ from the input")
     return written.count()
 

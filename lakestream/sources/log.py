@@ -18,6 +18,9 @@ from lakestream.schemas import LOG_RECORD
 
 Offsets = Mapping[str, Mapping[int, int]]
 
+MAX_LITERAL_PARTITIONS = 200
+MAX_BROADCAST_PARTITIONS = 100_000
+
 
 @dataclass(frozen=True)
 class LogConfig:
@@ -173,9 +176,20 @@ def end_offsets(log: DataFrame) -> DataFrame:
 
 
 def tail_log(log: DataFrame, seek_back: int) -> DataFrame:
-    """The last `seek_back` offsets of every partition; empty partitions have no rows to give."""
+    """The last `seek_back` offsets of every partition; empty partitions have no rows to give.
+
+    The end offsets are one row per partition. Up to a few hundred of them become literal start offsets,
+    a filter that reaches the file scan and skips the row groups before them; beyond that they are joined.
+    """
+    ends = end_offsets(log)
+    rows = ends.take(MAX_LITERAL_PARTITIONS + 1)
+    if len(rows) <= MAX_LITERAL_PARTITIONS:
+        starts: dict[str, dict[int, int]] = {}
+        for row in rows:
+            starts.setdefault(row["topic"], {})[row["partition"]] = row["end"] - seek_back
+        return log.filter(StartPosition.at_offsets(starts).reached())
     return (
-        join_small(log, end_offsets(log), ["topic", "partition"])
+        join_small(log, ends, ["topic", "partition"], max_rows=MAX_BROADCAST_PARTITIONS)
         .filter(F.col("offset") >= F.col("end") - F.lit(seek_back))
         .drop("end")
     )

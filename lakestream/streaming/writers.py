@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakestream.functions.columns import with_date_parts
 from lakestream.operators.log_audit import CHUNK, batch_stats
-from lakestream.operators.quality import with_reasons
+from lakestream.operators.quality import split_valid
+from lakestream.sinks.batch import gathered
 from lakestream.schemas import CURATED_PARTITIONS, DEFAULT_RULES, RAW_PARTITIONS, SensorRules
 
 # How often the statistics stream and the lake streams run.
@@ -113,8 +114,10 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 def write_batch_once(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch so that a repeat replaces it. The folders hold plain Parquet without a sink
-    log, so the table can be compacted or rewritten by batch jobs."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(batch_folder(path, batch_id))
+    log, so the table can be compacted or rewritten by batch jobs. With `partition_by` the rows of a
+    directory are brought together first, which a plain file sink cannot do."""
+    rows = gathered(df, partition_by) if partition_by else df
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(batch_folder(path, batch_id))
 
 
 def foreach_batch_once(
@@ -158,12 +161,11 @@ def write_split(
     trigger: str | None = LAKE_TRIGGER,
 ) -> StreamingQuery:
     """Good readings to one table, the others with their reasons to a dead-letter table."""
-    good = F.size("reasons") == 0
     return fan_out(
-        with_reasons(readings, rules),
+        readings,
         {
-            valid_path: lambda rows: rows.filter(good).drop("reasons"),
-            rejected_path: lambda rows: rows.filter(~good),
+            valid_path: lambda rows: split_valid(rows, rules)[0],
+            rejected_path: lambda rows: split_valid(rows, rules)[1],
         },
         checkpoint,
         trigger,
