@@ -7,44 +7,103 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+
+def schema(**columns: str) -> T.StructType:
+    """Nullable columns by name and type. Unlike a DDL string this needs no running session."""
+    built = T.StructType()
+    for name, kind in columns.items():
+        built.add(name, kind)
+    return built
+
+
 # The columns of Spark's Kafka source.
-LOG_RECORD = T.StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+LOG_RECORD = schema(
+    key="binary",
+    value="binary",
+    topic="string",
+    partition="integer",
+    offset="long",
+    timestamp="timestamp",
+    timestampType="integer",
 )
 
 # JSON payloads. from_json returns every field nullable, so "required" is a filter, not a schema flag.
-READING_V1 = T.StructType.fromDDL(
-    "sensor string, value double, unit string, timestamp bigint, device_id string"
+READING_V1 = schema(
+    sensor="string",
+    value="double",
+    unit="string",
+    timestamp="long",
+    device_id="string",
 )
-READING_V2 = T.StructType.fromDDL(
-    "sensor string, value double, unit string, timestamp bigint, device_id string, source string"
+READING_V2 = schema(
+    sensor="string",
+    value="double",
+    unit="string",
+    timestamp="long",
+    device_id="string",
+    source="string",
 )
-USER_EVENT = T.StructType.fromDDL(
-    "event string, user_id string, ts string, session_id string, item string, amount double"
+USER_EVENT = schema(
+    event="string",
+    user_id="string",
+    ts="string",
+    session_id="string",
+    item="string",
+    amount="double",
+)
+SEQUENCE_MESSAGE = schema(
+    phase="string",
+    seq="long",
+    ts="string",
 )
-SEQUENCE_MESSAGE = T.StructType.fromDDL("phase string, seq bigint, ts string")
 
-RAW_ZONE = T.StructType.fromDDL(
-    "raw_json string, kafka_partition int, kafka_offset bigint, ingestion_ts timestamp, "
-    "year int, month int, day int, hour int"
+RAW_ZONE = schema(
+    raw_json="string",
+    kafka_partition="integer",
+    kafka_offset="long",
+    ingestion_ts="timestamp",
+    year="integer",
+    month="integer",
+    day="integer",
+    hour="integer",
 )
 RAW_PARTITIONS = ("year", "month", "day", "hour")
 
-CURATED_ZONE = T.StructType.fromDDL(
-    "value double, unit string, device_id string, source string, event_time timestamp, "
-    "partition int, offset bigint, is_anomaly boolean, "
-    "sensor_type string, year int, month int, day int"
+CURATED_ZONE = schema(
+    value="double",
+    unit="string",
+    device_id="string",
+    source="string",
+    event_time="timestamp",
+    partition="integer",
+    offset="long",
+    is_anomaly="boolean",
+    sensor_type="string",
+    year="integer",
+    month="integer",
+    day="integer",
 )
 CURATED_PARTITIONS = ("sensor_type", "year", "month", "day")
 
-GOLD_ZONE = T.StructType.fromDDL(
-    "day int, record_count bigint, avg_value double, min_value double, max_value double, "
-    "anomaly_count bigint, anomaly_pct double, sensor_type string, year int, month int"
+GOLD_ZONE = schema(
+    day="integer",
+    record_count="long",
+    avg_value="double",
+    min_value="double",
+    max_value="double",
+    anomaly_count="long",
+    anomaly_pct="double",
+    sensor_type="string",
+    year="integer",
+    month="integer",
 )
 GOLD_PARTITIONS = ("sensor_type", "year", "month")
 
-COMMITTED = T.StructType.fromDDL("topic string, partition int, committed bigint")
+COMMITTED = schema(
+    topic="string",
+    partition="integer",
+    committed="long",
+)
 
 
 @dataclass(frozen=True)
@@ -68,8 +127,12 @@ class SensorRules:
     corrupt_above: float = 2000.0
 
     MAX_INLINE = 1000
-    FRAME = T.StructType.fromDDL(
-        "sensor string, unit string, anomaly_above double, physical_low double, physical_high double"
+    FRAME = schema(
+        sensor="string",
+        unit="string",
+        anomaly_above="double",
+        physical_low="double",
+        physical_high="double",
     )
 
     @property
