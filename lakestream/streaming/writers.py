@@ -35,7 +35,8 @@ def write_stream(
     **options: str,
 ) -> StreamingQuery:
     """Append finished rows to files, each exactly once. A restart on the same checkpoint resumes after
-    the last committed batch with its state and watermark."""
+    the last committed batch with its state and watermark. To replay, use a fresh checkpoint and a fresh
+    folder: a folder ignores batches whose number it has already committed, whatever they hold."""
     writer = (
         df.writeStream.outputMode("append")
         .format(format)
