@@ -171,8 +171,8 @@ def _only(records: DataFrame, key: str) -> DataFrame:
     WHERE next_offset - after_offset > 1"""
 )
 def offset_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    """Holes left where one key's records are gone. Small buckets, so that many borders are crossed."""
-    return audit.offset_gaps(_without(log(spark, sf), "error"), width=100)
+    """Holes left where one key's records are gone."""
+    return audit.offset_gaps(_without(log(spark, sf), "error"))
 
 
 @check(
@@ -241,7 +241,7 @@ def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     f"""{WITH_LOG}, seen AS (
-      SELECT "partition", "offset", sensor, kafka_timestamp,
+      SELECT "partition", "offset", sensor, kafka_timestamp, 1::BIGINT AS copies,
              max(kafka_timestamp) OVER (PARTITION BY "partition" ORDER BY "offset"
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '2 minutes' AS watermark,
              time_bucket(INTERVAL '5 minutes', kafka_timestamp) + INTERVAL '5 minutes' AS window_end
@@ -250,8 +250,7 @@ def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
 )
 def late_events(spark: SparkSession, sf: str) -> DataFrame:
     """Arrival times run out of order by up to ten minutes; taken as event times, some come too late."""
-    rows = _readings(spark, sf).select("partition", "offset", "sensor", "kafka_timestamp")
-    return audit.late_events(rows, event_time="kafka_timestamp", width=100)
+    return audit.late_events(_readings(spark, sf), event_time="kafka_timestamp")
 
 
 @check(

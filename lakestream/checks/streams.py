@@ -12,18 +12,20 @@ from lakestream.checks.fixture import (
     broken_config,
     check,
     log_config,
+    log_path,
     once,
     sql_round,
 )
 from lakestream.functions.columns import round_half_up
 from lakestream.functions.payload import parse_readings
+from lakestream.operators.lake_audit import list_files
 from lakestream.operators.windows import window_bounds
 from lakestream.plans.etl import flagged_readings, run_etl, statistics
 from lakestream.plans.lake import Lake, run_lake
 from lakestream.schemas import CURATED_ZONE, RAW_ZONE
 from lakestream.session import scratch_path, streaming_session
 from lakestream.sinks.batch import write_batch
-from lakestream.sources.log import read_log_stream
+from lakestream.sources.log import LogConfig, read_log_stream
 from lakestream.sources.zones import read_or_empty, read_stream_output
 from lakestream.streaming import writers
 from lakestream.streaming.supervise import ProgressTotals, run_queries
@@ -58,6 +60,12 @@ def flagged_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sensor", "value", "event_time", "partition", "offset", "is_anomaly")
 
 
+def _in_four_batches(spark: SparkSession, sf: str) -> LogConfig:
+    """The log cut into about four micro-batches, however large it is."""
+    files = list_files(spark, log_path(spark, sf)).count()
+    return log_config(spark, sf, max_files_per_batch=max(1, -(-files // 4)))
+
+
 def _streamed_lake(spark: SparkSession, sf: str) -> Lake:
     """Raw and curated zones fed from the damaged log."""
     config = broken_config(spark, sf)
@@ -137,9 +145,9 @@ def batch_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
       ORDER BY ms DESC, "partition" DESC, "offset" DESC) = 1"""
 )
 def latest_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The maintained view, fed file by file."""
+    """The maintained view, fed in several micro-batches."""
     path = scratch_path(spark, "latest")
-    config = log_config(spark, sf, max_files_per_batch=8)
+    config = _in_four_batches(spark, sf)
     readings = parse_readings(read_log_stream(streaming_session(spark), config))
     writers.maintain_latest(
         readings, path, scratch_path(spark, "checkpoint"), None
@@ -151,7 +159,7 @@ def latest_stream(spark: SparkSession, sf: str) -> DataFrame:
 def idempotent_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Micro-batches written by id, and one of them delivered again."""
     path, checkpoint = scratch_path(spark, "once"), scratch_path(spark, "checkpoint")
-    config = log_config(spark, sf, max_files_per_batch=8)
+    config = _in_four_batches(spark, sf)
     rows = flagged_readings(read_log_stream(streaming_session(spark), config), RULES)
     writers.foreach_batch_once(rows, path, checkpoint, None).awaitTermination()
     copy = scratch_path(spark, "redelivered")

@@ -55,6 +55,28 @@ def number_rows(
     )
 
 
+def running_total(
+    df: DataFrame,
+    groups: Sequence[str],
+    order_by: str,
+    value: str,
+    name: str,
+    width: int = BUCKET_WIDTH,
+) -> DataFrame:
+    """The sum of `value` over the group up to and including the row."""
+    bucketed = with_bucket(df, order_by, width)
+    carry = carried_over(bucketed, groups, F.sum(value), F.sum("_summary"))
+    within = (
+        W.partitionBy(*groups, "_bucket").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
+    )
+    return (
+        bucketed.withColumn("_local", F.sum(value).over(within))
+        .join(carry, [*groups, "_bucket"], "left")
+        .withColumn(name, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0)))
+        .drop("_local", "_carry", "_bucket")
+    )
+
+
 def running_max_before(
     df: DataFrame,
     groups: Sequence[str],

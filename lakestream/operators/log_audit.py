@@ -9,7 +9,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakestream.functions.columns import epoch_ms_to_iso, names_where, round_half_up
-from lakestream.functions.ordered import BUCKET_WIDTH, running_max_before, with_bucket
+from lakestream.functions.ordered import (
+    BUCKET_WIDTH,
+    running_max_before,
+    running_total,
+    with_bucket,
+)
 from lakestream.operators.quality import only_sensor, reason_names, rejection_bits
 from lakestream.schemas import DEFAULT_RULES, SensorRules
 from lakestream.sources.log import tail_log
@@ -233,8 +238,11 @@ def late_events(
 ) -> DataFrame:
     """Readings whose window a stream with this watermark would already have closed, had it processed
     the log record by record: the window's end is not after the largest time seen earlier in the
-    partition, less the tolerated lateness."""
-    ordered = running_max_before(readings, ["partition"], "offset", event_time, "seen", width)
+    partition, less the tolerated lateness. Copies of a record are one row with their number."""
+    positions = readings.groupBy("partition", "offset", "sensor", event_time).agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+    ordered = running_max_before(positions, ["partition"], "offset", event_time, "seen", width)
     closes = F.window(F.col(event_time), window)["end"]
     watermark = F.col("seen") - F.expr(f"INTERVAL {lateness}")
     return (
@@ -266,30 +274,24 @@ def delay_quantiles(
     readings: DataFrame, quantiles: Sequence[float] = (0.5, 0.95, 0.99), resolution_ms: int = 1000
 ) -> DataFrame:
     """Delay quantiles per hour of arrival, exact at the given resolution: readings are first counted
-    per delay step, and only the steps are ordered."""
+    per delay step, and only the steps are accumulated, in buckets, as wrong clocks can make them many."""
     delay = F.unix_millis("kafka_timestamp") - F.unix_millis("event_time")
     steps = (
-        readings.groupBy(
+        readings.filter(F.col("event_time").isNotNull())
+        .groupBy(
             F.date_trunc("hour", "kafka_timestamp").alias("arrival_hour"),
-            (F.floor(delay / F.lit(resolution_ms)) * F.lit(resolution_ms)).alias("step_ms"),
+            F.floor(delay / F.lit(resolution_ms)).alias("step"),
         )
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("step_ms").isNotNull())
-    )
-    upward = W.partitionBy("arrival_hour").orderBy("step_ms")
-    placed = steps.withColumns(
-        {
-            "_upto": F.sum("n").over(upward.rowsBetween(W.unboundedPreceding, 0)),
-            "_all": F.sum("n").over(W.partitionBy("arrival_hour")),
-        }
     )
+    totals = steps.groupBy("arrival_hour").agg(F.sum("n").alias("_all"))
+    placed = running_total(steps, ["arrival_hour"], "step", "n", "_upto")
+    reached = [F.col("_upto") >= F.ceil(F.col("_all") * F.lit(q)) for q in quantiles]
     picks = [
-        F.min(
-            F.when(F.col("_upto") >= F.ceil(F.col("_all") * F.lit(q)), F.col("step_ms"))
-        ).alias(f"p{round(q * 100)}_ms")
-        for q in quantiles
+        (F.min(F.when(hit, F.col("step"))) * F.lit(resolution_ms)).alias(f"p{round(q * 100)}_ms")
+        for q, hit in zip(quantiles, reached)
     ]
-    return placed.groupBy("arrival_hour").agg(*picks)
+    return placed.join(totals, "arrival_hour").groupBy("arrival_hour").agg(*picks)
 
 
 # --- agreement -------------------------------------------------------------------------------------

@@ -36,21 +36,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lakestream/{uuid.uuid4().hex}/{label}"
 
 
-def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def streaming_session(
+    spark: SparkSession, state_partitions: int | None = None, large_state: bool = False
+) -> SparkSession:
     """A session of the same application for stateful streams.
 
     AQE cannot shrink a stateful shuffle, and its partition count is fixed by the first checkpoint, so it
-    follows the cluster's cores instead of the batch default. RocksDB keeps large state off the heap.
+    follows the cluster's cores instead of the batch default. Windows per sensor are little state, which
+    the in-memory store serves fastest; `large_state`, for positions remembered by a deduplicating stream,
+    keeps it in RocksDB off the heap.
     """
     session = ensure_utc(spark.newSession())
     session.conf.set(
         "spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism)
     )
-    session.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if large_state:
+        store = "spark.sql.streaming.stateStore"
+        session.conf.set(
+            f"{store}.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+        session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
     return session
 
 

@@ -191,6 +191,12 @@ def test_late_against_what_was_seen_before(spark):
         assert sorted(r.offset for r in late) == [3, 5]
 
 
+def test_copies_of_a_late_record_are_one_row(spark):
+    log = parse_readings(records(spark, [body("t", 1.0, "2024-01-01T10:12:00"), body("t", 2.0)]))
+    late = audit.late_events(log.unionAll(log.filter("offset = 1")).unionAll(log)).collect()
+    assert [(r.offset, r.copies) for r in late] == [(1, 3)]
+
+
 def test_delay_and_directory_of_late_arrivals(spark):
     log = records(
         spark,

@@ -39,6 +39,15 @@ def test_running_max(rows, width):
     assert got.count() == rows.count()
 
 
+@pytest.mark.parametrize("width", [1, 7, 10_000])
+def test_running_total(rows, width):
+    upto = W.partitionBy("g").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    plain = rows.withColumn("t", F.sum("v").over(upto))
+    got = ordered.running_total(rows, ["g"], "at", "v", "t", width)
+    key = lambda df: {(r.g, r.at): r.t for r in df.collect()}
+    assert key(got) == key(plain)
+
+
 def test_no_window_runs_over_a_whole_group(rows):
     """Only the summary of one row per bucket is ordered along the group."""
     plan = plan_of(ordered.number_rows(rows, ["g"], "at", "n", 100))

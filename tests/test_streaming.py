@@ -141,7 +141,8 @@ def test_the_lake_without_raw(spark, session, feed, tmp_path):
     assert zones.read_or_empty(spark, lake.raw, RAW_ZONE, "json").isEmpty()
 
 
-def test_a_stream_forgets_positions_only_after_the_watermark(spark, session, feed, tmp_path):
+def test_a_stream_forgets_positions_only_after_the_watermark(spark, feed, tmp_path):
+    session = streaming_session(spark, 2, large_state=True)
     feed.add(body("t", 1.0), body("t", 2.0))
     records(spark, [body("t", 1.0), body("t", 2.0)]).coalesce(1).write.mode("append").parquet(feed.path)
     unique = audit.dedupe_log(src.read_log_stream(session, feed.config))
