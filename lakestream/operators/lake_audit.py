@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +53,11 @@ def file_inventory(spark: SparkSession, zones: Mapping[str, str]) -> DataFrame:
     """Parquet and JSON files of several zones: zone, kind, path relative to the zone, length."""
     parts = None
     for zone, root in zones.items():
-        base = root.rstrip("/")
+        # file:///data and file:/data are one folder, so only what follows the scheme is compared
+        place = urlparse(root.rstrip("/"))
+        base = f"{place.netloc}{place.path}/"
+        inside = F.substr(F.col("path"), F.locate(base, F.col("path")) + len(base))
         for kind in ("parquet", "json"):
-            inside = F.expr(f"substring(path, locate('{base}/', path) + {len(base) + 1})")
             files = list_files(spark, root, f"*.{kind}").select(
                 F.lit(zone).alias("zone"), F.lit(kind).alias("kind"), inside.alias("path"), "length"
             )

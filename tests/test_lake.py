@@ -182,6 +182,26 @@ def test_verified_write(spark, tmp_path, monkeypatch):
         sinks.write_verified(spark.range(5), str(tmp_path / "w"))
 
 
+def test_a_hot_directory_is_written_by_several_tasks(spark, tmp_path):
+    """One sensor has nine tenths of the rows; only its directory is split."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = F.when(F.col("id") % 10 > 0, "hot").otherwise("cold")
+        rows = spark.range(0, 40_000, 1, 8).select(hot.alias("k"), F.xxhash64("id").alias("v"))
+        sinks.gathered(rows, ["k"]).write.partitionBy("k").parquet(str(tmp_path / "z"))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    files = {r.k: r["count"] for r in lake_audit.partition_files(spark, str(tmp_path / "z")).groupBy("k").count().collect()}
+    assert files["hot"] > 2 and files["cold"] == 1
+    assert spark.read.parquet(str(tmp_path / "z")).count() == 40_000
+
+
 # --- files -----------------------------------------------------------------------------------------
 
 
@@ -244,6 +264,8 @@ def test_inventory(spark, lake, scattered):
     assert silver.avg_bytes == silver.total_bytes // 18 and silver.total_text.endswith("KB")
     assert not rows["raw", "json"].small_files
     assert [r.zone for r in lake_audit.small_file_zones(files).collect()] == ["curated"]
+    by_uri = lake_audit.file_inventory(spark, {"curated": f"file://{lake.curated}/"})
+    assert by_uri.collect() == files.filter("zone = 'curated'").collect()
     rows = lake_audit.dir_rollup(files.filter("zone = 'curated'"), 2).collect()
     by_directory = {r.directory: r.files for r in rows}
     assert by_directory["sensor_type=humidity"] == 6 and by_directory["sensor_type=humidity/year=2024"] == 6
