@@ -15,7 +15,7 @@ from lakestream.plans import maintenance
 from lakestream.plans.etl import run_etl, run_etl_batch
 from lakestream.plans.lake import Lake, build_gold, run_lake
 from lakestream.schemas import CURATED_ZONE, DEFAULT_RULES
-from lakestream.session import ensure_utc, streaming_session
+from lakestream.session import prepare, streaming_session
 from lakestream.sources.log import LATEST, LogConfig, StartPosition, read_log_batch, seek_back_for
 from lakestream.sources.zones import read_or_empty, register_views
 from lakestream.streaming.writers import LAKE_TRIGGER, STATS_TRIGGER
@@ -189,7 +189,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = ensure_utc(SparkSession.builder.appName(f"lakestream-{args.command}").getOrCreate())
+    spark = prepare(SparkSession.builder.appName(f"lakestream-{args.command}").getOrCreate())
     args.work(spark, args)
 
 

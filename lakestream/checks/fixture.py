@@ -16,7 +16,7 @@ from lakestream.functions.ordered import number_rows
 from lakestream.plans.lake import Lake, build_gold, curated_readings
 from lakestream.plans.maintenance import compact
 from lakestream.schemas import CURATED_ZONE, SensorRule, SensorRules
-from lakestream.session import ensure_utc, scratch_path
+from lakestream.session import prepare, scratch_path
 from lakestream.sinks.batch import append_to_file_log, write_curated, write_raw
 from lakestream.sources.log import LogConfig, read_log_batch
 from lakestream.sources.zones import read_zone
@@ -44,7 +44,7 @@ def check(oracle: str | None = None) -> Callable[[Query], Query]:
 
     def register(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(query(ensure_utc(spark), sf_dir.rstrip("/")))
+            return comparable(query(prepare(spark), sf_dir.rstrip("/")))
 
         run.__name__, run.__doc__ = query.__name__, query.__doc__
         QUERIES[query.__name__] = run
@@ -185,26 +185,28 @@ def broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the lake --------------------------------------------------------------------------------------
 
 
-def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Raw, curated and gold zones built by batch jobs."""
-
-    def build(root: str) -> None:
-        zones = Lake(root, TOPIC)
-        records = log(spark, sf_dir)
-        write_raw(raw_zone_rows(records), zones.raw)
-        write_curated(curated_readings(records, RULES), zones.curated)
-        build_gold(spark, zones)
-
-    return Lake(once(spark, "lake", sf_dir, build), TOPIC)
+def lake(spark: SparkSession, sf_dir: str, *zones: str) -> Lake:
+    """A lake in which the named zones, "raw", "curated" or "gold", have been built by batch jobs."""
+    made = Lake(once(spark, "lake", sf_dir, lambda path: None), TOPIC)
+    build = {
+        "raw": lambda _: write_raw(raw_zone_rows(log(spark, sf_dir)), made.raw),
+        "curated": lambda _: write_curated(
+            curated_readings(log(spark, sf_dir), RULES), made.curated
+        ),
+        "gold": lambda _: build_gold(spark, lake(spark, sf_dir, "curated")),
+    }
+    for zone in zones:
+        once(spark, f"lake-{zone}", sf_dir, build[zone])
+    return made
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_zone(spark, lake(spark, sf_dir).curated, CURATED_ZONE)
+    return read_zone(spark, lake(spark, sf_dir, "curated").curated, CURATED_ZONE)
 
 
 def compacted(spark: SparkSession, sf_dir: str) -> str:
     """The curated zone with one file per directory."""
-    source = lake(spark, sf_dir).curated
+    source = lake(spark, sf_dir, "curated").curated
     return once(spark, "compacted", sf_dir, lambda path: compact(spark, source, path))
 
 

@@ -22,12 +22,11 @@ from lakestream.checks.fixture import (
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import lake_audit, lake_queries
 from lakestream.operators.quality import drop_malformed
-from lakestream.plans.lake import Lake, build_gold, curated_readings
 from lakestream.plans.lake import rebuild_curated as rebuild
 from lakestream.plans.maintenance import compact, verify_same_rows
-from lakestream.schemas import CURATED_ZONE, GOLD_ZONE
+from lakestream.schemas import CURATED_PARTITIONS, CURATED_ZONE, GOLD_ZONE, SensorRule, SensorRules
 from lakestream.session import scratch_path
-from lakestream.sinks.batch import write_batch, write_curated, write_raw, write_verified
+from lakestream.sinks.batch import gathered, write_batch, write_gold, write_raw, write_verified
 from lakestream.sources.zones import read_zone, register_views, replay_raw
 from lakestream.streaming.writers import raw_zone_rows
 
@@ -53,7 +52,7 @@ SQL_DAILY = f"SELECT sensor AS sensor_type, year, month, day, {_stats(3)} FROM l
 )
 def curated_zone(spark: SparkSession, sf: str) -> DataFrame:
     """Silver read back through partition discovery."""
-    return read_zone(spark, lake(spark, sf).curated).drop("source")
+    return read_zone(spark, lake(spark, sf, "curated").curated).drop("source")
 
 
 @check(f"{WITH_LOG} {SQL_DAILY} GROUP BY 1, 2, 3, 4")
@@ -64,7 +63,7 @@ def daily_stats(spark: SparkSession, sf: str) -> DataFrame:
 @check(f"{WITH_LOG} {SQL_DAILY} GROUP BY 1, 2, 3, 4")
 def gold_zone(spark: SparkSession, sf: str) -> DataFrame:
     """Gold as it was written."""
-    return read_zone(spark, lake(spark, sf).gold, GOLD_ZONE)
+    return read_zone(spark, lake(spark, sf, "gold").gold, GOLD_ZONE)
 
 
 @check(
@@ -75,10 +74,10 @@ def gold_zone(spark: SparkSession, sf: str) -> DataFrame:
 )
 def gold_rebuilt_for_one_sensor(spark: SparkSession, sf: str) -> DataFrame:
     """Rebuilding one sensor replaces its partitions and leaves the others in place."""
-    zones = Lake(scratch_path(spark, "partial-gold"))
-    write_curated(curated_readings(log(spark, sf), RULES), zones.curated)
-    build_gold(spark, zones)
-    gold = build_gold(spark, zones, SENSOR)
+    path = scratch_path(spark, "gold")
+    write_gold(lake_queries.daily_stats(curated(spark, sf)), path)
+    write_gold(lake_queries.daily_stats(curated(spark, sf), SENSOR), path)
+    gold = read_zone(spark, path, GOLD_ZONE)
     part = F.when(F.col("sensor_type") == SENSOR, "rebuilt").otherwise("kept")
     return gold.groupBy(part.alias("part"), "sensor_type").agg(
         F.count(F.lit(1)).alias("days"), F.sum("record_count").alias("readings")
@@ -106,7 +105,7 @@ _DAY_REPORT = f"""{sql_round('avg(value)', 2)} AS avg_value, {sql_round('min(val
 )
 def sql_day_report(spark: SparkSession, sf: str) -> DataFrame:
     """Daily figures of one sensor, as SQL with a bound argument."""
-    zones = lake(spark, sf)
+    zones = lake(spark, sf, "curated", "gold")
     register_views(spark, zones.curated, zones.gold)
     return lake_queries.run_sql(spark, "day_report", sensor=SENSOR)
 
@@ -126,7 +125,7 @@ def day_of_month_report(spark: SparkSession, sf: str) -> DataFrame:
     FROM log GROUP BY 1"""
 )
 def sql_anomaly_shares(spark: SparkSession, sf: str) -> DataFrame:
-    register_views(spark, lake(spark, sf).curated)
+    register_views(spark, lake(spark, sf, "curated").curated)
     return lake_queries.run_sql(spark, "anomaly_shares")
 
 
@@ -136,7 +135,7 @@ def sql_anomaly_shares(spark: SparkSession, sf: str) -> DataFrame:
            count(*) AS readings FROM log WHERE sensor = '{SENSOR}' GROUP BY 1"""
 )
 def sql_hourly_trend(spark: SparkSession, sf: str) -> DataFrame:
-    register_views(spark, lake(spark, sf).curated)
+    register_views(spark, lake(spark, sf, "curated").curated)
     return lake_queries.run_sql(spark, "hourly_trend", sensor=SENSOR)
 
 
@@ -147,7 +146,7 @@ def sql_hourly_trend(spark: SparkSession, sf: str) -> DataFrame:
            {sql_round('max(value)', 2)} AS p100, count(*) AS n FROM log GROUP BY 1"""
 )
 def sql_sensor_spread(spark: SparkSession, sf: str) -> DataFrame:
-    register_views(spark, lake(spark, sf).curated)
+    register_views(spark, lake(spark, sf, "curated").curated)
     return lake_queries.run_sql(spark, "sensor_spread")
 
 
@@ -190,7 +189,7 @@ def sensor_types(spark: SparkSession, sf: str) -> DataFrame:
 )
 def raw_replayed(spark: SparkSession, sf: str) -> DataFrame:
     """Readings parsed again from the raw zone's JSON, which keeps arrival times to the millisecond."""
-    zones = lake(spark, sf)
+    zones = lake(spark, sf, "raw")
     return drop_malformed(parse_readings(replay_raw(spark, zones.raw, zones.topic))).drop("message_key")
 
 
@@ -202,10 +201,8 @@ def raw_replayed(spark: SparkSession, sf: str) -> DataFrame:
 )
 def curated_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
     """Silver reprocessed from bronze under other rules."""
-    from lakestream.schemas import SensorRule, SensorRules
-
     stricter = SensorRules((SensorRule("view", "u", 50.0),), corrupt_above=400.0)
-    zone = rebuild(spark, lake(spark, sf), scratch_path(spark, "rebuilt"), stricter)
+    zone = rebuild(spark, lake(spark, sf, "raw"), scratch_path(spark, "rebuilt"), stricter)
     return zone.groupBy("sensor_type", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("readings"), F.count_if("is_anomaly").alias("anomalies")
     )
@@ -217,10 +214,11 @@ def curated_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
            count(*) AS same_rows FROM log"""
 )
 def compaction(spark: SparkSession, sf: str) -> DataFrame:
-    """A zone written as many small files, compacted to one per directory with the rows unchanged."""
+    """A zone three writers have appended to, compacted to one file per directory, rows unchanged."""
     source, target = scratch_path(spark, "scattered"), scratch_path(spark, "compacted")
-    scattered = curated(spark, sf).repartition(4, "offset")
-    write_batch(scattered, source, ("sensor_type", "year", "month", "day"))
+    for partition in range(3):
+        rows = gathered(curated(spark, sf).filter(F.col("partition") == partition), CURATED_PARTITIONS)
+        rows.write.mode("append").partitionBy(*CURATED_PARTITIONS).parquet(source)
     report = compact(spark, source, target)
     rows = verify_same_rows(spark.read.parquet(source), spark.read.parquet(target))
     return report.select(

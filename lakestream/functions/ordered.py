@@ -27,12 +27,19 @@ def with_bucket(df: DataFrame, order_by: str, width: int) -> DataFrame:
 def carried_over(
     bucketed: DataFrame, groups: Sequence[str], summary: Column, combine: Column
 ) -> DataFrame:
-    """Per (group, bucket) the `combine` of `_summary` over all earlier buckets of the group."""
-    earlier = W.partitionBy(*groups).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    """Per (group, bucket) the `combine` of `_summary` over all earlier buckets of the group, and over
+    the whole group."""
+    group = W.partitionBy(*groups)
+    earlier = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     return (
         bucketed.groupBy(*groups, "_bucket")
         .agg(summary.alias("_summary"))
-        .select(*groups, "_bucket", combine.over(earlier).alias("_carry"))
+        .select(
+            *groups,
+            "_bucket",
+            combine.over(earlier).alias("_carry"),
+            combine.over(group).alias("_whole"),
+        )
     )
 
 
@@ -51,7 +58,7 @@ def number_rows(
         bucketed.withColumn("_rn", F.row_number().over(within).cast("bigint") - 1)
         .join(carry, [*groups, "_bucket"], "left")
         .withColumn(name, F.col("_rn") + F.coalesce(F.col("_carry"), F.lit(0)))
-        .drop("_rn", "_carry", "_bucket")
+        .drop("_rn", "_carry", "_whole", "_bucket")
     )
 
 
@@ -61,9 +68,10 @@ def running_total(
     order_by: str,
     value: str,
     name: str,
+    whole: str,
     width: int = BUCKET_WIDTH,
 ) -> DataFrame:
-    """The sum of `value` over the group up to and including the row."""
+    """The sum of `value` over the group up to and including the row, and over the `whole` group."""
     bucketed = with_bucket(df, order_by, width)
     carry = carried_over(bucketed, groups, F.sum(value), F.sum("_summary"))
     within = (
@@ -73,6 +81,7 @@ def running_total(
         bucketed.withColumn("_local", F.sum(value).over(within))
         .join(carry, [*groups, "_bucket"], "left")
         .withColumn(name, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0)))
+        .withColumnRenamed("_whole", whole)
         .drop("_local", "_carry", "_bucket")
     )
 
@@ -95,5 +104,5 @@ def running_max_before(
         bucketed.withColumn("_local", F.max(value).over(within))
         .join(carry, [*groups, "_bucket"], "left")
         .withColumn(name, F.greatest("_local", "_carry"))
-        .drop("_local", "_carry", "_bucket")
+        .drop("_local", "_carry", "_whole", "_bucket")
     )

@@ -284,14 +284,13 @@ def delay_quantiles(
         )
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = steps.groupBy("arrival_hour").agg(F.sum("n").alias("_all"))
-    placed = running_total(steps, ["arrival_hour"], "step", "n", "_upto")
-    reached = [F.col("_upto") >= F.ceil(F.col("_all") * F.lit(q)) for q in quantiles]
+    placed = running_total(steps, ["arrival_hour"], "step", "n", "upto", "readings")
+    reached = [F.col("upto") >= F.ceil(F.col("readings") * F.lit(q)) for q in quantiles]
     picks = [
         (F.min(F.when(hit, F.col("step"))) * F.lit(resolution_ms)).alias(f"p{round(q * 100)}_ms")
         for q, hit in zip(quantiles, reached)
     ]
-    return placed.join(totals, "arrival_hour").groupBy("arrival_hour").agg(*picks)
+    return placed.groupBy("arrival_hour").agg(*picks)
 
 
 # --- agreement -------------------------------------------------------------------------------------

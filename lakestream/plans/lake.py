@@ -13,10 +13,10 @@ from lakestream.functions.columns import with_date_parts
 from lakestream.functions.payload import parse_readings
 from lakestream.operators.lake_queries import daily_stats
 from lakestream.operators.quality import drop_malformed, flag_anomalies, in_range
-from lakestream.schemas import CURATED_ZONE, DEFAULT_RULES, READING_V2, SensorRules
+from lakestream.schemas import CURATED_ZONE, GOLD_ZONE, DEFAULT_RULES, READING_V2, SensorRules
 from lakestream.sinks.batch import write_curated, write_gold
 from lakestream.sources.log import EARLIEST, LogConfig, StartPosition, read_log_stream
-from lakestream.sources.zones import read_zone, replay_raw
+from lakestream.sources.zones import read_or_empty, read_zone, replay_raw
 from lakestream.streaming.supervise import run_queries
 from lakestream.streaming.writers import LAKE_TRIGGER, write_curated_zone, write_raw_zone
 
@@ -88,9 +88,9 @@ def run_lake(
 
 def build_gold(spark: SparkSession, lake: Lake, sensor: str | None = None) -> DataFrame:
     """Recompute gold from the curated zone, for all sensors or one; the others stay as they are."""
-    curated = read_zone(spark, lake.curated, CURATED_ZONE)
+    curated = read_or_empty(spark, lake.curated, CURATED_ZONE)
     write_gold(daily_stats(curated, sensor), lake.gold)
-    return read_zone(spark, lake.gold)
+    return read_zone(spark, lake.gold, GOLD_ZONE)
 
 
 def rebuild_curated(

@@ -10,12 +10,24 @@ from pyspark.sql import SparkSession
 SCRATCH_SETTING = "spark.checkpoint.dir"
 
 
-def ensure_utc(spark: SparkSession) -> SparkSession:
-    """Date parts, hour-of-day and ISO strings are defined in UTC everywhere in this library."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Date parts, hours and ISO texts are in UTC everywhere in this library, and of a key repeated in a
+    JSON object the last one counts."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
+def _sibling(spark: SparkSession) -> SparkSession:
+    """A session of the same application that starts with this one's settings."""
+    session = spark.newSession()
+    theirs = session.conf.getAll
+    for name, value in spark.conf.getAll.items():
+        if theirs.get(name) != value and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return prepare(session)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for tables and stream checkpoints, as the cluster names it.
 
@@ -46,7 +58,7 @@ def streaming_session(
     the in-memory store serves fastest; `large_state`, for positions remembered by a deduplicating stream,
     keeps it in RocksDB off the heap.
     """
-    session = ensure_utc(spark.newSession())
+    session = _sibling(spark)
     session.conf.set(
         "spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism)
     )
@@ -66,7 +78,7 @@ def listing_session(spark: SparkSession) -> SparkSession:
     Spark packs files into tasks by their size, so listing 100 TB would take a task per 128 MB although
     nothing is read; here the number of tasks follows the cluster's cores.
     """
-    session = ensure_utc(spark.newSession())
+    session = _sibling(spark)
     tasks = 4 * spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.files.maxPartitionNum", str(tasks))
     return session

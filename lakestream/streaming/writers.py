@@ -187,10 +187,15 @@ def stream_batch_stats(
 
 
 def maintain_latest(
-    readings: DataFrame, path: str, checkpoint: str, trigger: str | None = STATS_TRIGGER
+    readings: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = STATS_TRIGGER,
+    slots: int = 10,
 ) -> StreamingQuery:
-    """Keep the newest reading per sensor. State is one row per sensor; each batch writes the sensors
-    that changed, and `read_latest` takes the newest of them."""
+    """Keep the newest reading per sensor. State is one row per sensor; each batch writes all of them to
+    the next of a few slots, so the table stays small and a reader of the last slots is not disturbed.
+    A repeated batch uses its slot again."""
     order = F.struct(
         F.coalesce(F.unix_millis("event_time"), F.lit(0)).alias("age"), "partition", "offset"
     )
@@ -202,15 +207,18 @@ def maintain_latest(
             F.max(order).alias("position"),
         )
     )
-    return foreach_batch(
-        newest, lambda rows, i: write_batch_once(rows, path, i), checkpoint, trigger, "update"
-    )
+
+    def work(rows: DataFrame, batch_id: int) -> None:
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/slot={batch_id % slots}")
+
+    return foreach_batch(newest, work, checkpoint, trigger, "complete")
 
 
-def read_latest(changes: DataFrame) -> DataFrame:
-    """The current view from the changes `maintain_latest` has written."""
+def read_latest(slots: DataFrame) -> DataFrame:
+    """The current view from the slots `maintain_latest` has written: positions only grow, so the newest
+    per sensor is right even while a slot is being replaced."""
     return (
-        changes.groupBy("sensor")
+        slots.groupBy("sensor")
         .agg(F.max_by("reading", "position").alias("reading"), F.max("position").alias("position"))
         .select("sensor", "reading.*", "position.partition", "position.offset")
     )

@@ -136,6 +136,13 @@ def test_sensor_types(spark, lake):
     assert [r[0] for r in lake_queries.sensor_types(nothing, DEFAULT_RULES.sensors).collect()] == DEFAULT_RULES.sensors
 
 
+def test_gold_of_nothing(spark, tmp_path):
+    empty = Lake(str(tmp_path))
+    assert build_gold(spark, empty).isEmpty()
+    assert zones.register_views(spark, empty.curated, empty.gold) == ["sensor_curated"]
+    assert lake_queries.run_sql(spark, "full_count").first().n == 0
+
+
 def test_missing_zones_are_empty_and_other_errors_are_not_hidden(spark, lake):
     assert zones.read_or_empty(spark, lake.root + "/none", GOLD_ZONE).isEmpty()
     assert not zones.zone_exists(spark, lake.root + "/none") and zones.zone_exists(spark, lake.gold)

@@ -42,9 +42,9 @@ def test_running_max(rows, width):
 @pytest.mark.parametrize("width", [1, 7, 10_000])
 def test_running_total(rows, width):
     upto = W.partitionBy("g").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
-    plain = rows.withColumn("t", F.sum("v").over(upto))
-    got = ordered.running_total(rows, ["g"], "at", "v", "t", width)
-    key = lambda df: {(r.g, r.at): r.t for r in df.collect()}
+    plain = rows.withColumns({"t": F.sum("v").over(upto), "all": F.sum("v").over(W.partitionBy("g"))})
+    got = ordered.running_total(rows, ["g"], "at", "v", "t", "all", width)
+    key = lambda df: {(r.g, r.at): (r.t, r["all"]) for r in df.collect()}
     assert key(got) == key(plain)
 
 

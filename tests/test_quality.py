@@ -12,6 +12,7 @@ from lakestream.operators import quality as q
 from lakestream.plans.etl import flagged_readings
 from lakestream.plans.lake import curated_readings
 from lakestream.schemas import DEFAULT_RULES, SensorRule, SensorRules
+from lakestream.session import prepare
 
 # name, body, kept by the typed parse, kept by the curated gate, API status
 CASES = [
@@ -92,6 +93,13 @@ def test_json_values_as_numbers(spark, value, expected):
     assert q.validate_payloads(log).first().submitted == expected
 
 
+def test_of_a_repeated_key_the_last_counts(spark):
+    prepare(spark)
+    log = records(spark, ['{"sensor":"humidity","value":"hot","value":5}'])
+    row = q.validate_payloads(log).first()
+    assert (row.status_code, row.submitted) == (201, 5.0)
+
+
 def test_accepted_bodies_get_defaults_and_the_clock(spark):
     log = records(spark, ['{"sensor":"humidity","value":"50"}', '{"sensor":"humidity","value":50,"unit":"%","device_id":"h"}'])
     rows = q.accepted_readings(q.validate_payloads(log), now_ms=F.lit(7)).collect()

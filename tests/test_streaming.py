@@ -165,8 +165,8 @@ def test_batches_by_id_can_be_compacted(spark, session, feed, tmp_path):
     source = str(tmp_path / "o")
     rows = curated_readings(src.read_log_stream(session, feed.config))
     writers.foreach_batch_once(rows, source, str(tmp_path / "c"), None, ["sensor_type"]).awaitTermination()
-    report = compact(spark, source, str(tmp_path / "n"), ["ingest_batch", "sensor_type"]).first()
-    assert report.after_files == 6
+    report = compact(spark, source, str(tmp_path / "n"), ["sensor_type"]).first()
+    assert (report.before_files, report.after_files) == (6, 2)
     assert spark.read.parquet(str(tmp_path / "n")).count() == 6
 
 
@@ -191,6 +191,10 @@ def test_the_latest_view_follows_the_stream(spark, session, feed, tmp_path):
     assert run() == {"t": (1.0, 0), "h": (2.0, 1)}
     feed.add(at("t", 3.0, "10:05:00"), at("h", 4.0, "09:00:00"))
     assert run() == {"t": (3.0, 2), "h": (2.0, 1)}
+    for i in range(4, 16):
+        feed.add(at("t", float(i), "11:00:00"))
+    assert run() == {"t": (15.0, 15), "h": (2.0, 1)}
+    assert spark.read.parquet(path).select("slot").distinct().count() == 10
 
 
 def test_statistics_per_micro_batch(spark, session, feed, tmp_path):
