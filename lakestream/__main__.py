@@ -124,8 +124,8 @@ def stats(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def sensors(spark: SparkSession, args: argparse.Namespace) -> None:
-    curated = read_or_empty(spark, Lake(args.lake).curated, CURATED_ZONE)
-    show("Sensors", lake_queries.sensor_types(curated, DEFAULT_RULES.sensors))
+    curated = Lake(args.lake).curated
+    show("Sensors", lake_queries.sensor_types(spark, curated, DEFAULT_RULES.sensors))
 
 
 def latest(spark: SparkSession, args: argparse.Namespace) -> None:

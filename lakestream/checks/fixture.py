@@ -7,6 +7,7 @@ application to the shared scratch folder, as a topic or a lake would be.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,15 +63,17 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 _written: dict[tuple[str, str, str], str] = {}
+_writing = threading.RLock()
 
 
 def once(spark: SparkSession, label: str, sf_dir: str, build: Callable[[str], object]) -> str:
     """The path of a derived table, writing it on first use in this application."""
     slot = (spark.sparkContext.applicationId, label, sf_dir)
-    if slot not in _written:
-        path = scratch_path(spark, label)
-        build(path)
-        _written[slot] = path
+    with _writing:
+        if slot not in _written:
+            path = scratch_path(spark, label)
+            build(path)
+            _written[slot] = path
     return _written[slot]
 
 

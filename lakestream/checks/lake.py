@@ -179,7 +179,7 @@ def recent_readings(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(f"{WITH_LOG} SELECT DISTINCT sensor AS sensor_type FROM log")
 def sensor_types(spark: SparkSession, sf: str) -> DataFrame:
-    return lake_queries.sensor_types(curated(spark, sf), RULES.sensors)
+    return lake_queries.sensor_types(spark, lake(spark, sf, "curated").curated, RULES.sensors)
 
 
 @check(

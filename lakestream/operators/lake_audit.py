@@ -49,6 +49,16 @@ def partition_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
+    """The distinct values of a partition column that have files; none if the folder does not exist."""
+    try:
+        return partition_files(spark, root).select(F.col(column).cast("string")).distinct()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"`{column}` string")
+
+
 def file_inventory(spark: SparkSession, zones: Mapping[str, str]) -> DataFrame:
     """Parquet and JSON files of several zones: zone, kind, path relative to the zone, length."""
     parts = None

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.functions.columns import date_string, percentage, round_half_up
+from lakestream.operators.lake_audit import partition_values
 from lakestream.operators.quality import only_sensor
 from lakestream.schemas import DEFAULT_RULES, SensorRules
 
@@ -168,12 +169,13 @@ def sensor_stats(
     )
 
 
-def sensor_types(curated: DataFrame, known: Sequence[str] = ()) -> DataFrame:
-    """Sensors the zone has data for, sorted; the known ones while it is empty. Reads no data column."""
-    present = curated.select("sensor_type").distinct()
-    if present.isEmpty() and known:
+def sensor_types(spark: SparkSession, curated: str, known: Sequence[str] = ()) -> DataFrame:
+    """Sensors the zone has directories with data for, sorted; the known ones while there are none. Taken
+    from the file listing: no file is opened."""
+    present = partition_values(spark, curated, "sensor_type")
+    if known and present.isEmpty():
         rows = [(name,) for name in sorted(known)]
-        return curated.sparkSession.createDataFrame(rows, "sensor_type string")
+        return spark.createDataFrame(rows, "sensor_type string")
     return present.orderBy("sensor_type")
 
 

@@ -239,16 +239,21 @@ def late_events(
     """Readings whose window a stream with this watermark would already have closed, had it processed
     the log record by record: the window's end is not after the largest time seen earlier in the
     partition, less the tolerated lateness. Copies of a record are one row with their number."""
-    positions = readings.groupBy("partition", "offset", "sensor", event_time).agg(
-        F.count(F.lit(1)).alias("copies")
+    # the bucket maxima and the rows come from one shuffle of this: both need `copies`, and the filter the
+    # join would add to one side is on both
+    positions = (
+        readings.groupBy("partition", "offset", "sensor", event_time)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .filter(F.col("partition").isNotNull())
+        .withColumn("_time", F.when(F.col("copies") > 0, F.col(event_time)))
     )
-    ordered = running_max_before(positions, ["partition"], "offset", event_time, "seen", width)
+    ordered = running_max_before(positions, ["partition"], "offset", "_time", "seen", width)
     closes = F.window(F.col(event_time), window)["end"]
     watermark = F.col("seen") - F.expr(f"INTERVAL {lateness}")
     return (
         ordered.withColumns({"window_end": closes, "watermark": watermark})
         .filter(F.col("window_end") <= F.col("watermark"))
-        .drop("seen")
+        .drop("seen", "_time")
     )
 
 
@@ -283,6 +288,8 @@ def delay_quantiles(
             F.floor(delay / F.lit(resolution_ms)).alias("step"),
         )
         .agg(F.count(F.lit(1)).alias("n"))
+        # said here, the join on the hour adds it to neither side alone, and both read one shuffle
+        .filter(F.col("arrival_hour").isNotNull())
     )
     placed = running_total(steps, ["arrival_hour"], "step", "n", "upto", "readings")
     reached = [F.col("upto") >= F.ceil(F.col("readings") * F.lit(q)) for q in quantiles]

@@ -64,7 +64,7 @@ def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 # Delivery settings of the publisher.
 PUBLISH_DEFAULTS = {
     "kafka.acks": "all",
-    "kafka.retries": "3",
+    "kafka.retries": "5",
     "kafka.linger.ms": "10",
     "kafka.batch.size": "32768",
     "kafka.compression.type": "gzip",

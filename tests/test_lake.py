@@ -131,9 +131,12 @@ def test_unknown_sensor_is_refused():
 
 
 def test_sensor_types(spark, lake):
-    assert [r[0] for r in lake_queries.sensor_types(curated(spark, lake)).collect()] == ["humidity", "pressure", "temperature"]
-    nothing = zones.read_or_empty(spark, lake.root + "/none", CURATED_ZONE)
-    assert [r[0] for r in lake_queries.sensor_types(nothing, DEFAULT_RULES.sensors).collect()] == DEFAULT_RULES.sensors
+    found = lake_queries.sensor_types(spark, lake.curated, ["radar"])
+    assert [r[0] for r in found.collect()] == ["humidity", "pressure", "temperature"]
+    nothing = lake.root + "/none"
+    assert lake_queries.sensor_types(spark, nothing).isEmpty()
+    known = lake_queries.sensor_types(spark, nothing, DEFAULT_RULES.sensors)
+    assert [r[0] for r in known.collect()] == DEFAULT_RULES.sensors
 
 
 def test_gold_of_nothing(spark, tmp_path):

@@ -38,9 +38,9 @@ def test_kafka_batch_options():
 
 
 def test_publish_options():
-    options = sinks.publish_options("b:9092", {"kafka.retries": "5"})
+    options = sinks.publish_options("b:9092", {"kafka.retries": "3"})
     assert options["kafka.acks"] == "all" and options["kafka.compression.type"] == "gzip"
-    assert options["kafka.retries"] == "5"
+    assert options["kafka.retries"] == "3" and options["kafka.linger.ms"] == "10"
 
 
 @pytest.fixture(scope="module")
