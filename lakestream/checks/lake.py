@@ -26,7 +26,7 @@ from lakestream.plans.lake import rebuild_curated as rebuild
 from lakestream.plans.maintenance import compact, verify_same_rows
 from lakestream.schemas import CURATED_PARTITIONS, CURATED_ZONE, GOLD_ZONE, SensorRule, SensorRules
 from lakestream.session import scratch_path
-from lakestream.sinks.batch import gathered, write_batch, write_gold, write_raw, write_verified
+from lakestream.sinks.batch import write_batch, write_gold, write_raw, write_verified
 from lakestream.sources.zones import read_zone, register_views, replay_raw
 from lakestream.streaming.writers import raw_zone_rows
 
@@ -217,7 +217,7 @@ def compaction(spark: SparkSession, sf: str) -> DataFrame:
     """A zone three writers have appended to, compacted to one file per directory, rows unchanged."""
     source, target = scratch_path(spark, "scattered"), scratch_path(spark, "compacted")
     for partition in range(3):
-        rows = gathered(curated(spark, sf).filter(F.col("partition") == partition), CURATED_PARTITIONS)
+        rows = curated(spark, sf).filter(F.col("partition") == partition)
         rows.write.mode("append").partitionBy(*CURATED_PARTITIONS).parquet(source)
     report = compact(spark, source, target)
     rows = verify_same_rows(spark.read.parquet(source), spark.read.parquet(target))

@@ -26,6 +26,11 @@ CHUNK = 50
 HIGH_LAG = 50
 
 
+def _partition_columns(*frames: DataFrame) -> list[str]:
+    """What identifies a log partition: the topic too, where the rows carry it."""
+    return [c for c in PARTITION if all(c in df.columns for df in frames)]
+
+
 # --- serving ---------------------------------------------------------------------------------------
 
 
@@ -58,7 +63,7 @@ def latest_readings(
     age = F.coalesce(F.unix_millis("event_time"), F.lit(0))
     if n == 1:
         newest = F.max_by(
-            F.struct(*[c for c in _latest_columns()]),
+            F.struct(*_latest_columns()),
             F.struct(age.alias("age"), "partition", "offset"),
         )
         return wanted.groupBy("sensor").agg(newest.alias("row")).select("row.*")
@@ -79,7 +84,11 @@ def batch_stats(readings: DataFrame, n: int = CHUNK, key: str = "message_key") -
     """
     return (
         readings.filter(F.col(key) != "")
-        .groupBy("partition", F.expr(f"offset div {int(n)}").alias("chunk"), F.col(key).alias("sensor"))
+        .groupBy(
+            *_partition_columns(readings),
+            F.expr(f"offset div {int(n)}").alias("chunk"),
+            F.col(key).alias("sensor"),
+        )
         .agg(
             F.count(F.lit(1)).alias("count"),
             round_half_up(F.min("value"), 2).alias("min"),
@@ -241,13 +250,15 @@ def late_events(
     partition, less the tolerated lateness. Copies of a record are one row with their number."""
     # the bucket maxima and the rows come from one shuffle of this: both need `copies`, and the filter the
     # join would add to one side is on both
+    partition = _partition_columns(readings)
     positions = (
-        readings.groupBy("partition", "offset", "sensor", event_time)
+        readings.groupBy(*partition, "offset", "sensor", event_time)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .filter(F.col("partition").isNotNull())
         .withColumn("_time", F.when(F.col("copies") > 0, F.col(event_time)))
     )
-    ordered = running_max_before(positions, ["partition"], "offset", "_time", "seen", width)
+    for column in partition:
+        positions = positions.filter(F.col(column).isNotNull())
+    ordered = running_max_before(positions, partition, "offset", "_time", "seen", width)
     closes = F.window(F.col(event_time), window)["end"]
     watermark = F.col("seen") - F.expr(f"INTERVAL {lateness}")
     return (
@@ -368,7 +379,7 @@ def reconcile(
 ) -> DataFrame:
     """What became of every raw offset: curated, rejected (with reasons), lost, or duplicated; and
     offsets of the curated zone that raw does not have, as unexpected."""
-    position = ["partition", "offset"]
+    position = [*_partition_columns(raw_readings, curated), "offset"]
     raw = raw_readings.select(*position, rejection_bits(rules).alias("bits"), F.lit(0).alias("kept"))
     kept = curated.select(*position, F.lit(None).cast("int").alias("bits"), F.lit(1).alias("kept"))
     # one shuffle of four numbers per row, combined before it, instead of joining two aggregates

@@ -49,7 +49,8 @@ def compact(
     sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rewrite a zone to a new folder with at most `files_per_partition` files per directory, and report
-    on it. `where`, on partition columns, compacts a part of the zone, such as the last closed month.
+    on it. `where`, on partition columns, compacts a part of the zone, such as the last closed month, and
+    leaves what the target already holds of other parts.
 
     A directory that would not fit its files at the target size gets as many as it fills, each written
     by a task of its own, so the largest directory never ends up in one task. Rows are spread by the file
@@ -69,18 +70,22 @@ def compact(
     (
         spread.select(*zone.columns)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if where is None else "dynamic")
         .partitionBy(*partitions)
         .option("compression", "snappy")
         .parquet(target)
     )
-    return compaction_report(spark, source, target)
+    return compaction_report(spark, source, target, where)
 
 
-def compaction_report(spark: SparkSession, source: str, target: str | None = None) -> DataFrame:
+def compaction_report(
+    spark: SparkSession, source: str, target: str | None = None, where: Column | None = None
+) -> DataFrame:
     """Files and bytes before and after; without a target, what there is to compact (a dry run)."""
 
     def measured(root: str, name: str) -> DataFrame:
-        return list_files(spark, root).agg(
+        files = list_files(spark, root) if where is None else partition_files(spark, root).filter(where)
+        return files.agg(
             F.count(F.lit(1)).alias(f"{name}_files"),
             F.coalesce(F.sum("length"), F.lit(0)).alias(f"{name}_bytes"),
         )

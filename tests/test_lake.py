@@ -247,6 +247,9 @@ def test_compacting_a_part(spark, scattered, tmp_path):
     maintenance.compact(spark, scattered, target, where=F.col("month") == 1, sort_by=["event_time"])
     assert {r.month for r in spark.read.parquet(target).select("month").distinct().collect()} == {1}
     assert spark.read.parquet(target).count() == 27
+    report = maintenance.compact(spark, scattered, target, where=F.col("month") == 2).first()
+    assert report.after_files == 9 and report.before_files > 9
+    assert spark.read.parquet(target).count() == 54
 
 
 def test_null_directories_survive_compaction(spark, tmp_path):

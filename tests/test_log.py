@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import body, epoch_ms, plan_of, records, utc
+from conftest import body, epoch_ms, plan_of, records
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
 from lakestream.sinks import batch as sinks
@@ -136,6 +136,16 @@ def test_statistics_of_one_batch(spark):
     assert got == {"pressure": (2, 982.81, 1034.67, 1008.74), "temperature": (3, 12.12, 35.77, 24.11)}
 
 
+def test_topics_are_kept_apart(spark):
+    log = records(spark, [("s", body("s", 1.0, "2024-01-01T12:00:00")), ("s", body("s", 2.0))])
+    other = log.withColumn("topic", F.lit("u")).filter("offset = 1")
+    both = parse_readings(log.filter("offset = 0").unionAll(other), extra=("topic",))
+    assert {(r.topic, r["count"]) for r in audit.batch_stats(both).collect()} == {("t", 1), ("u", 1)}
+    assert audit.late_events(both).isEmpty()
+    same = parse_readings(log, extra=("topic",))
+    assert [r.offset for r in audit.late_events(same).collect()] == [1]
+
+
 def test_chunks_follow_offsets(spark):
     log = records(spark, [("s", body("s", 1.0)) for _ in range(7)], first=48)
     got = {r.chunk: r["count"] for r in audit.batch_stats(parse_readings(log), 50).collect()}
