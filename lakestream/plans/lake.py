@@ -13,7 +13,14 @@ from lakestream.functions.columns import with_date_parts
 from lakestream.functions.payload import parse_readings
 from lakestream.operators.lake_queries import daily_stats
 from lakestream.operators.quality import drop_malformed, flag_anomalies, in_range
-from lakestream.schemas import CURATED_ZONE, GOLD_ZONE, DEFAULT_RULES, READING_V2, SensorRules
+from lakestream.schemas import (
+    CURATED_PARTITIONS,
+    CURATED_ZONE,
+    DEFAULT_RULES,
+    GOLD_ZONE,
+    READING_V2,
+    SensorRules,
+)
 from lakestream.sinks.batch import write_curated, write_gold
 from lakestream.sources.log import EARLIEST, LogConfig, StartPosition, read_log_stream
 from lakestream.sources.zones import read_or_empty, read_zone, replay_raw
@@ -52,14 +59,17 @@ class Lake:
 def curated_readings(
     log: DataFrame, rules: SensorRules = DEFAULT_RULES, schema: StructType = READING_V2
 ) -> DataFrame:
-    """Log records to rows of the curated zone, dated by event time."""
+    """Log records to rows of the curated zone, dated by event time. Payload fields that a wider schema
+    adds become columns of the zone."""
     clean = drop_malformed(parse_readings(log, schema))
     sound = in_range(clean, rules.corrupt_below, rules.corrupt_above)
     dated = with_date_parts(flag_anomalies(sound, rules), "event_time", "day")
     renamed = dated.withColumnRenamed("sensor", "sensor_type")
     if "source" not in renamed.columns:
         renamed = renamed.withColumn("source", F.lit(None).cast("string"))
-    return renamed.select(*CURATED_ZONE.fieldNames())
+    columns = [c for c in CURATED_ZONE.fieldNames() if c not in CURATED_PARTITIONS]
+    added = [c for c in schema.fieldNames() if c not in (*columns, "sensor", "timestamp")]
+    return renamed.select(*columns, *added, *CURATED_PARTITIONS)
 
 
 def run_lake(
@@ -94,12 +104,18 @@ def build_gold(spark: SparkSession, lake: Lake, sensor: str | None = None) -> Da
 
 
 def rebuild_curated(
-    spark: SparkSession, lake: Lake, target: str, rules: SensorRules = DEFAULT_RULES
+    spark: SparkSession,
+    lake: Lake,
+    target: str,
+    rules: SensorRules = DEFAULT_RULES,
+    schema: StructType = READING_V2,
 ) -> DataFrame:
-    """Reprocess everything the raw zone kept into a fresh curated zone, for changed rules or fields.
+    """Reprocess everything the raw zone kept into a fresh curated zone, for changed rules or for fields
+    that were not read at first.
 
     The target is a new folder: a streaming sink's own folder lists only files of its log, and writing
     over the folder being read would destroy it.
     """
-    write_curated(curated_readings(replay_raw(spark, lake.raw, lake.topic), rules), target)
-    return read_zone(spark, target, CURATED_ZONE)
+    rows = curated_readings(replay_raw(spark, lake.raw, lake.topic), rules, schema)
+    write_curated(rows, target)
+    return read_zone(spark, target, rows.schema)

@@ -9,7 +9,16 @@ from conftest import body, plan_of, records
 from lakestream.operators import lake_audit, lake_queries
 from lakestream.plans import maintenance
 from lakestream.plans.lake import Lake, build_gold, curated_readings, rebuild_curated
-from lakestream.schemas import CURATED_PARTITIONS, CURATED_ZONE, DEFAULT_RULES, GOLD_ZONE, SensorRule, SensorRules
+from lakestream.schemas import (
+    CURATED_PARTITIONS,
+    CURATED_ZONE,
+    DEFAULT_RULES,
+    GOLD_ZONE,
+    READING_V2,
+    SensorRule,
+    SensorRules,
+    schema,
+)
 from lakestream.sinks import batch as sinks
 from lakestream.sources import zones
 from lakestream.streaming.writers import raw_zone_rows
@@ -177,6 +186,17 @@ def test_silver_from_bronze_with_new_rules(spark, lake, tmp_path):
     assert maintenance.verify_same_rows(curated(spark, lake), same, exact=True) == 54
 
 
+def test_a_field_that_was_not_read_at_first_is_recovered_from_bronze(spark, tmp_path):
+    made = Lake(str(tmp_path / "lake"))
+    log = records(spark, [body("humidity", 1.0), body("humidity", 2.0, firmware="1.2")])
+    sinks.write_raw(raw_zone_rows(log), made.raw)
+    assert "firmware" not in curated_readings(log).columns
+    wider = schema(**{f.name: f.dataType.typeName() for f in READING_V2}, firmware="string")
+    zone = rebuild_curated(spark, made, str(tmp_path / "wide"), schema=wider)
+    assert {(r.value, r.firmware) for r in zone.collect()} == {(1.0, None), (2.0, "1.2")}
+    assert set(CURATED_ZONE.fieldNames()) < set(zone.columns)
+
+
 def test_evolved_schema(spark, tmp_path):
     old, new = str(tmp_path / "z/g=1"), str(tmp_path / "z/g=2")
     sinks.write_batch(spark.range(2), old)
