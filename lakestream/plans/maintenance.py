@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,29 +84,27 @@ def compaction_report(
 ) -> DataFrame:
     """Files and bytes before and after; without a target, what there is to compact (a dry run)."""
 
-    def measured(root: str, name: str) -> DataFrame:
+    def lengths(root: str, side: str) -> DataFrame:
         files = list_files(spark, root) if where is None else partition_files(spark, root).filter(where)
-        return files.agg(
-            F.count(F.lit(1)).alias(f"{name}_files"),
-            F.coalesce(F.sum("length"), F.lit(0)).alias(f"{name}_bytes"),
-        )
-
-    before = measured(source, "before").withColumn(
-        "before_avg", F.expr("try_divide(before_bytes, before_files)").cast("bigint")
-    )
+        return files.select("length", F.lit(side).alias("side"))
+
+    sides = {"before": source} if target is None else {"before": source, "after": target}
+    files = reduce(DataFrame.unionByName, [lengths(root, side) for side, root in sides.items()])
+    sums = []
+    for side in sides:
+        here = F.col("side") == side
+        count = F.count_if(here)
+        total = F.coalesce(F.sum(F.when(here, F.col("length"))), F.lit(0))
+        sums += [
+            count.alias(f"{side}_files"),
+            total.alias(f"{side}_bytes"),
+            F.floor(F.try_divide(total, count)).alias(f"{side}_avg"),
+        ]
+    report = files.agg(*sums)
     if target is None:
-        return before
-    after = measured(target, "after").withColumn(
-        "after_avg", F.expr("try_divide(after_bytes, after_files)").cast("bigint")
-    )
-    saved = (F.lit(1.0) - F.try_divide(F.col("after_files").cast("double"), F.col("before_files"))) * 100
-    one = F.lit(1).alias("_one")
-    return (
-        before.select("*", one)
-        .join(after.select("*", one), "_one")
-        .drop("_one")
-        .withColumn("reduction_pct", F.round(saved, 1))
-    )
+        return report
+    kept = F.try_divide(F.col("after_files").cast("double"), F.col("before_files"))
+    return report.withColumn("reduction_pct", F.round((F.lit(1.0) - kept) * 100, 1))
 
 
 def verify_same_rows(left: DataFrame, right: DataFrame, exact: bool = False) -> int:
