@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestream.llm import bpe, packing
+from lakestream.llm import bpe, packing, sharding, simhash, warc
 from lakestream.llm.corpus import read, ready
+from lakestream.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,54 @@ def op2_packing(spark, sf_dir):
     return packing.pack(cut).select(columns)
 
 
+@register
+def op3_simhash(spark, sf_dir):
+    """Every document with its fingerprint and its group of near duplicates."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@register
+def op5_sharding(spark, sf_dir):
+    """Every document in one of 16 shards of nearly equal bytes."""
+    placed = sharding.sharded(read(spark, sf_dir, "documents"), scratch_path(spark, "slot_map"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    columns = ["doc_id", "size", "text_crc32", law, "shard", "slot", grown, "virtual_slot", "map_version"]
+    return placed.select(*columns)
+
+
+@register
+def op6_warc(spark, sf_dir):
+    """Every page written to ZIP-packaged archives and read back."""
+    pages = read(spark, sf_dir, "pages")
+    archives = warc.write_archives(warc.records(pages), scratch_path(spark, "archives"))
+    key = pages.schema["page_id"].dataType.simpleString()
+    return warc.read_archives(archives).select(
+        F.col("page").cast(key).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(key).alias("refers_to"),
+    )
+
+
+#: SHA-1 has 160 bits: 32 base-32 digits, each made of 5 of them.
+ORACLES["op6_warc"] = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+), d AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, hex,
+        list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+            (CAST('0x' || substr(hex, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31
+        )::INTEGER, 1)), 'string_agg', '') AS payload_digest
+    FROM p
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM f
+"""
+
+
 @register
 def op9_bpe(spark, sf_dir):
     """Every document encoded, and decoded again."""
