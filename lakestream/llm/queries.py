@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import bpe, packing, sharding, simhash, warc
-from lakestream.llm.corpus import read, ready
+from lakestream.llm import bpe, langid, packing, sharding, simhash, warc
+from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,15 @@ FROM f
 """
 
 
+@register
+def op8_langid(spark, sf_dir):
+    """The language of every document; those of fold 1 of 3 are held out from training."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    found = langid.identify(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op9_bpe(spark, sf_dir):
     """Every document encoded, and decoded again."""
