@@ -219,7 +219,14 @@ class Reader:
         return means
 
 
-_readers: dict[int, Reader] = {}
+#: The worker's reader of the network it used last.
+_reader: list[Reader] = []
+
+
+def reader(network: Network) -> Reader:
+    if not _reader or _reader[0].network is not network:
+        _reader[:] = [Reader(network)]
+    return _reader[0]
 
 
 def training_words(
@@ -279,14 +286,11 @@ def identify(
     sent = spark.sparkContext.broadcast(network)  # a few kilobytes for each language
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if sent.id not in _readers and sent.value is not None:
-            _readers.clear()
-            _readers[sent.id] = Reader(sent.value)
         for batch in batches(table, 2 << 20):
             texts = batch.column(1).to_pylist()
             langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if sent.value is not None:
-                shares = _readers[sent.id].shares(texts)
+                shares = reader(sent.value).shares(texts)
                 best = shares.argmax(axis=1)
                 scores = shares.max(axis=1)
                 names = sent.value.languages
