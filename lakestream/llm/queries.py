@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import bpe, langid, packing, sharding, simhash, warc
+from lakestream.llm import bpe, langid, packing, sharding, simhash, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -27,6 +27,15 @@ def register(query: Query) -> Query:
     return query
 
 
+@register
+def op1_toxicity(spark, sf_dir):
+    """The toxicity of every document; labels of fold 0 of 5 are held out from training."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    found = toxicity.score(docs, toxicity.fit(docs, labels, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "clauses")
+
+
 @register
 def op2_packing(spark, sf_dir):
     """Every document packed into sequences of 1024 tokens."""
