@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import bpe, langid, packing, sharding, simhash, toxicity, warc
+from lakestream.llm import bpe, langid, packing, quality, sharding, simhash, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -50,6 +50,12 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@register
+def op4_quality(spark, sf_dir):
+    """Every document judged by the base rules and by cutoffs certified for its language and length."""
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @register
 def op5_sharding(spark, sf_dir):
     """Every document in one of 16 shards of nearly equal bytes."""
