@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import bpe, langid, packing, quality, sharding, simhash, toxicity, warc
+from lakestream.llm import ann, bpe, langid, packing, quality, sharding, simhash, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -98,6 +98,13 @@ FROM f
 """
 
 
+@register
+def op7_ann(spark, sf_dir):
+    """The ten nearest vectors of every hundredth, among all others."""
+    found = ann.neighbours(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 @register
 def op8_langid(spark, sf_dir):
     """The language of every document; those of fold 1 of 3 are held out from training."""
