@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestream.llm.corpus import batches, only, ready
+from lakestream.llm.corpus import batches, only, ready, where
 
 SAMPLE_DOCUMENTS = 600
 SAMPLE_WORDS = 150
@@ -35,6 +35,8 @@ LONGEST_RUN = 48
 #: Words the network reads at once, and the bytes of a worker's table of words.
 READ_AT_ONCE = 4096
 TABLE_BYTES = 32 << 20
+#: A document is recognised if the mean probability of its language reaches this.
+LEAST_SHARE = 0.35
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -299,3 +301,15 @@ def identify(
 
     out = only(documents, id_col, text_col).mapInArrow(run, f"id {key}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
+
+
+def recognised(
+    documents: DataFrame, network: Network | None, least: float = LEAST_SHARE, text_col: str = "text"
+) -> DataFrame:
+    """The documents whose language has a mean probability of at least `least`; without a network, all."""
+    sent = ready(documents.sparkSession).sparkContext.broadcast(network)
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        return [True] * len(texts) if sent.value is None else (reader(sent.value).shares(texts).max(axis=1) >= least).tolist()
+
+    return where(documents, text_col, keep)

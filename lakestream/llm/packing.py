@@ -163,16 +163,23 @@ def best_fit(lengths: Sequence[int], window: int = WINDOW) -> tuple[np.ndarray,
 
 
 def pack(
-    cut: DataFrame, window: int = WINDOW, run_pieces: int = RUN_PIECES, length_col: str = "length"
+    cut: DataFrame,
+    window: int = WINDOW,
+    run_pieces: int = RUN_PIECES,
+    length_col: str = "length",
+    total: int | None = None,
 ) -> DataFrame:
     """The pieces with `sequence_id` and `offset`. Offsets in a sequence leave no gap from 0.
 
     Runs have about `run_pieces` pieces; a task of more packs them run by run. Sequence ids are unique, and
-    ascending within a task.
+    ascending within a task. Without `total`, the number of pieces, the pieces are settled first to count
+    them: right for pieces without ids, which are a few numbers each.
     """
     spark = ready(cut.sparkSession)
-    cut = settled(cut)
-    runs = max(1, -(-cut.count() // run_pieces))
+    if total is None:
+        cut = settled(cut)
+        total = cut.count()
+    runs = max(1, -(-total // run_pieces))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
     where = cut.columns.index(length_col)
 

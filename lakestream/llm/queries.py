@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import ann, bpe, langid, packing, quality, sharding, simhash, toxicity, warc
+from lakestream.llm import ann, bpe, langid, packing, quality, secret_scan, sharding, simhash, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -118,3 +118,10 @@ def op8_langid(spark, sf_dir):
 def op9_bpe(spark, sf_dir):
     """Every document encoded, and decoded again."""
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op10_secrets(spark, sf_dir):
+    """Every candidate in every document, with the forest's verdict."""
+    docs = read(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs))

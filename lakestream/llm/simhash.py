@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestream.llm.components import connected
@@ -294,10 +294,13 @@ def near_duplicates(
 
 
 def deduplicated(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those of a group whose id is not the group's least.
-
-    Rows that repeat an id are one document and stay together; rows without an id stay.
-    """
-    found = near_duplicates(documents, id_col, text_col)
-    dropped = found.filter(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return documents.join(dropped, id_col, "left_anti").select(documents.columns)
+    """One document of each group, the one with the least id (a null id is least, then the text's hash
+    decides); of repeated rows one stays. All columns are as they were."""
+    name = "_row" + "_" * max(len(c) for c in documents.columns)  # longer than any other, so clashing with none
+    row = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("hash"))
+    named = documents.withColumn(name, row)
+    found = near_duplicates(named, name, text_col)
+    dropped = found.filter(F.col("component_id") != F.col(name)).select(name).distinct()
+    copy = F.row_number().over(Window.partitionBy(name).orderBy(name))
+    kept = named.join(dropped, name, "left_anti").withColumn("copy" + name, copy)
+    return kept.filter(F.col("copy" + name) == 1).drop(name, "copy" + name)

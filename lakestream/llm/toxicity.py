@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestream.llm.bpe import Recent
-from lakestream.llm.corpus import batches, only, ready, settled
+from lakestream.llm.corpus import batches, only, ready, settled, where
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 9000
 SHORTEST_STEM, LONGEST_STEM = 4, 10
@@ -381,3 +381,16 @@ def score(
 
     out = only(documents, id_col, text_col).mapInArrow(run, f"id {key}, score double, predicted int, clauses long")
     return out.withColumnRenamed("id", id_col)
+
+
+def accepted(documents: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The documents that score below 0.5; without a model, all."""
+    sent = ready(documents.sparkSession).sparkContext.broadcast(model)
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        if sent.value is None:
+            return [True] * len(texts)
+        own = scorer(sent.value)
+        return [own.score(own.clauses(t)) < 0.5 for t in texts]
+
+    return where(documents, text_col, keep)
