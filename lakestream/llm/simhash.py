@@ -254,9 +254,10 @@ def links(bits: DataFrame, radius: int = RADIUS, large_group: int = LARGE_GROUP)
     keys = ["block", "part", "quarter"]
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(table)).combine_chunks()  # fingerprints: 20 bytes a row
-        if not rows.num_rows:
+        held = [b for b in table if b.num_rows]
+        if not held:
             return
+        rows = pa.Table.from_batches(held).combine_chunks()  # fingerprints: 20 bytes a row
         columns = [rows.column(k).to_numpy() for k in keys]
         order = np.lexsort(columns)
         codes = rows.column("bits").to_numpy()[order].view(np.uint64)
