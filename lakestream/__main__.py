@@ -16,7 +16,7 @@ from lakestream.plans.etl import run_etl, run_etl_batch
 from lakestream.plans.lake import Lake, build_gold, run_lake
 from lakestream.schemas import CURATED_ZONE, DEFAULT_RULES
 from lakestream.session import prepare, streaming_session
-from lakestream.sources.log import LATEST, LogConfig, StartPosition, read_log_batch, seek_back_for
+from lakestream.sources.log import LATEST, LogConfig, StartPosition, read_log_batch
 from lakestream.sources.zones import read_or_empty, register_views
 from lakestream.streaming.writers import LAKE_TRIGGER, STATS_TRIGGER
 
@@ -98,8 +98,8 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, zones.curated, zones.compacted, files_per_partition=args.target_files
         ),
     )
-    old, new = (spark.read.schema(CURATED_ZONE).parquet(p) for p in (zones.curated, zones.compacted))
-    print(f"{maintenance.verify_same_rows(old, new)} rows, unchanged")
+    rows = maintenance.verify_compaction(spark, zones.curated, zones.compacted)
+    print(f"{rows} rows, unchanged")
 
 
 def explore(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -130,9 +130,12 @@ def sensors(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def latest(spark: SparkSession, args: argparse.Namespace) -> None:
     sensor = lake_queries.checked_sensor(args.sensor)
-    readings = parse_readings(read_log_batch(spark, log_of(args)), extra=("topic",))
-    back = None if args.exact else seek_back_for(args.n)
-    show("Latest", log_audit.latest_readings(readings, args.n, sensor, back))
+    log = read_log_batch(spark, log_of(args))
+    if args.exact:
+        found = log_audit.latest_readings(parse_readings(log), args.n, sensor)
+    else:
+        found = log_audit.latest_of_log(log, args.n, sensor, args.seek_back, extend=args.seek_back is None)
+    show("Latest", found)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -183,7 +186,8 @@ def parser() -> argparse.ArgumentParser:
     sub = command(latest, "newest readings of one sensor", log=True)
     sub.add_argument("sensor")
     sub.add_argument("-n", type=int, default=1)
-    sub.add_argument("--exact", action="store_true", help="search the whole log, not only its end")
+    sub.add_argument("--exact", action="store_true", help="by time over the whole log, not from its end")
+    sub.add_argument("--seek-back", type=int, help="look at so many offsets and no further: may be partial")
     return top
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.checks.fixture import (
+    REJECTED,
     RULES,
     SQL_LOG,
     TOPIC,
@@ -75,9 +76,32 @@ def latest_five(spark: SparkSession, sf: str) -> DataFrame:
     WHERE sensor = 'purchase' QUALIFY rank <= 5"""
 )
 def latest_from_tail(spark: SparkSession, sf: str) -> DataFrame:
-    """The quick form: one sensor, looking only at the end of each partition."""
-    rows = _readings(spark, sf, "topic")
-    return audit.latest_readings(rows, 5, "purchase", seek_back_for(5))
+    """The quick form, asked to look only at the end of each partition, which may be partial."""
+    return audit.latest_of_log(log(spark, sf), 5, "purchase", seek_back_for(5), extend=False)
+
+
+@check(
+    f"""{WITH_LOG}, {SQL_ENDS}, kept AS (
+      SELECT log.* FROM log JOIN ends USING ("partition") WHERE sensor <> 'error' OR "offset" < "end" - 200
+    ), marks AS (SELECT "partition", max("offset") + 1 AS e FROM kept GROUP BY 1
+    ), tries AS (
+      SELECT b, count(*) FILTER (sensor = 'error' AND "offset" >= e - b) AS n
+      FROM kept JOIN marks USING ("partition"), (SELECT unnest([30 * 4 ** i for i in range(14)]) AS b) GROUP BY b
+    ), tail AS (
+      SELECT kept.* FROM kept JOIN marks USING ("partition")
+      WHERE "offset" >= e - (SELECT min(b) FROM tries WHERE n >= 5 OR b = (SELECT max(b) FROM tries)))
+    SELECT {_LATEST}, CAST({_NEWEST} AS INTEGER) AS rank FROM tail
+    WHERE sensor = 'error' QUALIFY rank <= 5"""
+)
+def latest_quiet_sensor(spark: SparkSession, sf: str) -> DataFrame:
+    """A sensor that sent nothing for the last 200 offsets of any partition: the tail reaches back to it."""
+    records = log(spark, sf)
+    ends = {r["partition"]: r["end"] for r in end_offsets(records).collect()}
+    quiet = F.lit(False)
+    for partition, end in ends.items():
+        quiet = quiet | ((F.col("partition") == partition) & (F.col("offset") >= end - 200))
+    records = records.filter(~(quiet & (F.col("key") == F.lit("error").cast("binary"))))
+    return audit.latest_of_log(records, 5, "error")
 
 
 @check(
@@ -233,12 +257,46 @@ def sequence_problems(spark: SparkSession, sf: str) -> DataFrame:
     return audit.sequence_counts(*_sequence(spark, sf)).filter("status <> 'ok'")
 
 
-@check(f"""{WITH_LOG} SELECT '{TOPIC}' AS topic, "partition", "offset", sensor AS key FROM log""")
+@check(
+    f"""{WITH_LOG} SELECT sensor AS message_key, sensor, value, unit, device_id, event_time, "partition",
+                          "offset", kafka_timestamp, '{TOPIC}' AS topic FROM log"""
+)
 def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
     """Re-delivered records have no second effect."""
     records = log(spark, sf)
-    rows = audit.dedupe_log(records.unionByName(_only(records, "purchase")))
-    return rows.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"))
+    return parse_readings(audit.dedupe_log(records.unionByName(_only(records, "purchase"))), extra=["topic"])
+
+
+@check(
+    """SELECT * FROM (VALUES ('identical', true, true), ('nulls swapped', false, false),
+         ('empty text for null', false, false), ('columns swapped', false, false),
+         ('columns reordered', true, true), ('one row twice', false, false),
+         ('null in a struct', false, false), ('a column more', false, false))
+       t(case_name, by_fingerprint, exactly)"""
+)
+def same_rows_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole tables that differ only in where their nulls are, judged both ways."""
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    null, text = F.lit(None).cast("string"), F.col("event_type")
+    base = events.select("event_id", null.alias("a"), text.alias("b"))
+    pairs = {
+        "identical": (base, base),
+        "nulls swapped": (base, events.select("event_id", text.alias("a"), null.alias("b"))),
+        "empty text for null": (base, base.withColumn("a", F.lit(""))),
+        "columns swapped": (
+            events.select("event_id", F.lit("x").alias("a"), text.alias("b")),
+            events.select("event_id", text.alias("a"), F.lit("x").alias("b")),
+        ),
+        "columns reordered": (base, base.select("b", "event_id", "a")),
+        "one row twice": (base, base.union(base.filter("event_id = 0"))),
+        "null in a struct": (
+            base.select("event_id", F.struct("a", "b").alias("s")),
+            base.select("event_id", F.struct(F.col("b").alias("a"), F.col("a").alias("b")).alias("s")),
+        ),
+        "a column more": (base, base.withColumn("c", F.lit(1))),
+    }
+    rows = [(name, audit.same_rows(a, b), audit.same_rows(a, b, exact=True)) for name, (a, b) in pairs.items()]
+    return spark.createDataFrame(rows, "case_name string, by_fingerprint boolean, exactly boolean")
 
 
 @check(
@@ -327,10 +385,10 @@ def _reconciled(spark: SparkSession, sf: str) -> DataFrame:
     return audit.reconcile(readings, zone, RULES)
 
 
-SQL_RECONCILED = """
+SQL_RECONCILED = f"""
 fate AS (
   SELECT "partition", "offset",
-         CASE WHEN event_id % 50 IN (0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13) THEN 'rejected'
+         CASE WHEN event_id % 50 IN {REJECTED} THEN 'rejected'
               WHEN event_id % 50 = 4 THEN 'curated' WHEN sensor = 'view' THEN 'lost'
               WHEN sensor = 'signup' THEN 'duplicated' ELSE 'curated' END AS status
   FROM log)"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.checks.fixture import (
+    REJECTED,
     RULES,
     SQL_LOG,
     TOPIC,
@@ -91,12 +92,20 @@ def window_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     f"""{WITH_LOG}
-    SELECT '{TOPIC}' AS topic, "partition", "offset", sensor AS key, kafka_timestamp AS "timestamp"
-    FROM log"""
+    SELECT '{TOPIC}' AS topic, "partition", "offset", sensor AS key, kafka_timestamp AS "timestamp",
+           value AS sent_value, device_id AS sent_device FROM log"""
 )
 def log_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Bounded scan with decoded keys."""
-    return decode(log(spark, sf)).select("topic", "partition", "offset", "key", "timestamp")
+    """Bounded scan with decoded keys and payloads."""
+    return decode(log(spark, sf)).select(
+        "topic",
+        "partition",
+        "offset",
+        "key",
+        "timestamp",
+        F.get_json_object("value", "$.value").cast("double").alias("sent_value"),
+        F.get_json_object("value", "$.device_id").alias("sent_device"),
+    )
 
 
 @check(
@@ -113,8 +122,9 @@ SQL_TYPED = f"""
 typed AS (
   SELECT *, CASE WHEN event_id % 50 = 4 THEN 'radar' ELSE sensor END AS parsed_sensor,
          CASE event_id % 50 WHEN 7 THEN 999.9 WHEN 8 THEN 'NaN'::DOUBLE WHEN 13 THEN -500.5
+              WHEN 17 THEN 'NaN'::DOUBLE WHEN 18 THEN 'Infinity'::DOUBLE
               ELSE value END AS parsed_value
-  FROM log WHERE event_id % 50 NOT IN (0, 1, 2, 3, 5, 6, 9, 11, 12)
+  FROM log WHERE event_id % 50 NOT IN (0, 1, 2, 3, 5, 6, 9, 11, 12, 14, 15, 16)
 )"""
 
 
@@ -160,7 +170,7 @@ def known_sensors(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     f"""{WITH_LOG}, {SQL_TYPED}
     SELECT parsed_sensor AS sensor, parsed_value AS value, "partition", "offset" FROM typed
-    WHERE event_id % 50 NOT IN (4, 7, 8, 13)
+    WHERE event_id % 50 NOT IN (4, 7, 8, 13, 17, 18)
       AND value BETWEEN 0 AND CASE sensor WHEN 'error' THEN 200 WHEN 'purchase' THEN 400 ELSE 500 END"""
 )
 def physically_possible(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,6 +201,34 @@ def flagged_readings(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sensor", "value", "event_time", "partition", "offset", "is_anomaly")
 
 
+@check(
+    f"""{WITH_LOG}
+    SELECT device_id, value, "partition", "offset", value > user_id % 100 AS is_anomaly FROM log"""
+)
+def flagged_by_rules_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule for every device, and for a thousand and one that send nothing: rules as a table of any size."""
+    events = table(spark, sf, "events")
+    devices = events.select("user_id").distinct()
+    limit = (F.col("user_id") % 100).cast("double").alias("anomaly_above")
+    rules = devices.select(F.format_string("dev-%d", "user_id").alias("sensor"), limit)
+    spare = spark.range(1001).select(F.format_string("spare-%d", "id").alias("sensor"), F.lit(0.0))
+    rows = q.flag_anomalies(parse_readings(log(spark, sf)), rules.union(spare), "device_id")
+    return rows.select("device_id", "value", "partition", "offset", "is_anomaly")
+
+
+@check(
+    f"""{WITH_LOG}, {SQL_TYPED}
+    SELECT parsed_sensor AS sensor, "partition", "offset" FROM typed
+    WHERE event_id % 50 NOT IN (4, 7, 8, 13, 17, 18)
+      AND value BETWEEN 0 AND CASE sensor WHEN 'error' THEN 200 WHEN 'purchase' THEN 400 ELSE 500 END"""
+)
+def possible_by_rules_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Domain and physical range from a table."""
+    rules = RULES.to_frame(spark)
+    kept = q.in_domain(q.drop_malformed(parse_readings(broken_log(spark, sf))), rules)
+    return q.in_physical_range(kept, rules).select("sensor", "partition", "offset")
+
+
 @check(
     f"""{WITH_LOG}
     SELECT event_time, sensor, value, unit, device_id FROM log WHERE is_anomaly"""
@@ -234,15 +272,15 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     f"""{WITH_LOG}
     SELECT "partition", "offset",
-           CASE WHEN event_id % 50 IN (0, 11) THEN 'missing_sensor,missing_value,missing_event_time'
-                WHEN event_id % 50 IN (1, 9) THEN
+           CASE WHEN event_id % 50 IN (0, 11, 15) THEN 'missing_sensor,missing_value,missing_event_time'
+                WHEN event_id % 50 IN (1, 9, 14) THEN
                   CASE event_id % 50 WHEN 1 THEN 'missing_value,missing_event_time'
                        ELSE 'missing_event_time' END
                 WHEN event_id % 50 = 2 THEN 'missing_sensor,missing_event_time'
-                WHEN event_id % 50 IN (3, 5, 6, 12) THEN 'missing_value'
-                WHEN event_id % 50 = 8 THEN 'not_a_number'
+                WHEN event_id % 50 IN (3, 5, 6, 12, 16) THEN 'missing_value'
+                WHEN event_id % 50 IN (8, 17) THEN 'not_a_number'
                 ELSE 'out_of_range' END AS reasons
-    FROM log WHERE event_id % 50 IN (0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13)"""
+    FROM log WHERE event_id % 50 IN {REJECTED}"""
 )
 def quarantined(spark: SparkSession, sf: str) -> DataFrame:
     """The rejected side of the split, with every reason."""
@@ -253,7 +291,7 @@ def quarantined(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     f"""{WITH_LOG}
     SELECT CASE WHEN event_id % 50 = 4 THEN 'radar' ELSE sensor END AS sensor, "partition", "offset"
-    FROM log WHERE event_id % 50 NOT IN (0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13)"""
+    FROM log WHERE event_id % 50 NOT IN {REJECTED}"""
 )
 def accepted_by_split(spark: SparkSession, sf: str) -> DataFrame:
     """The good side of the split."""
@@ -268,7 +306,7 @@ judged AS (
          CASE sensor WHEN 'error' THEN 200 WHEN 'purchase' THEN 400 ELSE 500 END AS high
   FROM log
 ), verdict AS (
-  SELECT *, CASE WHEN c IN (0, 11) THEN 'not_json' WHEN c IN (1, 2) THEN 'missing_fields'
+  SELECT *, CASE WHEN c IN (0, 11, 14, 15, 17, 18) THEN 'not_json' WHEN c IN (1, 2) THEN 'missing_fields'
                  WHEN c = 4 THEN 'unknown_sensor' WHEN c IN (3, 5) THEN 'not_numeric'
                  WHEN c = 8 OR number NOT BETWEEN 0 AND high THEN 'out_of_range' END AS error
   FROM judged
@@ -280,8 +318,8 @@ judged AS (
     SELECT "partition", "offset", error,
            CAST(CASE WHEN error IS NULL THEN 201 WHEN error IN ('not_json', 'missing_fields') THEN 400
                 ELSE 422 END AS INTEGER) AS status_code,
-           CASE c WHEN 1 THEN 'value' WHEN 2 THEN 'sensor' WHEN 0 THEN 'sensor,value'
-                  WHEN 11 THEN 'sensor,value' ELSE '' END AS missing
+           CASE WHEN c = 1 THEN 'value' WHEN c = 2 THEN 'sensor'
+                WHEN c IN (0, 11, 14, 15, 17, 18) THEN 'sensor,value' ELSE '' END AS missing
     FROM verdict"""
 )
 def validated_payloads(spark: SparkSession, sf: str) -> DataFrame:
@@ -306,9 +344,9 @@ def accepted_submissions(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     f"""WITH {SQL_LOG}
-    SELECT "partition", "offset", event_id % 50 = 0 AS is_raw,
-           CASE WHEN event_id % 50 = 0 THEN '{{"raw":"' || {sql_body()} || '"}}' ELSE {sql_body()} END
-             AS payload
+    SELECT "partition", "offset", event_id % 50 IN (0, 14, 15, 17, 18) AS is_raw,
+           CASE WHEN event_id % 50 IN (0, 14, 15, 17, 18)
+                THEN '{{"raw":"' || replace({sql_body()}, '"', '\\"') || '"}}' ELSE {sql_body()} END AS payload
     FROM log"""
 )
 def json_or_raw_text(spark: SparkSession, sf: str) -> DataFrame:

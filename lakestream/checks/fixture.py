@@ -152,7 +152,14 @@ BROKEN = {
     11: "[{v}]",
     12: '{{"sensor":"{s}","value":true,"timestamp":{t}}}',
     13: '{{"sensor":"{s}","value":-500.5,"timestamp":{t}}}',
+    14: '{{"sensor":"{s}","value":{v}}} x',
+    15: '{{"a":1}}{{"b":2}}',
+    16: '{{"sensor":"{s}","value":"\\t{v}\u00a0","timestamp":{t}}}',
+    17: '{{"sensor":"{s}","value":NaN,"timestamp":{t}}}',
+    18: '{{"sensor":"{s}","value":Infinity,"timestamp":{t}}}',
 }
+# the variants that do not reach the curated zone
+REJECTED = "(0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13, 14, 15, 16, 17, 18)"
 GOOD = '{{"sensor":"{s}","value":{v},"timestamp":{t}}}'
 
 

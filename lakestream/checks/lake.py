@@ -16,18 +16,31 @@ from lakestream.checks.fixture import (
     curated,
     lake,
     log,
+    sql_body,
     sql_pct,
     sql_round,
 )
+from lakestream.functions.columns import round_half_up
+from lakestream.functions.folders import delete_folder
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import lake_audit, lake_queries
+from lakestream.operators.lake_audit import partition_files
+from lakestream.operators.log_audit import batch_stats
 from lakestream.operators.quality import drop_malformed
 from lakestream.plans.lake import rebuild_curated as rebuild
-from lakestream.plans.maintenance import compact, verify_same_rows
-from lakestream.schemas import CURATED_PARTITIONS, CURATED_ZONE, GOLD_ZONE, SensorRule, SensorRules
+from lakestream.plans.maintenance import compact, verify_compaction, zone_as_written
+from lakestream.schemas import (
+    CURATED_PARTITIONS,
+    CURATED_ZONE,
+    GOLD_ZONE,
+    RAW_PARTITIONS,
+    RAW_ZONE,
+    SensorRule,
+    SensorRules,
+)
 from lakestream.session import scratch_path
 from lakestream.sinks.batch import write_batch, write_gold, write_raw, write_verified
-from lakestream.sources.zones import read_zone, register_views, replay_raw
+from lakestream.sources.zones import read_or_empty, read_zone, register_views, replay_raw
 from lakestream.streaming.writers import raw_zone_rows
 
 WITH_LOG = f"WITH {SQL_LOG}"
@@ -67,21 +80,36 @@ def gold_zone(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @check(
-    f"""WITH {SQL_LOG}
-    SELECT CASE WHEN sensor = '{SENSOR}' THEN 'rebuilt' ELSE 'kept' END AS part, sensor AS sensor_type,
-           count(DISTINCT ts::DATE) AS days, count(*) AS readings
-    FROM log GROUP BY 1, 2"""
+    f"""{WITH_LOG}, corrected AS (SELECT * FROM log WHERE sensor <> '{SENSOR}' OR value <= 50)
+    {SQL_DAILY.replace('FROM log', 'FROM corrected')} GROUP BY 1, 2, 3, 4"""
 )
 def gold_rebuilt_for_one_sensor(spark: SparkSession, sf: str) -> DataFrame:
-    """Rebuilding one sensor replaces its partitions and leaves the others in place."""
+    """Rebuilding one sensor from corrected readings replaces its figures and leaves the others."""
     path = scratch_path(spark, "gold")
     write_gold(lake_queries.daily_stats(curated(spark, sf)), path)
-    write_gold(lake_queries.daily_stats(curated(spark, sf), SENSOR), path)
-    gold = read_zone(spark, path, GOLD_ZONE)
-    part = F.when(F.col("sensor_type") == SENSOR, "rebuilt").otherwise("kept")
-    return gold.groupBy(part.alias("part"), "sensor_type").agg(
-        F.count(F.lit(1)).alias("days"), F.sum("record_count").alias("readings")
-    )
+    corrected = curated(spark, sf).filter("value <= 50")
+    write_gold(lake_queries.daily_stats(corrected, SENSOR), path, SENSOR)
+    return read_zone(spark, path, GOLD_ZONE)
+
+
+@check(
+    f"""{WITH_LOG}, days AS (SELECT 'all' AS rebuilt, * FROM log WHERE day > 10
+                             UNION ALL SELECT 'one' AS rebuilt, * FROM log WHERE day > 10 OR sensor <> '{SENSOR}')
+    SELECT rebuilt, sensor AS sensor_type, year, month, day, {_stats(3)} FROM days GROUP BY 1, 2, 3, 4, 5"""
+)
+def gold_after_correction(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold built, a third of every month withdrawn from silver, and gold built again: for all sensors, and
+    for one. Days that silver no longer has are gone, where they were rebuilt."""
+    zone = curated(spark, sf).withColumn("month", F.col("month") * 100 + F.expr("(day - 1) div 10"))
+    corrected = zone.filter("day > 10")
+    parts = []
+    for rebuilt, sensor in (("all", None), ("one", SENSOR)):
+        path = scratch_path(spark, "gold")
+        write_gold(lake_queries.daily_stats(zone), path)
+        write_gold(lake_queries.daily_stats(corrected, sensor), path, sensor)
+        gold = read_zone(spark, path, GOLD_ZONE).withColumn("month", F.expr("month div 100"))
+        parts.append(gold.withColumn("month", F.col("month").cast("int")).withColumn("rebuilt", F.lit(rebuilt)))
+    return parts[0].unionByName(parts[1])
 
 
 @check(
@@ -220,7 +248,7 @@ def compaction(spark: SparkSession, sf: str) -> DataFrame:
         rows = curated(spark, sf).filter(F.col("partition") == partition)
         rows.write.mode("append").partitionBy(*CURATED_PARTITIONS).parquet(source)
     report = compact(spark, source, target)
-    rows = verify_same_rows(spark.read.parquet(source), spark.read.parquet(target))
+    rows = verify_compaction(spark, source, target)
     return report.select(
         "after_files",
         (F.col("after_files") < F.col("before_files")).alias("fewer"),
@@ -286,24 +314,144 @@ def evolved_zone(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@check("SELECT event_type AS sensor, count(*) AS rows_written FROM events GROUP BY 1")
+@check(f"""{WITH_LOG} SELECT sensor, value, "partition", "offset" FROM log""")
 def verified_write(spark: SparkSession, sf: str) -> DataFrame:
     """Written, read back and compared before it is used."""
     path = scratch_path(spark, "verified")
     rows = parse_readings(log(spark, sf)).select("sensor", "value", "partition", "offset")
     write_verified(rows, path)
-    return spark.read.parquet(path).groupBy("sensor").agg(F.count(F.lit(1)).alias("rows_written"))
+    return spark.read.parquet(path)
 
 
 @check(
     f"""{WITH_LOG}
     SELECT CAST(year(kafka_timestamp) AS INTEGER) AS year, CAST(month(kafka_timestamp) AS INTEGER) AS month,
            CAST(day(kafka_timestamp) AS INTEGER) AS day, CAST(hour(kafka_timestamp) AS INTEGER) AS hour,
-           count(*) AS records FROM log GROUP BY 1, 2, 3, 4"""
+           "partition" AS kafka_partition, "offset" AS kafka_offset, sensor AS message_key,
+           {sql_body()} AS raw_json FROM log"""
 )
 def raw_zone(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze of the damaged log: every payload kept, in the hour it arrived."""
     path = scratch_path(spark, "raw")
     write_raw(raw_zone_rows(broken_log(spark, sf)), path)
-    zone = spark.read.json(path, schema="raw_json string, year int, month int, day int, hour int")
-    return zone.groupBy("year", "month", "day", "hour").agg(F.count("raw_json").alias("records"))
+    zone = read_or_empty(spark, path, RAW_ZONE, "json")
+    key = F.col("message_key").cast("string").alias("message_key")
+    return zone.select(*RAW_PARTITIONS, "kafka_partition", "kafka_offset", key, "raw_json")
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT "partition", "offset", sensor AS key,
+           upper(hex(CASE WHEN "offset" % 7 = 0 THEN from_hex('FF00FE') ELSE encode({sql_body()}) END)) AS bytes
+    FROM log"""
+)
+def raw_bytes_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys and payloads come back from bronze byte for byte, undecodable ones too."""
+    path = scratch_path(spark, "raw")
+    odd = F.when(F.col("offset") % 7 == 0, F.unhex(F.lit("FF00FE"))).otherwise(F.col("value"))
+    write_raw(raw_zone_rows(broken_log(spark, sf).withColumn("value", odd)), path)
+    rows = replay_raw(spark, path)
+    return rows.select("partition", "offset", F.col("key").cast("string").alias("key"), F.hex("value").alias("bytes"))
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT "partition", "offset" // 50 AS chunk, sensor, count(*) AS count,
+           {sql_round('min(value)', 2)} AS min, {sql_round('max(value)', 2)} AS max,
+           {sql_round('avg(value)', 2)} AS avg FROM log GROUP BY 1, 2, 3"""
+)
+def batch_stats_of_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyed statistics over a replay of bronze equal those over the log."""
+    zones = lake(spark, sf, "raw")
+    return batch_stats(parse_readings(replay_raw(spark, zones.raw, zones.topic)))
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT sensor AS sensor_type, count(*) AS total, count(*) FILTER (is_anomaly) AS anomalies,
+           {sql_pct('count(*) FILTER (is_anomaly)', 'count(*)')} AS anomaly_pct
+    FROM log GROUP BY 1"""
+)
+def anomaly_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return lake_queries.anomaly_shares(curated(spark, sf))
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, {sql_round('avg(value)', 2)} AS avg_value,
+           count(*) AS readings FROM log WHERE sensor = '{SENSOR}' GROUP BY 1"""
+)
+def hourly_trend(spark: SparkSession, sf: str) -> DataFrame:
+    return lake_queries.hourly_trend(curated(spark, sf), SENSOR)
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT sensor AS sensor_type, {sql_round('avg(value)', 2)} AS mean,
+           {sql_round('stddev_samp(value)', 2)} AS std_dev, {sql_round('min(value)', 2)} AS p0,
+           {sql_round('max(value)', 2)} AS p100, count(*) AS n FROM log GROUP BY 1"""
+)
+def sensor_spread(spark: SparkSession, sf: str) -> DataFrame:
+    return lake_queries.sensor_spread(curated(spark, sf))
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT sensor AS sensor_type, year, month, day, value, "partition", "offset",
+           CASE WHEN "partition" = 2 THEN '1.' || "offset" END AS firmware FROM log"""
+)
+def compaction_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """Compaction keeps a column that only the newer files have, and the check would see its loss."""
+    source, target = scratch_path(spark, "evolving"), scratch_path(spark, "compacted")
+    rows = curated(spark, sf).select(*CURATED_PARTITIONS, "value", "partition", "offset")
+    newer = rows.filter("partition = 2").withColumn("firmware", F.concat(F.lit("1."), F.col("offset")))
+    for part in (rows.filter("partition < 2"), newer):
+        part.write.mode("append").partitionBy(*CURATED_PARTITIONS).parquet(source)
+    compact(spark, source, target)
+    verify_compaction(spark, source, target, exact=True)
+    kept = zone_as_written(spark, target)
+    return kept.withColumns({c: F.col(c).cast("int") for c in ("year", "month", "day")})
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT lpad(CAST(user_id % 5 AS VARCHAR), 3, '0') AS sensor_type, count(*) AS readings,
+           {sql_round('sum(value)', 3)} AS total FROM log GROUP BY 1"""
+)
+def compaction_text_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sensors named 000 to 004 keep their names."""
+    source, target = scratch_path(spark, "numbered"), scratch_path(spark, "compacted")
+    user = F.substring_index("device_id", "-", -1).cast("bigint")
+    named = curated(spark, sf).withColumn("sensor_type", F.lpad((user % 5).cast("string"), 3, "0"))
+    named.write.partitionBy(*CURATED_PARTITIONS).parquet(source)
+    compact(spark, source, target)
+    verify_compaction(spark, source, target)
+    sensors = lake_queries.sensor_types(spark, target)
+    rows = zone_as_written(spark, target).join(sensors, "sensor_type")
+    return rows.groupBy("sensor_type").agg(
+        F.count(F.lit(1)).alias("readings"), round_half_up(F.sum("value"), 3).alias("total")
+    )
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT sensor AS sensor_type, year, month, day, "partition", "offset" FROM log
+    WHERE NOT (sensor = '{SENSOR}' AND day <= 10)"""
+)
+def compaction_partial_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """One sensor compacted again after days were withdrawn from it: they leave the target too, and the
+    check compares the selected part."""
+    source, target = scratch_path(spark, "corrected"), scratch_path(spark, "compacted")
+    rows = curated(spark, sf).select(*CURATED_PARTITIONS, "partition", "offset")
+    rows.write.partitionBy(*CURATED_PARTITIONS).parquet(source)
+    compact(spark, source, target)
+    withdrawn = (F.col("sensor_type") == SENSOR) & (F.col("day") <= 10)
+    folders = partition_files(spark, source, paths=True).filter(withdrawn)
+    for row in folders.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).distinct().collect():
+        delete_folder(spark, row.folder)
+    one = F.col("sensor_type") == SENSOR
+    compact(spark, source, target, where=one)
+    verify_compaction(spark, source, target, one)
+    verify_compaction(spark, source, target)
+    kept = zone_as_written(spark, target)
+    return kept.withColumns({c: F.col(c).cast("int") for c in ("year", "month", "day")})

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.checks.etl import SQL_WINDOWS
 from lakestream.checks.fixture import (
+    REJECTED,
     RULES,
     SQL_LOG,
+    TOPIC,
     broken_config,
     check,
+    log,
     log_config,
     log_path,
     once,
+    sql_body,
     sql_round,
 )
 from lakestream.functions.columns import round_half_up
 from lakestream.functions.payload import parse_readings
 from lakestream.operators.lake_audit import list_files
+from lakestream.operators.log_audit import dedupe_log
 from lakestream.operators.windows import window_bounds
 from lakestream.plans.etl import flagged_readings, run_etl, statistics
 from lakestream.plans.lake import Lake, run_lake
@@ -78,13 +85,14 @@ def _streamed_lake(spark: SparkSession, sf: str) -> Lake:
 
 @check(
     f"""{WITH_LOG}
-    SELECT "partition" AS kafka_partition, "offset" AS kafka_offset,
-           CAST(hour(kafka_timestamp) AS INTEGER) AS hour FROM log"""
+    SELECT "partition" AS kafka_partition, "offset" AS kafka_offset, {sql_body()} AS raw_json,
+           sensor AS message_key, CAST(hour(kafka_timestamp) AS INTEGER) AS hour FROM log"""
 )
 def raw_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze keeps every payload, good or not."""
     zone = read_or_empty(spark, _streamed_lake(spark, sf).raw, RAW_ZONE, "json")
-    return zone.filter("raw_json is not null").select("kafka_partition", "kafka_offset", "hour")
+    key = F.col("message_key").cast("string").alias("message_key")
+    return zone.select("kafka_partition", "kafka_offset", "raw_json", key, "hour")
 
 
 @check(
@@ -93,7 +101,7 @@ def raw_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
            CASE event_id % 50 WHEN 7 THEN 999.9 ELSE value END AS value, "partition", "offset",
            CASE event_id % 50 WHEN 4 THEN false WHEN 7 THEN sensor IN ('purchase', 'error')
                 ELSE is_anomaly END AS is_anomaly
-    FROM log WHERE event_id % 50 NOT IN (0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13)"""
+    FROM log WHERE event_id % 50 NOT IN {REJECTED}"""
 )
 def curated_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Silver keeps what parses and is in range."""
@@ -105,7 +113,16 @@ def curated_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     f"""{WITH_LOG}
-    SELECT event_id % 50 IN (0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13) AS rejected, "partition", "offset"
+    SELECT event_id % 50 IN {REJECTED} AS rejected, "partition", "offset",
+           CASE WHEN event_id % 50 IN (0, 11, 15) THEN 'missing_sensor,missing_value,missing_event_time'
+                WHEN event_id % 50 IN (9, 14) THEN 'missing_event_time'
+                WHEN event_id % 50 = 1 THEN 'missing_value,missing_event_time'
+                WHEN event_id % 50 = 2 THEN 'missing_sensor,missing_event_time'
+                WHEN event_id % 50 IN (3, 5, 6, 12, 16) THEN 'missing_value'
+                WHEN event_id % 50 IN (8, 17) THEN 'not_a_number'
+                WHEN event_id % 50 IN (13, 18) THEN 'out_of_range' ELSE '' END AS reasons,
+           CASE WHEN event_id % 50 IN (0, 1, 3, 5, 6, 8, 11, 12, 15, 16, 17, 18) THEN NULL
+                WHEN event_id % 50 = 7 THEN 999.9 WHEN event_id % 50 = 13 THEN -500.5 ELSE value END AS finite_value
     FROM log"""
 )
 def dead_letter_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,7 +133,13 @@ def dead_letter_stream(spark: SparkSession, sf: str) -> DataFrame:
         readings, good, bad, scratch_path(spark, "checkpoint"), RULES, None
     ).awaitTermination()
     sides = [
-        spark.read.parquet(path).select(F.lit(flag).alias("rejected"), "partition", "offset")
+        spark.read.parquet(path).select(
+            F.lit(flag).alias("rejected"),
+            "partition",
+            "offset",
+            F.array_join("reasons", ",").alias("reasons") if flag else F.lit("").alias("reasons"),
+            F.when(F.abs("value") < float("inf"), F.col("value")).alias("finite_value"),
+        )
         for path, flag in ((good, False), (bad, True))
     ]
     return sides[0].unionByName(sides[1])
@@ -169,25 +192,67 @@ def idempotent_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @check(
-    """SELECT event_type AS branch, count(*) AS rows_written FROM events
-       WHERE event_type IN ('purchase', 'view') GROUP BY 1"""
+    f"""{WITH_LOG}
+    SELECT CASE WHEN sensor IN ('purchase', 'view') THEN sensor ELSE 'rest' END AS branch, sensor, value,
+           "partition", "offset" FROM log"""
 )
 def fan_out_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Two outputs from one scan."""
-    paths = {name: scratch_path(spark, name) for name in ("purchase", "view")}
+    """Three outputs of one stream, which together take every record."""
+    paths = {name: scratch_path(spark, name) for name in ("purchase", "view", "rest")}
     log_rows = read_log_stream(streaming_session(spark), log_config(spark, sf))
-    branches = {
-        path: lambda rows, name=name: rows.filter(F.col("sensor") == name)
-        for name, path in paths.items()
-    }
+    named = F.when(F.col("sensor").isin("purchase", "view"), F.col("sensor")).otherwise("rest")
+    branches = {path: lambda rows, name=name: rows.filter(named == name) for name, path in paths.items()}
     writers.fan_out(
         parse_readings(log_rows), branches, scratch_path(spark, "checkpoint"), None
     ).awaitTermination()
-    counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("branch"), F.count(F.lit(1)).alias("rows_written"))
+    parts = [
+        spark.read.parquet(path).select(F.lit(name).alias("branch"), "sensor", "value", "partition", "offset")
         for name, path in paths.items()
     ]
-    return counts[0].unionByName(counts[1])
+    return reduce(DataFrame.unionByName, parts)
+
+
+@check(f"""{WITH_LOG} SELECT "partition", "offset", sensor, value FROM log""")
+def deduplicated_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Records whose files are delivered again later, in a batch of their own, have no second effect."""
+    folder, out = scratch_path(spark, "redelivering"), scratch_path(spark, "deduplicated")
+    records = log(spark, sf)
+    records.write.parquet(folder)
+    checkpoint = scratch_path(spark, "checkpoint")
+
+    def run() -> None:
+        session = streaming_session(spark, large_state=False)
+        stream = read_log_stream(session, LogConfig(TOPIC, format="parquet", path=folder))
+        rows = parse_readings(dedupe_log(stream, within="3650 days"))
+        writers.write_stream(rows, out, checkpoint, None).awaitTermination()
+
+    run()
+    records.filter(F.col("offset") % 2 == 0).write.mode("append").parquet(folder)
+    run()
+    return read_stream_output(spark, out).select("partition", "offset", "sensor", "value")
+
+
+@check(
+    f"""{WITH_LOG}, {SQL_WINDOWS}
+    SELECT window_start, window_end, sensor, {sql_round('avg_value', 4)} AS avg_value, min_value,
+           max_value, event_count, anomaly_count
+    FROM windows WHERE window_end <= (SELECT max(ts) - INTERVAL '2 minutes' FROM events)"""
+)
+def restarted_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics over the first half of the log, stopped, and resumed from the checkpoint when the rest
+    has arrived: the same windows as in one run, each once."""
+    folder, out = scratch_path(spark, "growing"), scratch_path(spark, "windows")
+    checkpoint = scratch_path(spark, "checkpoint")
+    records = log(spark, sf)
+    sent = F.get_json_object(F.col("value").cast("string"), "$.timestamp").cast("bigint")
+    middle = sum(records.agg(F.min(sent), F.max(sent)).first()) // 2
+    for part in (sent < middle, sent >= middle):
+        records.filter(part).write.mode("append").parquet(folder)
+        config = LogConfig(TOPIC, format="parquet", path=folder)
+        windows = statistics(read_log_stream(streaming_session(spark), config), RULES)
+        writers.write_stream(windows, out, checkpoint, None).awaitTermination()
+    found = window_bounds(read_stream_output(spark, out))
+    return found.withColumn("avg_value", round_half_up(F.col("avg_value"), 4))
 
 
 @check("SELECT count(*) AS messages, 0::BIGINT AS late_rows, true AS rate_known FROM events")

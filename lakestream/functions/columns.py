@@ -79,11 +79,17 @@ def human_bytes(size: Column) -> Column:
     return F.when(size.isNotNull(), text)
 
 
+#: Stands between joined names; no name may hold it.
+_BETWEEN = "\x1f"
+
+
 def names_where(checks: Mapping[str, Column]) -> Column:
     """The names whose condition holds, in order, as a list. Joined and split again because that stays
     inside generated code, which array functions with a lambda would leave."""
-    joined = F.concat_ws(",", *[F.when(check, name) for name, check in checks.items()])
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
+    if any(_BETWEEN in name or not name for name in checks):
+        raise ValueError("a name must not be empty or hold the unit separator")
+    joined = F.concat_ws(_BETWEEN, *[F.when(check, name) for name, check in checks.items()])
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, _BETWEEN))
 
 
 def celsius_to_fahrenheit(df: DataFrame, value: str = "value", unit: str = "unit") -> DataFrame:

@@ -30,6 +30,23 @@ def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return df.select("*", made.alias(*columns) if len(columns) > 1 else made)
 
 
+def with_json(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """Add a JSON document as a variant, parsed once; null unless the text is exactly one document.
+
+    The parser stops at the end of the first document and passes over what follows. Here the text stands in
+    an array before a number that the text decides: anything that closes the array early, or adds to it,
+    leaves that number out of its place.
+    """
+    wrapped, mark = f"_wrapped_{name}", f"_mark_{name}"
+    df = computed_once(df, {mark: F.xxhash64(text)})
+    array = F.concat(F.lit("["), text, F.lit(","), F.col(mark).cast("string"), F.lit("]"))
+    df = computed_once(df, {wrapped: F.try_parse_json(array)})
+    in_place = F.try_variant_get(F.col(wrapped), "$[1]", "bigint").eqNullSafe(F.col(mark))
+    alone = F.try_variant_get(F.col(wrapped), "$[2]", "variant").isNull()
+    document = F.when(in_place & alone, F.try_variant_get(F.col(wrapped), "$[0]", "variant"))
+    return computed_once(df, {name: document}).drop(wrapped, mark)
+
+
 def decode(log: DataFrame) -> DataFrame:
     """Key and value as text, the rest of the envelope untouched."""
     return log.withColumns({"key": utf8("key"), "value": utf8("value")})
@@ -72,11 +89,11 @@ def parse_user_events(log: DataFrame) -> DataFrame:
 
 
 def json_or_raw(log: DataFrame) -> DataFrame:
-    """`payload` is the JSON text, or {"raw": text} for bytes that are not JSON or not UTF-8, with
-    undecodable bytes replaced."""
+    """`payload` is the JSON text, or {"raw": text} for bytes that are not one JSON document or not UTF-8,
+    with undecodable bytes replaced."""
     decoded = F.make_valid_utf8(utf8("value"))
-    is_json = F.is_valid_utf8(utf8("value")) & F.try_parse_json(decoded).isNotNull()
-    return log.select(
+    is_json = F.is_valid_utf8(utf8("value")) & F.col("_json").isNotNull()
+    return with_json(log, decoded, "_json").select(
         utf8("key").alias("message_key"),
         "partition",
         "offset",

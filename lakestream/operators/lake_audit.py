@@ -38,15 +38,16 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     return files.select("path", "length")
 
 
-def partition_files(spark: SparkSession, root: str) -> DataFrame:
-    """Length and partition columns of every Parquet file of a Hive-partitioned zone, from the listing."""
-    return (
+def partition_files(spark: SparkSession, root: str, paths: bool = False) -> DataFrame:
+    """Length and partition columns, as text, of every Parquet file of a Hive-partitioned zone, from the
+    listing; with its path if asked for."""
+    files = (
         listing_session(spark)
         .read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .load(root)
-        .drop("path", "modificationTime", "content")
     )
+    return files.drop("modificationTime", "content", *(() if paths else ("path",)))
 
 
 def partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
@@ -67,11 +68,11 @@ def file_inventory(spark: SparkSession, zones: Mapping[str, str]) -> DataFrame:
         place = urlparse(root.rstrip("/"))
         base = f"{place.netloc}{place.path}/"
         inside = F.substr(F.col("path"), F.locate(base, F.col("path")) + len(base))
-        for kind in ("parquet", "json"):
-            files = list_files(spark, root, f"*.{kind}").select(
-                F.lit(zone).alias("zone"), F.lit(kind).alias("kind"), inside.alias("path"), "length"
-            )
-            parts = files if parts is None else parts.unionByName(files)
+        kind = F.substring_index("path", ".", -1)
+        files = list_files(spark, root, "*.{parquet,json}").select(
+            F.lit(zone).alias("zone"), kind.alias("kind"), inside.alias("path"), "length"
+        )
+        parts = files if parts is None else parts.unionByName(files)
     return parts
 
 

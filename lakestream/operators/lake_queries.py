@@ -201,7 +201,7 @@ SQL = {
     """,
     "anomaly_shares": """
         SELECT sensor_type, count(*) AS total, count_if(is_anomaly) AS anomalies,
-               CAST(round(100 * count_if(is_anomaly) / count(*), 2) AS double) AS anomaly_pct
+               round(round(100.0D * count_if(is_anomaly) / count(*), 9), 2) AS anomaly_pct
         FROM sensor_curated
         GROUP BY sensor_type
         ORDER BY anomaly_pct DESC, sensor_type

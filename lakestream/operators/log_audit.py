@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,9 +16,10 @@ from lakestream.functions.ordered import (
     running_total,
     with_bucket,
 )
+from lakestream.functions.payload import parse_readings
 from lakestream.operators.quality import only_sensor, reason_names, rejection_bits
 from lakestream.schemas import DEFAULT_RULES, SensorRules
-from lakestream.sources.log import tail_log
+from lakestream.sources.log import end_offsets, seek_back_for, tail_log
 
 PARTITION = ("topic", "partition")
 # Fixed value: messages per chunk of the batch statistics.
@@ -48,32 +50,47 @@ def _latest_columns() -> list[Column]:
     ]
 
 
-def latest_readings(
-    readings: DataFrame, n: int = 1, sensor: str | None = None, seek_back: int | None = None
-) -> DataFrame:
-    """The n newest readings of every sensor (or of one). Takes rows of `parse_readings`, with `topic`
-    among the extra columns when `seek_back` is given.
-
-    `seek_back` looks only at the end of each partition, which is fast but can miss a sensor that shares
-    its partition with a busier one; without it the answer is exact. A missing time counts as 0; equal
-    times are ordered by partition and offset.
-    """
-    rows = tail_log(readings, seek_back) if seek_back is not None else readings
-    wanted = only_sensor(rows, sensor, "sensor").filter(F.col("sensor").isNotNull())
+def latest_readings(readings: DataFrame, n: int = 1, sensor: str | None = None) -> DataFrame:
+    """The n newest readings of every sensor (or of one), of all rows of `parse_readings` given. A missing
+    time counts as 0; equal times are ordered by partition and offset."""
+    wanted = only_sensor(readings, sensor, "sensor").filter(F.col("sensor").isNotNull())
     age = F.coalesce(F.unix_millis("event_time"), F.lit(0))
+    newest_first = W.partitionBy("sensor").orderBy(age.desc(), F.desc("partition"), F.desc("offset"))
     if n == 1:
-        newest = F.max_by(
-            F.struct(*_latest_columns()),
-            F.struct(age.alias("age"), "partition", "offset"),
-        )
-        return wanted.groupBy("sensor").agg(newest.alias("row")).select("row.*")
+        # the largest time per sensor and partition is a number, which hash aggregation combines before the
+        # shuffle; only the readings that reach it are ranked
+        aged = wanted.withColumn("_age", age)
+        reached = aged.groupBy("sensor", "partition").agg(F.max("_age").alias("_age"))
+        wanted = aged.join(reached, ["sensor", "partition", "_age"])
     # the rank limit is applied in every map task before the shuffle, so a hot sensor sends n rows per task
-    newest_first = W.partitionBy("sensor").orderBy(age.desc(), F.desc("partition"), F.desc("offset"))
-    return (
-        wanted.withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") <= n)
-        .select(*_latest_columns(), F.col("_rank").alias("rank"))
-    )
+    ranked = wanted.withColumn("_rank", F.row_number().over(newest_first)).filter(F.col("_rank") <= n)
+    return ranked.select(*_latest_columns(), *([F.col("_rank").alias("rank")] if n > 1 else []))
+
+
+def latest_of_log(
+    log: DataFrame,
+    n: int,
+    sensor: str,
+    seek_back: int | None = None,
+    extend: bool = True,
+    ends: Sequence[Row] | None = None,
+) -> DataFrame:
+    """The n newest readings of one sensor near the end of a raw log, parsing only the tail.
+
+    The tail begins `seek_back` offsets before the end of each partition and is doubled until it holds n
+    readings of the sensor or the whole log, so a sensor that has data is found however busy the others
+    are. With `extend=False` it stays as it is, and the answer is partial. The ends are looked up once.
+    Newest means by time among the records of the tail; `latest_readings` over the whole log is exact for
+    times that run far out of order.
+    """
+    rows = list(ends) if ends is not None else end_offsets(log).collect()
+    longest = max((r["end"] for r in rows), default=0)
+    back = seek_back or seek_back_for(n)
+    while True:
+        found = latest_readings(parse_readings(tail_log(log, back, rows)), n, sensor)
+        if not extend or back >= longest or found.count() >= n:
+            return found
+        back *= 4
 
 
 def batch_stats(readings: DataFrame, n: int = CHUNK, key: str = "message_key") -> DataFrame:
@@ -170,17 +187,31 @@ def partition_completeness(log: DataFrame) -> DataFrame:
 def offset_gaps(log: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
     """Every hole in the offsets: the offset before it, the one after it, and how many are missing.
 
-    Neighbours are compared inside buckets of `width` offsets; the borders between buckets come from the
-    first and last offset of each, so no task ever sees a whole partition.
+    Each bucket of `width` offsets is summed up before the shuffle: its first and last offset, and the
+    exclusive or of the hashes of all. Where that equals the exclusive or over the range from first to last,
+    every offset of the range is there an odd number of times, so there is no hole (but for a collision of
+    64-bit hashes). Only the positions of the other buckets are shuffled and compared with their
+    neighbours; the borders between buckets come from the first and last offset of each. A healthy log is
+    one map-side aggregate, and no task ever sees a whole partition.
     """
-    offsets = with_bucket(_distinct_offsets(log), "offset", width)
+    bucketed = with_bucket(log.select(*PARTITION, "offset"), "offset", width)
+    edges = bucketed.groupBy(*PARTITION, "_bucket").agg(
+        F.min("offset").alias("first"),
+        F.max("offset").alias("last"),
+        F.bit_xor(F.xxhash64("offset")).alias("_mark"),
+    )
+    edges = edges.filter(F.col("_mark").isNotNull())  # asked of both uses, so that they share one shuffle
+    expected = F.aggregate(
+        F.sequence("first", "last"), F.lit(0).cast("long"), lambda mark, i: mark.bitwiseXOR(F.xxhash64(i))
+    )
+    suspects = edges.filter(F.col("_mark") != expected).select(*PARTITION, "_bucket")
+    offsets = with_bucket(
+        _distinct_offsets(bucketed.join(suspects, [*PARTITION, "_bucket"], "left_semi")), "offset", width
+    )
     inside = W.partitionBy(*PARTITION, "_bucket").orderBy("offset")
     within = offsets.select(
         *PARTITION, F.lag("offset").over(inside).alias("after_offset"), F.col("offset").alias("next_offset")
     )
-    edges = offsets.groupBy(*PARTITION, "_bucket").agg(
-        F.min("offset").alias("first"), F.max("offset").alias("last")
-    )
     along = W.partitionBy(*PARTITION).orderBy("_bucket")
     across = edges.select(
         *PARTITION, F.lag("last").over(along).alias("after_offset"), F.col("first").alias("next_offset")
@@ -229,10 +260,19 @@ def dedupe_log(
     within: str = "10 minutes",
 ) -> DataFrame:
     """A re-delivered record has no second effect. On a stream the positions already seen are remembered
-    for `within`, so state does not grow with the log."""
+    for `within`, so state does not grow with the log.
+
+    In a batch the positions delivered more than once are found from the key columns alone; records delivered
+    once, payloads and all, stay where they are read. Which of several copies is kept is not defined. Null
+    keys count as equal.
+    """
     if log.isStreaming:
         return log.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
-    return log.dropDuplicates(list(keys))
+    repeated = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    marks = repeated.select(*[F.col(k).alias(f"_again_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_again_{k}")) for k in keys])
+    once = log.join(marks, same, "left_anti")
+    return once.unionByName(log.join(marks, same, "left_semi").dropDuplicates(list(keys)))
 
 
 # --- time ------------------------------------------------------------------------------------------
@@ -317,31 +357,51 @@ def delay_quantiles(
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that do not occur equally often on both sides, with `surplus` > 0 where left has more.
     One combined count per distinct row and one shuffle, instead of two exceptAll."""
-    columns = left.columns
+    columns = [F.col(f"`{c}`") for c in left.columns]
     both = left.withColumn("_n", F.lit(1)).unionByName(
         right.select(*columns).withColumn("_n", F.lit(-1))
     )
     return both.groupBy(*columns).agg(F.sum("_n").alias("surplus")).filter("surplus <> 0")
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and two sums of row hashes: equal for equal multisets of rows, and different for any
-    others but for a 2^-128 chance. A map-side aggregate, so it compares tables too large to shuffle."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    first, second = F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
-    return df.agg(
+def fingerprint_columns(df: DataFrame) -> list[Column]:
+    """Aggregates that are equal for equal multisets of rows: the count, and two sums of row hashes with
+    different seeds.
+
+    Spark's hash passes over nulls, so that (null, 'x') and ('x', null) would be alike; every column is
+    hashed with a flag for null, and nested values as JSON that spells their nulls out.
+    """
+    parts = []
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind.startswith(("struct", "array", "map")):
+            text = F.to_json(F.struct(column.alias("v")), {"ignoreNullFields": "false"})
+            parts += [column.isNull(), text]
+        else:
+            parts += [column.isNull(), column]
+    first, second = F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
+    return [
         F.count(F.lit(1)).alias("records"),
-        F.sum(first.cast("decimal(28,0)")).alias("sum_1"),
-        F.sum(second.cast("decimal(28,0)")).alias("sum_2"),
-    )
+        F.coalesce(F.sum(first.cast("decimal(28,0)")), F.lit(0)).alias("sum_1"),
+        F.coalesce(F.sum(second.cast("decimal(28,0)")), F.lit(0)).alias("sum_2"),
+    ]
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row that differs, but for a collision of 64-bit hashes in both sums, between tables that do not
+    hold the same rows equally often. A map-side aggregate, so it compares tables too large to shuffle."""
+    return df.agg(*fingerprint_columns(df))
 
 
 def same_rows(left: DataFrame, right: DataFrame, exact: bool = False) -> bool:
     """Whether both hold the same rows equally often: by fingerprint, or `exact`ly by comparing counts of
-    every distinct row, which shuffles both."""
+    every distinct row, which shuffles both. Tables with different columns never do."""
+    if set(left.dtypes) != set(right.dtypes):
+        return False
+    right = right.select(*[F.col(f"`{c}`") for c in left.columns])
     if exact:
         return multiset_diff(left, right).isEmpty()
-    return fingerprint(left).first() == fingerprint(right.select(*left.columns)).first()
+    return fingerprint(left).first() == fingerprint(right).first()
 
 
 def compare_results(
@@ -350,11 +410,13 @@ def compare_results(
     """Two results with unique, non-null keys: the keys that disagree, and in which columns."""
     values = [c for c in left.columns if c not in keys]
     types = dict(left.dtypes)
-    pair_l = left.select(*keys, F.struct(*values, F.lit(True).alias("_in")).alias("_l"))
-    pair_r = right.select(*keys, F.struct(*values, F.lit(True).alias("_in")).alias("_r"))
+    named = [F.col(f"`{c}`") for c in values]
+    keys = [f"`{k}`" for k in keys]
+    pair_l = left.select(*keys, F.struct(*named, F.lit(True).alias("_in")).alias("_l"))
+    pair_r = right.select(*keys, F.struct(*named, F.lit(True).alias("_in")).alias("_r"))
 
     def differs(column: str) -> Column:
-        a, b = F.col(f"_l.{column}"), F.col(f"_r.{column}")
+        a, b = F.col(f"_l.`{column}`"), F.col(f"_r.`{column}`")
         same = a.eqNullSafe(b)
         if tolerance and types[column] in ("double", "float"):
             same = same | F.coalesce(F.abs(a - b) <= tolerance, F.lit(False))
@@ -366,7 +428,7 @@ def compare_results(
         .when(F.size("differences") > 0, "differs")
     )
     return (
-        pair_l.join(pair_r, list(keys), "full_outer")
+        pair_l.join(pair_r, [k[1:-1] for k in keys], "full_outer")
         .withColumn("differences", names_where({c: differs(c) for c in values}))
         .withColumn("status", status)
         .filter(F.col("status").isNotNull())

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestream.functions.columns import names_where, utf8
-from lakestream.functions.joins import join_small
-from lakestream.functions.payload import computed_once
+from lakestream.functions.payload import computed_once, with_json
 from lakestream.schemas import DEFAULT_RULES, SensorRules
 
 REQUIRED = ("sensor", "value", "event_time")
@@ -36,8 +36,24 @@ def only_anomalies(df: DataFrame) -> DataFrame:
     return df.filter("is_anomaly")
 
 
-def in_domain(df: DataFrame, rules: SensorRules = DEFAULT_RULES, sensor: str = "sensor") -> DataFrame:
+# Rules are either a few, written in code (`SensorRules`), or a table of any size with the columns of
+# `SensorRules.FRAME`, one row per sensor. The former become expressions; the latter are joined by sensor,
+# and Spark broadcasts them while they are small.
+Rules = SensorRules | DataFrame
+_RULE = "_rule"
+
+
+def _with_rule(df: DataFrame, rules: DataFrame, sensor: str) -> DataFrame:
+    """Every row with the rule of its sensor, null if it has none."""
+    row = F.struct(*[c for c in SensorRules.FRAME.fieldNames() if c in rules.columns]).alias(_RULE)
+    table = rules.filter(F.col("sensor").isNotNull()).select(F.col("sensor").alias("_of"), row)
+    return df.join(table, F.col(sensor) == F.col("_of"), "left").drop("_of")
+
+
+def in_domain(df: DataFrame, rules: Rules = DEFAULT_RULES, sensor: str = "sensor") -> DataFrame:
     """Keep known sensors."""
+    if isinstance(rules, DataFrame):
+        return _with_rule(df, rules, sensor).filter(F.col(_RULE).isNotNull()).drop(_RULE)
     return df.filter(F.col(sensor).isin(rules.sensors))
 
 
@@ -52,9 +68,12 @@ def anomaly(rules: SensorRules, sensor: str, value: str) -> Column:
 
 
 def flag_anomalies(
-    df: DataFrame, rules: SensorRules = DEFAULT_RULES, sensor: str = "sensor", value: str = "value"
+    df: DataFrame, rules: Rules = DEFAULT_RULES, sensor: str = "sensor", value: str = "value"
 ) -> DataFrame:
     """Add `is_anomaly`; nothing is dropped."""
+    if isinstance(rules, DataFrame):
+        over = F.coalesce(F.col(value) > F.col(f"{_RULE}.anomaly_above"), F.lit(False))
+        return _with_rule(df, rules, sensor).withColumn("is_anomaly", over).drop(_RULE)
     return df.withColumn("is_anomaly", anomaly(rules, sensor, value))
 
 
@@ -68,24 +87,27 @@ def _in_physical_range(rules: SensorRules, sensor: Column, value: Column) -> Col
 
 
 def in_physical_range(
-    df: DataFrame, rules: SensorRules = DEFAULT_RULES, sensor: str = "sensor", value: str = "value"
+    df: DataFrame, rules: Rules = DEFAULT_RULES, sensor: str = "sensor", value: str = "value"
 ) -> DataFrame:
     """Keep readings their sensor can physically produce, bounds included."""
+    if isinstance(rules, DataFrame):
+        low, high = F.col(f"{_RULE}.physical_low"), F.col(f"{_RULE}.physical_high")
+        return _with_rule(df, rules, sensor).filter(F.col(value).between(low, high)).drop(_RULE)
     return df.filter(_in_physical_range(rules, F.col(sensor), F.col(value)))
 
 
 def attach_rules(df: DataFrame, rules: DataFrame, on: str = "sensor", how: str = "left") -> DataFrame:
-    """Rules kept as a table, one row per sensor or device: broadcast while small, else joined by key."""
-    return join_small(df, rules, [on], how)
+    """The columns of a rules table, one row per sensor or device, next to every reading."""
+    return df.join(rules, [on], how)
 
 
-def alerts(log: DataFrame, rules: SensorRules = DEFAULT_RULES) -> DataFrame:
+def alerts(log: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One row per record whose *key* names a sensor and whose payload value is above its threshold.
     Stateless, so it runs on a stream as well. Takes rows of `parse_readings`."""
     message = F.format_string(
         "ALERT: HIGH %s %.2f %s", F.upper("message_key"), F.col("value"), F.coalesce("unit", F.lit(""))
     )
-    return log.filter(anomaly(rules, "message_key", "value")).select(
+    return only_anomalies(flag_anomalies(log, rules, "message_key")).select(
         "partition", "offset", "message_key", "value", "unit", "device_id", message.alias("message")
     )
 
@@ -137,9 +159,16 @@ _FLOAT_TEXT = (
 )
 
 
+# White space as Python's str.strip knows it, and every decimal digit beyond ASCII with its value.
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_OTHER_DIGITS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isdecimal())
+_THEIR_VALUES = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
+
+
 def _submitted_number(field: Column, kind: Column) -> Column:
     """A variant as a double the way a lenient API reads it: numbers, numeric text and booleans."""
-    text = F.trim(F.try_variant_get(field, "$", "string"))
+    text = F.btrim(F.try_variant_get(field, "$", "string"), F.lit(_BLANKS))
+    text = F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, _OTHER_DIGITS, _THEIR_VALUES)).otherwise(text)
     cleaned = F.replace(text, F.lit("_"), F.lit(""))
     return F.when(
         kind == "STRING", F.when(text.rlike(_FLOAT_TEXT), cleaned.try_cast("double"))
@@ -153,9 +182,10 @@ def validate_payloads(
 
     Adds status_code (201, 400 or 422), error (null when accepted), missing (required fields that are
     absent, a null one counts as present), and the fields of the body: sensor, submitted (the number),
-    unit and device_id with the defaults for absent ones. Bodies that are JSON but not an object are 400.
+    unit and device_id with the defaults for absent ones. Bodies that are not one JSON document, or not an
+    object, are 400; so is a bare NaN or Infinity, which is not JSON.
     """
-    parsed = computed_once(df, {"_body": F.try_parse_json(utf8(body))})
+    parsed = with_json(df, utf8(body), "_body")
 
     def part(name: str, kind: str = "variant") -> Column:
         return F.try_variant_get(F.col("_body"), f"$.{name}", kind)

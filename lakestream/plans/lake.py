@@ -99,7 +99,7 @@ def run_lake(
 def build_gold(spark: SparkSession, lake: Lake, sensor: str | None = None) -> DataFrame:
     """Recompute gold from the curated zone, for all sensors or one; the others stay as they are."""
     curated = read_or_empty(spark, lake.curated, CURATED_ZONE)
-    write_gold(daily_stats(curated, sensor), lake.gold)
+    write_gold(daily_stats(curated, sensor), lake.gold, sensor)
     return read_zone(spark, lake.gold, GOLD_ZONE)
 
 

@@ -5,22 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestream.functions.joins import join_small
+from lakestream.functions.folders import NULL_FOLDER, delete_folder
 from lakestream.operators.lake_audit import list_files, partition_files
 from lakestream.operators.log_audit import same_rows
 from lakestream.schemas import CURATED_PARTITIONS
+from lakestream.session import text_partitions_session
+from lakestream.sources.zones import zone_exists
 
 TARGET_BYTES = 512 * 1024 * 1024
-MAX_BROADCAST_FOLDERS = 100_000
 
 
 class RowsChanged(RuntimeError):
     """A rewrite did not preserve the rows."""
 
 
+class ColumnsChanged(RuntimeError):
+    """A target already holds rows with other columns than those to be written."""
+
+
+def zone_as_written(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a zone with the columns of all its files, and partition values as the text they are."""
+    return text_partitions_session(spark).read.option("mergeSchema", "true").parquet(path)
+
+
+def _named(partitions: Sequence[str]) -> list[Column]:
+    """Partition values that can be joined: the null partition by its directory's name."""
+    return [F.coalesce(F.col(p).cast("string"), F.lit(NULL_FOLDER)).alias(f"_key_{p}") for p in partitions]
+
+
 def planned_files(
     spark: SparkSession,
     path: str,
@@ -29,14 +44,18 @@ def planned_files(
     files_per_partition: int = 1,
     where: Column | None = None,
 ) -> DataFrame:
-    """Per directory, how many files of the target size its data fills, from the file listing alone."""
+    """Per directory, how many files of the target size its data fills, and the number of the first, from
+    the file listing alone: `_key_` columns, `_files`, `_first`."""
     listed = partition_files(spark, path)
     if where is not None:
         listed = listed.filter(where)
+    keys = [f"_key_{p}" for p in partitions]
     filled = F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int")
-    return listed.groupBy(*partitions).agg(
+    plan = listed.groupBy(*_named(partitions)).agg(
         F.greatest(F.lit(files_per_partition), filled).alias("_files")
     )
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # a row per directory
+    return plan.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0)))
 
 
 def compact(
@@ -50,35 +69,58 @@ def compact(
     sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rewrite a zone to a new folder with at most `files_per_partition` files per directory, and report
-    on it. `where`, on partition columns, compacts a part of the zone, such as the last closed month, and
-    leaves what the target already holds of other parts.
+    on it. `where`, on partition columns, compacts a part of the zone, such as the last closed month: the
+    target then holds of this part what the source holds, and of other parts what it held before.
+
+    Columns that only some files have are kept, and partition values stay the text they are. A target with
+    other columns is refused with ColumnsChanged; compact the whole zone then.
 
-    A directory that would not fit its files at the target size gets as many as it fills, each written
-    by a task of its own, so the largest directory never ends up in one task. Rows are spread by the file
-    and position they were read from, which a repeated task reproduces.
+    A directory that would not fit its files at the target size gets as many as it fills, each written by a
+    task of its own, so the largest directory never ends up in one task. Rows are spread by the file and
+    position they were read from, which a repeated task reproduces.
     """
-    zone = spark.read.parquet(source)
+    zone = zone_as_written(spark, source)
     if where is not None:
         zone = zone.filter(where)
+        if zone_exists(spark, target):
+            held = zone_as_written(spark, target)
+            if set(held.dtypes) != set(zone.dtypes):
+                raise ColumnsChanged(f"{target}: {sorted(set(held.dtypes) ^ set(zone.dtypes))}")
     plan = planned_files(spark, source, partitions, target_bytes, files_per_partition, where)
     total = plan.agg(F.sum("_files")).first()[0] or 1
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    placed = join_small(zone.withColumn("_place", place), plan, partitions, "left", MAX_BROADCAST_FOLDERS)
-    slot = F.pmod(F.col("_place"), F.coalesce("_files", F.lit(1)))
-    spread = placed.withColumn("_slot", slot).repartition(int(total), *partitions, "_slot")
+    keyed = zone.select("*", place.alias("_place"), *_named(partitions))
+    placed = keyed.join(plan, [f"_key_{p}" for p in partitions], "left")
+    slot = F.coalesce("_first", F.lit(0)) + F.pmod(F.col("_place"), F.coalesce("_files", F.lit(1)))
+    spread = placed.withColumn("_slot", slot.cast("int")).repartitionById(int(total), "_slot")
     if sort_by:
         spread = spread.sortWithinPartitions(*partitions, *sort_by)
     (
-        spread.select(*zone.columns)
+        spread.select(*[F.col(f"`{c}`") for c in zone.columns])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if where is None else "dynamic")
         .partitionBy(*partitions)
         .option("compression", "snappy")
         .parquet(target)
     )
+    if where is not None:
+        for folder in stale_folders(spark, source, target, partitions, where):
+            delete_folder(spark, folder)
     return compaction_report(spark, source, target, where)
 
 
+def stale_folders(
+    spark: SparkSession, source: str, target: str, partitions: Sequence[str], where: Column
+) -> list[str]:
+    """Directories of the target that `where` covers and that the source no longer has."""
+    keys = _named(partitions)
+    names = [f"_key_{p}" for p in partitions]
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")
+    held = partition_files(spark, target, paths=True).filter(where).select(*keys, folder).distinct()
+    wanted = partition_files(spark, source).filter(where).select(*keys).distinct()
+    return sorted(r.folder for r in held.join(wanted, names, "left_anti").collect())
+
+
 def compaction_report(
     spark: SparkSession, source: str, target: str | None = None, where: Column | None = None
 ) -> DataFrame:
@@ -107,9 +149,20 @@ def compaction_report(
     return report.withColumn("reduction_pct", F.round((F.lit(1.0) - kept) * 100, 1))
 
 
-def verify_same_rows(left: DataFrame, right: DataFrame, exact: bool = False) -> int:
-    """Raise unless both hold the same rows equally often; returns how many. To be run before a
-    compacted zone takes the place of the original."""
+def verify_same_rows(
+    left: DataFrame, right: DataFrame, exact: bool = False, where: Column | None = None
+) -> int:
+    """Raise unless both hold the same rows equally often, under `where` if given; returns how many. To be
+    run before a compacted zone takes the place of the original."""
+    if where is not None:
+        left, right = left.filter(where), right.filter(where)
     if not same_rows(left, right, exact):
         raise RowsChanged("the rewritten zone does not hold the same rows")
     return right.count()
+
+
+def verify_compaction(
+    spark: SparkSession, source: str, target: str, where: Column | None = None, exact: bool = False
+) -> int:
+    """`verify_same_rows` of two folders, with the columns of all files and partition values as text."""
+    return verify_same_rows(zone_as_written(spark, source), zone_as_written(spark, target), exact, where)

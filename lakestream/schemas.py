@@ -57,11 +57,14 @@ SEQUENCE_MESSAGE = schema(
     ts="string",
 )
 
+# Binary columns are base64 in the zone's JSON files. Files written before the last two existed read as null.
 RAW_ZONE = schema(
     raw_json="string",
     kafka_partition="integer",
     kafka_offset="long",
     ingestion_ts="timestamp",
+    message_key="binary",
+    raw_bytes="binary",
     year="integer",
     month="integer",
     day="integer",
@@ -126,7 +129,6 @@ class SensorRules:
     corrupt_below: float = -100.0
     corrupt_above: float = 2000.0
 
-    MAX_INLINE = 1000
     FRAME = schema(
         sensor="string",
         unit="string",
@@ -145,15 +147,6 @@ class SensorRules:
         ]
         return spark.createDataFrame(rows, self.FRAME)
 
-    @classmethod
-    def from_frame(cls, frame: DataFrame, **gate: float) -> SensorRules:
-        """Rules kept as a table become inline expressions while the table is small. A larger one
-        stays a table: use `operators.quality.attach_rules`."""
-        rows = frame.select(*cls.FRAME.fieldNames()).take(cls.MAX_INLINE + 1)
-        if len(rows) > cls.MAX_INLINE:
-            raise ValueError(f"more than {cls.MAX_INLINE} rules: join them with attach_rules instead")
-        return cls(tuple(SensorRule(*row) for row in rows), **gate)
-
 
 # The sensors, units, thresholds and physical ranges of the default domain.
 DEFAULT_RULES = SensorRules(

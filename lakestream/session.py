@@ -72,13 +72,21 @@ def streaming_session(
     return session
 
 
+def text_partitions_session(spark: SparkSession) -> SparkSession:
+    """A session that takes partition values as the text in the directory's name, so that a sensor `001`
+    is not read as the number 1."""
+    session = _sibling(spark)
+    session.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return session
+
+
 def listing_session(spark: SparkSession) -> SparkSession:
-    """A session for queries that list files without reading them.
+    """A session for queries that list files without reading them; partition values are text.
 
     Spark packs files into tasks by their size, so listing 100 TB would take a task per 128 MB although
     nothing is read; here the number of tasks follows the cluster's cores.
     """
-    session = _sibling(spark)
+    session = text_partitions_session(spark)
     tasks = 4 * spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.files.maxPartitionNum", str(tasks))
     return session

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakestream.operators.log_audit import same_rows
+from lakestream.functions.folders import folder_of
+from lakestream.operators.log_audit import fingerprint, fingerprint_columns
 from lakestream.schemas import CURATED_PARTITIONS, GOLD_PARTITIONS, RAW_PARTITIONS
 
 
@@ -41,24 +42,37 @@ def write_curated(df: DataFrame, path: str) -> None:
     )
 
 
-def write_gold(df: DataFrame, path: str) -> None:
-    """Replace only the partitions `df` has rows for, so that rebuilding one sensor keeps the others."""
+def write_gold(df: DataFrame, path: str, sensor: str | None = None) -> None:
+    """Replace gold as a whole, or one sensor's directory as a whole: what the rows no longer have, such as
+    a month, is gone afterwards, and other sensors stay as they are."""
+    partitions = list(GOLD_PARTITIONS)
+    if sensor is not None:
+        first = partitions.pop(0)
+        df = df.filter(F.col(first) == sensor).drop(first)
+        path = f"{path}/{folder_of(first, sensor)}"
     (
-        gathered(df, GOLD_PARTITIONS)
+        gathered(df, partitions)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*GOLD_PARTITIONS)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions)
         .parquet(path)
     )
 
 
 def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Write, read back, and compare row by row. Returns the number of rows."""
-    write_batch(df, path, partition_by)
-    written = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-    if not same_rows(df, written):
+    """Write, read back, and compare. Returns the number of rows.
+
+    The input's fingerprint is observed while it is written, so the input is computed once and a source
+    that grows meanwhile does not matter.
+    """
+    seen = Observation("written")
+    write_batch(df.observe(seen, *fingerprint_columns(df)), path, partition_by)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    written = df.sparkSession.read.schema(df.schema).parquet(path).select(*columns)
+    found = fingerprint(written).first().asDict()
+    if found != seen.get:
         raise WriteMismatch(f"{path}: rows differ from the input")
-    return written.count()
+    return found["records"]
 
 
 # Delivery settings of the publisher.

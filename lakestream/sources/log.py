@@ -7,19 +7,20 @@ source's columns (`schemas.LOG_RECORD`), which is how an archived topic is repla
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.functions.joins import join_small
-from lakestream.schemas import LOG_RECORD
+from lakestream.schemas import LOG_RECORD, schema
 
 Offsets = Mapping[str, Mapping[int, int]]
 
-MAX_LITERAL_PARTITIONS = 200
-MAX_BROADCAST_PARTITIONS = 100_000
+ENDS = schema(topic="string", partition="integer", end="long")
+#: Up to so many partitions, starting offsets are also written into the scan's filter. They only save
+#: reading: what is returned does not depend on them.
+PUSHED_PARTITIONS = 200
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,7 @@ class LogConfig:
     max_records_per_batch: int | None = None
     max_files_per_batch: int | None = None
     min_partitions: int | None = None
-    fail_on_data_loss: bool = False
+    fail_on_data_loss: bool = True
     extra: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -83,13 +84,16 @@ class StartPosition:
     def reached(self) -> Column:
         """The same position as a condition on file-log records: true from this position on.
 
-        "latest" has no meaning for a fixed set of files; take the end offsets and use `at_offsets`.
-        Partitions that are not listed are read from their beginning.
+        "latest", and its number -1, have no meaning for a fixed set of files; take the end offsets and use
+        `at_offsets`. -2 is the earliest. Partitions that are not listed are read from their beginning
+        here; Kafka demands that all be listed.
         """
         if self.kind == "offsets":
             passed = F.lit(True)
             for topic, partitions in self.offsets.items():
                 for partition, offset in partitions.items():
+                    if offset == -1:
+                        raise ValueError("a file log has no latest position (-1); use its end offsets")
                     here = (F.col("topic") == topic) & (F.col("partition") == partition)
                     passed = passed & (~here | (F.col("offset") >= offset))
             return passed
@@ -175,26 +179,30 @@ def end_offsets(log: DataFrame) -> DataFrame:
     return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end"))
 
 
-def tail_log(log: DataFrame, seek_back: int) -> DataFrame:
-    """The last `seek_back` offsets of every partition; empty partitions have no rows to give.
+def tail_positions(ends: Iterable[Row], seek_back: int) -> StartPosition:
+    """Where to start reading for the last `seek_back` offsets of every partition, from rows with topic,
+    partition and end: of `end_offsets`, a stream's positions, or a table of committed offsets. On Kafka
+    this seeks, and nothing before is read."""
+    starts: dict[str, dict[int, int]] = {}
+    for row in ends:
+        starts.setdefault(row["topic"], {})[row["partition"]] = max(0, row["end"] - seek_back)
+    return StartPosition.at_offsets(starts)
 
-    The end offsets are one row per partition. Up to a few hundred of them become literal start offsets,
-    a filter that reaches the file scan and skips the row groups before them; beyond that they are joined.
+
+def tail_log(log: DataFrame, seek_back: int, ends: Sequence[Row] | None = None) -> DataFrame:
+    """The last `seek_back` offsets of every partition, of the raw log; empty partitions have none to give.
+
+    The ends, one row per partition, are fixed first (from three narrow columns, unless they are given), and
+    the tail reaches up to them: records and partitions that arrive later are not in it.
     """
-    ends = end_offsets(log)
-    rows = ends.take(MAX_LITERAL_PARTITIONS + 1)
-    if len(rows) <= MAX_LITERAL_PARTITIONS:
-        starts: dict[str, dict[int, int]] = {}
-        for row in rows:
-            starts.setdefault(row["topic"], {})[row["partition"]] = row["end"] - seek_back
-        return log.filter(StartPosition.at_offsets(starts).reached())
-    return (
-        join_small(log, ends, ["topic", "partition"], max_rows=MAX_BROADCAST_PARTITIONS)
-        .filter(F.col("offset") >= F.col("end") - F.lit(seek_back))
-        .drop("end")
-    )
+    rows = list(ends) if ends is not None else end_offsets(log).collect()
+    fixed = log.sparkSession.createDataFrame([(r["topic"], r["partition"], r["end"]) for r in rows], ENDS)
+    if len(rows) <= PUSHED_PARTITIONS:
+        log = log.filter(tail_positions(rows, seek_back).reached())
+    inside = (F.col("offset") >= F.col("end") - F.lit(seek_back)) & (F.col("offset") < F.col("end"))
+    return log.join(F.broadcast(fixed), ["topic", "partition"]).filter(inside).select(log.columns)
 
 
 def seek_back_for(n: int) -> int:
-    """How far back to look for the n newest readings of one sensor: fixed values 3n, at least 30."""
+    """How far back to look first for the n newest readings of one sensor: fixed values 3n, at least 30."""
     return max(3 * n, 30)

@@ -66,10 +66,11 @@ def register_views(spark: SparkSession, curated: str, gold: str | None = None) -
 
 
 def replay_raw(spark: SparkSession, raw: str, topic: str = "") -> DataFrame:
-    """The raw zone as log records again, for reprocessing with changed rules or a wider schema."""
+    """The raw zone as log records again, keys and payloads byte for byte, for reprocessing with changed
+    rules or a wider schema. Files from before keys were kept give null keys."""
     return read_or_empty(spark, raw, RAW_ZONE, "json").select(
-        F.lit(None).cast("binary").alias("key"),
-        F.col("raw_json").cast("binary").alias("value"),
+        F.col("message_key").alias("key"),
+        F.coalesce("raw_bytes", F.col("raw_json").cast("binary")).alias("value"),
         F.lit(topic).alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),

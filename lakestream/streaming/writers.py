@@ -60,12 +60,16 @@ def write_flagged(
 
 
 def raw_zone_rows(log: DataFrame) -> DataFrame:
-    """Payloads unchanged, dated by arrival."""
+    """Keys and payloads unchanged, dated by arrival. A payload that is not UTF-8 is kept as bytes, next to
+    its text with undecodable bytes replaced."""
+    text = F.col("value").cast("string")
     rows = log.select(
-        F.col("value").cast("string").alias("raw_json"),
+        F.make_valid_utf8(text).alias("raw_json"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("ingestion_ts"),
+        F.col("key").alias("message_key"),
+        F.when(~F.is_valid_utf8(text), F.col("value")).alias("raw_bytes"),
     )
     return with_date_parts(rows, "ingestion_ts", "hour")
 
@@ -140,15 +144,15 @@ def fan_out(
     checkpoint: str,
     trigger: str | None = LAKE_TRIGGER,
 ) -> StreamingQuery:
-    """Several outputs from one scan of the source: path -> transformation of the micro-batch."""
+    """Several outputs of one stream under one checkpoint: path -> transformation of the micro-batch.
+
+    Each branch reads the micro-batch from the source again, which holds it until the batch is committed;
+    nothing is kept on the executors, however large the first batch, the whole backlog, may be.
+    """
 
     def work(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
-        try:
-            for path, branch in branches.items():
-                write_batch_once(branch(rows), path, batch_id)
-        finally:
-            rows.unpersist()
+        for path, branch in branches.items():
+            write_batch_once(branch(rows), path, batch_id)
 
     return foreach_batch(df, work, checkpoint, trigger)
 

@@ -10,13 +10,13 @@ import pytest
 
 duckdb = pytest.importorskip("duckdb")
 
-import __spark_entry__ as registry  # noqa: E402
 from conftest import plan_of  # noqa: E402
+from lakestream.checks import audit, etl, fixture, lake, streams  # noqa: E402,F401
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = dict(fixture.QUERIES), dict(fixture.ORACLES)
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",

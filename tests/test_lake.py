@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import body, plan_of, records
+from lakestream.functions.folders import delete_folder
 from lakestream.operators import lake_audit, lake_queries
 from lakestream.plans import maintenance
 from lakestream.plans.lake import Lake, build_gold, curated_readings, rebuild_curated
@@ -65,7 +66,7 @@ def test_rebuilding_one_sensor_keeps_the_others(spark, tmp_path):
     sinks.write_curated(curated_readings(readings(spark)), copy.curated)
     build_gold(spark, copy)
     changed = curated(spark, copy).filter("sensor_type = 'humidity'").withColumn("value", F.lit(1.0))
-    sinks.write_gold(lake_queries.daily_stats(changed), copy.gold)
+    sinks.write_gold(lake_queries.daily_stats(changed), copy.gold, "humidity")
     gold = zones.read_zone(spark, copy.gold, GOLD_ZONE)
     assert gold.count() == 18
     assert {r.avg_value for r in gold.filter("sensor_type = 'humidity'").collect()} == {1.0}
@@ -207,7 +208,8 @@ def test_evolved_schema(spark, tmp_path):
 
 def test_verified_write(spark, tmp_path, monkeypatch):
     assert sinks.write_verified(spark.range(5), str(tmp_path / "v")) == 5
-    monkeypatch.setattr(sinks, "write_batch", lambda df, path, by: df.limit(4).write.parquet(path))
+    changed = (F.col("id") + F.when(F.col("id") == 3, 1).otherwise(0)).alias("id")
+    monkeypatch.setattr(sinks, "write_batch", lambda df, path, by: df.select(changed).write.parquet(path))
     with pytest.raises(sinks.WriteMismatch):
         sinks.write_verified(spark.range(5), str(tmp_path / "w"))
 
@@ -272,6 +274,45 @@ def test_compacting_a_part(spark, scattered, tmp_path):
     assert spark.read.parquet(target).count() == 54
 
 
+def test_a_part_without_source_leaves_the_target(spark, scattered, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.read.parquet(scattered).write.partitionBy(*CURATED_PARTITIONS).parquet(source)
+    maintenance.compact(spark, source, target)
+    assert delete_folder(spark, f"{source}/sensor_type=humidity/year=2024/month=2")
+    assert not delete_folder(spark, f"{source}/sensor_type=humidity/year=2024/month=2")
+    with pytest.raises(maintenance.RowsChanged):
+        maintenance.verify_compaction(spark, source, target, F.col("sensor_type") == "humidity")
+    maintenance.compact(spark, source, target, where=F.col("sensor_type") == "humidity")
+    assert maintenance.verify_compaction(spark, source, target) == 45
+    assert maintenance.verify_compaction(spark, source, target, F.col("sensor_type") == "humidity") == 9
+
+
+def test_a_target_with_other_columns_is_refused(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    rows = spark.createDataFrame([("01", 1, 1), ("02", 2, 1)], "k string, v int, m int")
+    rows.write.partitionBy("k", "m").parquet(source)
+    maintenance.compact(spark, source, target, ["k", "m"])
+    assert {r.k for r in maintenance.zone_as_written(spark, target).collect()} == {"01", "02"}
+    rows.withColumn("w", F.lit(1)).write.mode("append").partitionBy("k", "m").parquet(source)
+    with pytest.raises(maintenance.ColumnsChanged):
+        maintenance.compact(spark, source, target, ["k", "m"], where=F.col("k") == "01")
+    maintenance.compact(spark, source, target, ["k", "m"])
+    assert "w" in maintenance.zone_as_written(spark, target).columns
+
+
+@pytest.mark.parametrize("name", ["a b", "x/y", "50%", "a=b", "q:r", "é", "it's"])
+def test_gold_of_a_sensor_with_an_odd_name(spark, tmp_path, name):
+    path = str(tmp_path / "gold")
+    day = [(1, 2, 1.0, 1.0, 1.0, 0, 0.0, n, 2024, m) for n in (name, "other") for m in (1, 2)]
+    rows = spark.createDataFrame(day, GOLD_ZONE)
+    sinks.write_gold(rows, path)
+    sinks.write_gold(rows.filter("month = 2").withColumn("record_count", F.lit(9).cast("long")), path, name)
+    got = zones.read_zone(spark, path, GOLD_ZONE).collect()
+    assert sorted((r.sensor_type, r.month, r.record_count) for r in got) == sorted(
+        [(name, 2, 9), ("other", 1, 2), ("other", 2, 2)]
+    )
+
+
 def test_null_directories_survive_compaction(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")

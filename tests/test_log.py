@@ -20,7 +20,7 @@ def test_kafka_stream_options():
         "kafka.bootstrap.servers": "b1:9092,b2:9092",
         "subscribe": "sensor-events",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
     bounded = src.LogConfig("t", "b", max_records_per_batch=50, min_partitions=64)
     options = src.stream_options(bounded, src.LATEST)
@@ -74,7 +74,7 @@ def test_latest_needs_offsets_on_a_file_log(spark, file_log):
 
 @pytest.mark.parametrize("literal", [200, 0])
 def test_the_tail_of_every_partition(spark, file_log, monkeypatch, literal):
-    monkeypatch.setattr(src, "MAX_LITERAL_PARTITIONS", literal)
+    monkeypatch.setattr(src, "PUSHED_PARTITIONS", literal)
     tail = src.tail_log(src.read_log_batch(spark, file_log), 5)
     got = sorted((r.partition, r.offset) for r in tail.collect())
     assert got == [(0, o) for o in range(95, 100)] + [(1, o) for o in range(5, 10)] + [(2, 0), (2, 1), (2, 2)]
@@ -82,6 +82,40 @@ def test_the_tail_of_every_partition(spark, file_log, monkeypatch, literal):
         assert "GreaterThanOrEqual(offset,95)" in plan_of(tail)
 
 
+def test_the_tail_has_fixed_ends(spark, tmp_path, monkeypatch):
+    """What arrives after the ends were looked up is in neither form of the tail."""
+    path = str(tmp_path / "log")
+    records(spark, [body("a", float(i)) for i in range(20)]).write.parquet(path)
+    cfg = src.LogConfig("t", format="parquet", path=path)
+    ends = src.end_offsets(src.read_log_batch(spark, cfg)).collect()
+    records(spark, [body("a", 1.0)] * 5, 0, 20).write.mode("append").parquet(path)
+    records(spark, [body("a", 1.0)] * 5, 7).write.mode("append").parquet(path)
+    for pushed in (200, 0):
+        monkeypatch.setattr(src, "PUSHED_PARTITIONS", pushed)
+        tail = src.tail_log(src.read_log_batch(spark, cfg), 4, ends)
+        assert sorted((r.partition, r.offset) for r in tail.collect()) == [(0, o) for o in range(16, 20)]
+
+
+def test_ends_are_found_without_reading_payloads(spark, file_log):
+    plan = plan_of(src.end_offsets(src.read_log_batch(spark, file_log)))
+    assert "ReadSchema: struct<topic:string,partition:int,offset:bigint>" in plan
+
+
+def test_seeking_by_given_ends(spark):
+    ends = spark.createDataFrame([("t", 0, 100), ("t", 1, 3)], src.ENDS).collect()
+    position = src.tail_positions(ends, 30)
+    assert position.kafka_options() == {"startingOffsets": '{"t": {"0": 70, "1": 0}}'}
+    kafka = src.batch_options(src.LogConfig("t", "b:9092"), position)
+    assert kafka["startingOffsets"] == '{"t": {"0": 70, "1": 0}}' and kafka["failOnDataLoss"] == "true"
+    assert src.batch_options(src.LogConfig("t", "b:9092", fail_on_data_loss=False))["failOnDataLoss"] == "false"
+
+
+def test_numbers_for_latest_and_earliest_on_a_file_log(spark, file_log):
+    with pytest.raises(ValueError, match="latest"):
+        src.read_log_batch(spark, file_log, src.StartPosition.at_offsets({"t": {0: -1}}))
+    assert src.read_log_batch(spark, file_log, src.StartPosition.at_offsets({"t": {0: -2}})).count() == 113
+
+
 def test_how_far_to_look_back():
     assert [src.seek_back_for(n) for n in (1, 5, 10, 11)] == [30, 30, 30, 33]
 
@@ -116,10 +150,19 @@ def test_a_missing_time_comes_last(spark):
     assert [r.value for r in audit.latest_readings(log, 2, "a").orderBy("rank").collect()] == [2.0, 1.0]
 
 
-def test_looking_back_can_miss_a_rare_sensor_and_the_exact_mode_does_not(spark):
-    log = readings(spark, [("rare", 1.0)] + [("busy", float(i)) for i in range(40)])
-    assert audit.latest_readings(log, 1, "rare", seek_back=30).isEmpty()
-    assert audit.latest_readings(log, 1, "rare").count() == 1
+def test_a_quiet_sensor_is_found(spark):
+    log = records(spark, [body("rare", 1.0)] + [body("busy", 1.0)] * 990)
+    assert audit.latest_of_log(log, 1, "rare", 30, extend=False).isEmpty()
+    assert [r.value for r in audit.latest_of_log(log, 1, "rare").collect()] == [1.0]
+    assert audit.latest_of_log(log, 5, "rare").count() == 1
+    assert audit.latest_of_log(log, 5, "none").isEmpty()
+    assert audit.latest_of_log(log.limit(0), 5, "rare").isEmpty()
+    assert audit.latest_readings(parse_readings(log), 1, "rare").count() == 1
+
+
+def test_the_newest_reading_needs_no_sorting_of_its_input(spark):
+    plan = plan_of(audit.latest_readings(readings(spark, [("a", 1.0)])))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_the_rank_is_cut_before_the_shuffle(spark):

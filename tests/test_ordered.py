@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from lakestream.functions import joins, ordered
+from lakestream.functions import ordered
 
 
 @pytest.fixture(scope="module")
@@ -53,16 +53,3 @@ def test_no_window_runs_over_a_whole_group(rows):
     plan = plan_of(ordered.number_rows(rows, ["g"], "at", "n", 100))
     assert "row_number() windowspecdefinition(g#" in plan and "_bucket#" in plan
     assert "row_number() windowspecdefinition(g#0, at" not in plan
-
-
-def test_a_small_side_is_broadcast_and_a_large_one_is_not(spark):
-    large = spark.range(100).withColumn("k", F.col("id") % 10)
-    small = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("name"))
-    assert "Broadcast" in plan_of(joins.join_small(large, small, ["k"]))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = joins.join_small(large, small, ["k"], max_rows=3)
-        assert "Broadcast" not in plan_of(joined)
-        assert joined.count() == 100
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -159,17 +159,50 @@ def test_known_sensors(spark):
 
 def test_rules_as_a_table(spark):
     frame = DEFAULT_RULES.to_frame(spark)
-    back = SensorRules.from_frame(frame)
-    assert set(back.rules) == set(DEFAULT_RULES.rules)
     rows = spark.createDataFrame([("humidity", 95.0), ("radar", 1.0)], "sensor string, value double")
     got = {r.sensor: r.anomaly_above for r in q.attach_rules(rows, frame).collect()}
     assert got == {"humidity": 90.0, "radar": None}
 
 
-def test_too_many_rules_for_inline_expressions_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(SensorRules, "MAX_INLINE", 2)
-    with pytest.raises(ValueError, match="attach_rules"):
-        SensorRules.from_frame(DEFAULT_RULES.to_frame(spark))
+def test_rules_in_code_and_in_a_table_mean_the_same(spark):
+    values = [None, float("nan"), -60.0, 0.0, 35.0, 35.5, 95.0, 900.0]
+    sensors = [None, "radar", "temperature", "humidity", "pressure"]
+    rows = spark.createDataFrame([(s, v, i) for i, (s, v) in enumerate((s, v) for s in sensors for v in values)],
+                                 "sensor string, value double, i int")
+    table = DEFAULT_RULES.to_frame(spark)
+    spare = spark.range(2000).selectExpr("concat('spare', id) sensor", "'' unit", "0D a", "0D b", "0D c")
+    for rules in (table, table.union(spare)):
+        flags = {r.i: r.is_anomaly for r in q.flag_anomalies(rows, rules).collect()}
+        assert flags == {r.i: r.is_anomaly for r in q.flag_anomalies(rows, DEFAULT_RULES).collect()}
+        for keep in (q.in_domain, q.in_physical_range):
+            assert sorted(r.i for r in keep(rows, rules).collect()) == sorted(r.i for r in keep(rows).collect())
+    log = parse_readings(records(spark, [("temperature", body("x", 36.0)), (b"", body("temperature", 99.0))]))
+    assert q.alerts(log, table).collect() == q.alerts(log).collect()
+
+
+@pytest.mark.parametrize(
+    ("sent", "status"),
+    [
+        ('{"sensor":"temperature","value":20}', 201),
+        ('{"sensor":"temperature","value":20} x', 400),
+        ('{"sensor":"temperature","value":20}{"a":1}', 400),
+        ('{"sensor":"temperature","value":20}],[1', 400),
+        ('{"sensor":"temperature","value":20},1', 400),
+        (' \n{"sensor":"temperature","value":20}\t', 201),
+        ('{"sensor":"temperature","value":"\\t20"}', 201),
+        ('{"sensor":"temperature","value":"\u00a020\u2003"}', 201),
+        ('{"sensor":"temperature","value":"\u0662\u0660"}', 201),
+        ('{"sensor":"temperature","value":"2 0"}', 422),
+        ('{"sensor":"temperature","value":NaN}', 400),
+        ('{"sensor":"temperature","value":Infinity}', 400),
+        ("", 400),
+        (" ", 400),
+        ("null", 400),
+    ],
+)
+def test_bodies_must_be_one_document(spark, sent, status):
+    judged = q.validate_payloads(records(spark, [sent])).first()
+    assert judged.status_code == status, judged
 
 
 def test_a_sensor_without_a_threshold_is_never_flagged(spark):
