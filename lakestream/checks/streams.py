@@ -20,18 +20,21 @@ from lakestream.checks.fixture import (
     log_path,
     once,
     sql_body,
+    sql_pct,
     sql_round,
 )
 from lakestream.functions.columns import round_half_up
 from lakestream.functions.payload import parse_readings
-from lakestream.operators.lake_audit import list_files
+from lakestream.operators.lake_audit import list_files, partition_files
 from lakestream.operators.log_audit import dedupe_log
 from lakestream.operators.windows import window_bounds
 from lakestream.plans.etl import flagged_readings, run_etl, statistics
-from lakestream.plans.lake import Lake, run_lake
-from lakestream.schemas import CURATED_ZONE, RAW_ZONE
+from lakestream.plans.lake import Lake, build_gold, read_lake, run_lake
+from lakestream.plans.maintenance import compact_batches, expire_batches
+from lakestream.schemas import CURATED_PARTITIONS, RAW_ZONE
 from lakestream.session import scratch_path, streaming_session
 from lakestream.sinks.batch import write_batch
+from lakestream.sources.batches import layout, range_folder
 from lakestream.sources.log import LogConfig, read_log_stream
 from lakestream.sources.zones import read_or_empty, read_stream_output
 from lakestream.streaming import writers
@@ -105,7 +108,7 @@ def raw_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
 )
 def curated_zone_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Silver keeps what parses and is in range."""
-    zone = read_or_empty(spark, _streamed_lake(spark, sf).curated, CURATED_ZONE)
+    zone = read_lake(spark, _streamed_lake(spark, sf))
     return zone.select(
         "sensor_type", "year", "month", "day", "value", "partition", "offset", "is_anomaly"
     )
@@ -273,3 +276,32 @@ def stream_throughput(spark: SparkSession, sf: str) -> DataFrame:
         F.col("dropped_late").alias("late_rows"),
         (F.col("busy_ms") > 0).alias("rate_known"),
     )
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT sensor AS sensor_type, year, month, day, count(*) AS record_count,
+           {sql_round('avg(value)', 3)} AS avg_value, {sql_round('min(value)', 3)} AS min_value,
+           {sql_round('max(value)', 3)} AS max_value, count(*) FILTER (is_anomaly) AS anomaly_count,
+           {sql_pct('count(*) FILTER (is_anomaly)', 'count(*)')} AS anomaly_pct
+    FROM log GROUP BY 1, 2, 3, 4"""
+)
+def lake_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Streamed, compacted, streamed on, compacted again with the first range merged, and cleaned up: gold
+    is that of the whole log, and no directory has more files than there are ranges and open batches."""
+    folder, made = scratch_path(spark, "growing"), Lake(scratch_path(spark, "lake"), TOPIC)
+    records = log(spark, sf).repartition(4)
+    for part in range(3):
+        records.filter(F.col("offset") % 3 == part).write.mode("append").parquet(folder)
+        files = list_files(spark, folder).count()
+        config = LogConfig(TOPIC, format="parquet", path=folder, max_files_per_batch=max(1, files // (part + 1) // 2))
+        run_lake(streaming_session(spark), config, made, RULES, keep_raw=False, trigger=None)
+        if part < 2:
+            compact_batches(spark, made.curated, made.compacted, merge_after=1)
+            expire_batches(spark, made.curated, made.compacted)
+    now = layout(spark, made.curated, made.compacted)
+    files = partition_files(spark, range_folder(made.compacted, *now.ranges[0]))
+    most = files.groupBy(*CURATED_PARTITIONS).count().agg(F.max("count")).first()[0]
+    if len(now.ranges) != 1 or now.replaced or now.old or most != 1:
+        raise AssertionError(f"not compacted: {now}, {most} files in a directory")
+    return build_gold(spark, made)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from lakestream.functions.columns import with_date_parts
 from lakestream.functions.payload import parse_readings
-from lakestream.operators.lake_queries import daily_stats
+from lakestream.operators.lake_queries import daily_stats, sensor_types
 from lakestream.operators.quality import drop_malformed, flag_anomalies, in_range
 from lakestream.schemas import (
     CURATED_PARTITIONS,
@@ -23,9 +24,10 @@ from lakestream.schemas import (
 )
 from lakestream.sinks.batch import write_curated, write_gold
 from lakestream.sources.log import EARLIEST, LogConfig, StartPosition, read_log_stream
-from lakestream.sources.zones import read_or_empty, read_zone, replay_raw
+from lakestream.sources.batches import read_curated
+from lakestream.sources.zones import read_zone, replay_raw
 from lakestream.streaming.supervise import run_queries
-from lakestream.streaming.writers import LAKE_TRIGGER, write_curated_zone, write_raw_zone
+from lakestream.streaming.writers import LAKE_TRIGGER, foreach_batch_once, write_raw_zone
 
 
 @dataclass(frozen=True)
@@ -82,11 +84,20 @@ def run_lake(
     start: StartPosition = EARLIEST,
 ) -> list[StreamingQuery]:
     """Feed the raw and the curated zone from one log: two queries, each with its own checkpoint, so
-    that either can be replayed alone. Blocks until they end."""
+    that either can be replayed alone. Blocks until they end.
+
+    Curated rows are gathered by directory and written by batch number, so a repeated batch has no second
+    effect and closed batches can be compacted (`plans.maintenance.compact_batches`) while the stream runs.
+    Read them with `read_lake`. A replay from a fresh checkpoint needs a fresh curated folder.
+    """
     log = read_log_stream(spark, cfg, start)
     starters = [
-        lambda: write_curated_zone(
-            curated_readings(log, rules), lake.curated, f"{lake.checkpoints}/curated", trigger
+        lambda: foreach_batch_once(
+            curated_readings(log, rules),
+            lake.curated,
+            f"{lake.checkpoints}/curated",
+            trigger,
+            CURATED_PARTITIONS,
         )
     ]
     if keep_raw:
@@ -96,9 +107,23 @@ def run_lake(
     return run_queries(spark, starters)
 
 
+def read_lake(spark: SparkSession, lake: Lake, schema: StructType = CURATED_ZONE) -> DataFrame:
+    """The curated zone, of a stream's batches and their compacted ranges or of a batch job."""
+    return read_curated(spark, lake.curated, lake.compacted, schema)
+
+
+def lake_sensors(spark: SparkSession, lake: Lake, known: Sequence[str] = ()) -> DataFrame:
+    """Sensors with data, from file listings alone."""
+    present = [sensor_types(spark, root) for root in (lake.curated, lake.compacted)]
+    found = present[0].union(present[1]).distinct()
+    if known and found.isEmpty():
+        return sensor_types(spark, lake.curated, known)
+    return found.orderBy("sensor_type")
+
+
 def build_gold(spark: SparkSession, lake: Lake, sensor: str | None = None) -> DataFrame:
     """Recompute gold from the curated zone, for all sensors or one; the others stay as they are."""
-    curated = read_or_empty(spark, lake.curated, CURATED_ZONE)
+    curated = read_lake(spark, lake)
     write_gold(daily_stats(curated, sensor), lake.gold, sensor)
     return read_zone(spark, lake.gold, GOLD_ZONE)
 

@@ -13,6 +13,7 @@ from lakestream.operators.lake_audit import list_files, partition_files
 from lakestream.operators.log_audit import same_rows
 from lakestream.schemas import CURATED_PARTITIONS
 from lakestream.session import text_partitions_session
+from lakestream.sources.batches import BATCH, layout, range_folder
 from lakestream.sources.zones import zone_exists
 
 TARGET_BYTES = 512 * 1024 * 1024
@@ -37,18 +38,10 @@ def _named(partitions: Sequence[str]) -> list[Column]:
 
 
 def planned_files(
-    spark: SparkSession,
-    path: str,
-    partitions: Sequence[str],
-    target_bytes: int,
-    files_per_partition: int = 1,
-    where: Column | None = None,
+    listed: DataFrame, partitions: Sequence[str], target_bytes: int, files_per_partition: int = 1
 ) -> DataFrame:
     """Per directory, how many files of the target size its data fills, and the number of the first, from
     the file listing alone: `_key_` columns, `_files`, `_first`."""
-    listed = partition_files(spark, path)
-    if where is not None:
-        listed = listed.filter(where)
     keys = [f"_key_{p}" for p in partitions]
     filled = F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int")
     plan = listed.groupBy(*_named(partitions)).agg(
@@ -86,27 +79,46 @@ def compact(
             held = zone_as_written(spark, target)
             if set(held.dtypes) != set(zone.dtypes):
                 raise ColumnsChanged(f"{target}: {sorted(set(held.dtypes) ^ set(zone.dtypes))}")
-    plan = planned_files(spark, source, partitions, target_bytes, files_per_partition, where)
+    listed = partition_files(spark, source)
+    if where is not None:
+        listed = listed.filter(where)
+    plan = planned_files(listed, partitions, target_bytes, files_per_partition)
+    _rewrite(zone.select("*", _place()), plan, target, partitions, where is not None, sort_by)
+    if where is not None:
+        for folder in stale_folders(spark, source, target, partitions, where):
+            delete_folder(spark, folder)
+    return compaction_report(spark, source, target, where)
+
+
+def _place() -> Column:
+    """Where a row was read, as a number."""
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+
+
+def _rewrite(
+    placed: DataFrame,
+    plan: DataFrame,
+    target: str,
+    partitions: Sequence[str],
+    keep_others: bool,
+    sort_by: Sequence[str] = (),
+) -> None:
+    """Write rows with their `_place` into the files planned for their directories, a task for each file."""
+    columns = [F.col(f"`{c}`") for c in placed.columns if c != "_place"]
     total = plan.agg(F.sum("_files")).first()[0] or 1
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    keyed = zone.select("*", place.alias("_place"), *_named(partitions))
-    placed = keyed.join(plan, [f"_key_{p}" for p in partitions], "left")
+    joined = placed.select("*", *_named(partitions)).join(plan, [f"_key_{p}" for p in partitions], "left")
     slot = F.coalesce("_first", F.lit(0)) + F.pmod(F.col("_place"), F.coalesce("_files", F.lit(1)))
-    spread = placed.withColumn("_slot", slot.cast("int")).repartitionById(int(total), "_slot")
+    spread = joined.withColumn("_slot", slot.cast("int")).repartitionById(int(total), "_slot")
     if sort_by:
         spread = spread.sortWithinPartitions(*partitions, *sort_by)
     (
-        spread.select(*[F.col(f"`{c}`") for c in zone.columns])
+        spread.select(*columns)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if where is None else "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
         .partitionBy(*partitions)
         .option("compression", "snappy")
         .parquet(target)
     )
-    if where is not None:
-        for folder in stale_folders(spark, source, target, partitions, where):
-            delete_folder(spark, folder)
-    return compaction_report(spark, source, target, where)
 
 
 def stale_folders(
@@ -166,3 +178,58 @@ def verify_compaction(
 ) -> int:
     """`verify_same_rows` of two folders, with the columns of all files and partition values as text."""
     return verify_same_rows(zone_as_written(spark, source), zone_as_written(spark, target), exact, where)
+
+
+def compact_batches(
+    spark: SparkSession,
+    curated: str,
+    compacted: str,
+    partitions: Sequence[str] = CURATED_PARTITIONS,
+    files_per_partition: int = 1,
+    target_bytes: int = TARGET_BYTES,
+    merge_after: int = 8,
+) -> tuple[int, int] | None:
+    """Compact the closed batches of a zone fed in batches (`sources.batches`) into a range, and return the
+    first and the last; None if there is nothing to do.
+
+    The newest batch may still be repeated by its stream and stays as it is. Earlier ranges are left alone
+    until there are `merge_after` of them; then they are merged with the new batches into one, so that a
+    directory never has more files than ranges and open batches. The rows are verified before this returns;
+    a range that fails is removed.
+    """
+    now = layout(spark, curated, compacted)
+    closed = now.live[:-1] if now else ()
+    if not closed:
+        return None
+    merged = now.ranges if len(now.ranges) >= merge_after else ()
+    first = merged[0][0] if merged else now.covered + 1
+    target = range_folder(compacted, first, closed[-1])
+    reader = text_partitions_session(spark).read.option("mergeSchema", "true")
+    folders = [f"{curated}/{BATCH}={b}" for b in closed]
+    listed = [partition_files(spark, curated).filter(F.col(BATCH).cast("bigint").between(closed[0], closed[-1])).drop(BATCH)]
+    frames = [reader.option("basePath", curated).parquet(*folders).select("*", _place()).drop(BATCH)]
+    for old in merged:
+        listed.append(partition_files(spark, range_folder(compacted, *old)))
+        frames.append(reader.option("basePath", range_folder(compacted, *old)).parquet(range_folder(compacted, *old)).select("*", _place()))
+
+    def union(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.unionByName(b, allowMissingColumns=True)
+
+    rows = reduce(union, frames)
+    plan = planned_files(reduce(union, listed), partitions, target_bytes, files_per_partition)
+    _rewrite(rows, plan, target, partitions, keep_others=False)
+    if not same_rows(rows.drop("_place"), zone_as_written(spark, target)):
+        delete_folder(spark, target)
+        raise RowsChanged(f"{target} does not hold the rows of its batches")
+    return first, closed[-1]
+
+
+def expire_batches(spark: SparkSession, curated: str, compacted: str) -> list[str]:
+    """Remove the batches and ranges that compacted ranges have replaced; returns their folders. To be run
+    when no reader that began before the last compaction is left."""
+    now = layout(spark, curated, compacted)
+    gone = [f"{curated}/{BATCH}={b}" for b in now.old] if now else []
+    gone += [range_folder(compacted, *r) for r in now.replaced] if now else []
+    for folder in gone:
+        delete_folder(spark, folder)
+    return gone

@@ -55,9 +55,10 @@ def zone_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def register_views(spark: SparkSession, curated: str, gold: str | None = None) -> list[str]:
+def register_views(spark: SparkSession, curated: str | DataFrame, gold: str | None = None) -> list[str]:
     """Make `sensor_curated`, and `sensor_daily` once gold has been built, queryable by name."""
-    read_or_empty(spark, curated, CURATED_ZONE).createOrReplaceTempView("sensor_curated")
+    rows = read_or_empty(spark, curated, CURATED_ZONE) if isinstance(curated, str) else curated
+    rows.createOrReplaceTempView("sensor_curated")
     views = ["sensor_curated"]
     if gold and zone_exists(spark, gold):
         read_zone(spark, gold, GOLD_ZONE).createOrReplaceTempView("sensor_daily")

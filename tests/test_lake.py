@@ -255,7 +255,8 @@ def test_compaction_to_one_file_per_directory(spark, lake, scattered, tmp_path):
 
 
 def test_a_large_directory_is_spread_over_several_files(spark, scattered, tmp_path):
-    plan = maintenance.planned_files(spark, scattered, CURATED_PARTITIONS, target_bytes=3000)
+    listed = lake_audit.partition_files(spark, scattered)
+    plan = maintenance.planned_files(listed, CURATED_PARTITIONS, target_bytes=3000)
     planned = plan.agg(F.sum("_files"), F.max("_files")).first()
     assert planned[1] > 1
     report = maintenance.compact(spark, scattered, str(tmp_path / "c"), target_bytes=3000).first()

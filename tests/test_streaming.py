@@ -9,7 +9,7 @@ from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
 from lakestream.operators.windows import window_bounds
 from lakestream.plans.etl import flagged_readings, run_etl, run_etl_batch, statistics
-from lakestream.plans.lake import Lake, curated_readings, run_lake
+from lakestream.plans.lake import Lake, curated_readings, read_lake, run_lake
 from lakestream.plans.maintenance import compact
 from lakestream.schemas import LOG_RECORD, RAW_ZONE
 from lakestream.session import scratch_path, streaming_session
@@ -125,13 +125,13 @@ def test_zones_from_one_log(spark, session, feed, tmp_path):
     run_lake(session, feed.config, lake, trigger=None)
     raw = zones.read_or_empty(spark, lake.raw, RAW_ZONE, "json")
     assert raw.count() == 4 and {(r.month, r.day, r.hour) for r in raw.collect()} == {(2, 1, 23)}
-    silver = zones.read_zone(spark, lake.curated)
+    silver = read_lake(spark, lake)
     assert {(r.sensor_type, r.month, r.day, r.source) for r in silver.collect()} == {("t", 1, 1, None), ("h", 1, 1, "x")}
     again = zones.replay_raw(spark, lake.raw, "t")
     fates = audit.reconcile_summary(audit.reconcile(parse_readings(again), silver)).collect()
     assert {r.status: r.offsets for r in fates} == {"curated": 2, "rejected": 2}
     run_lake(session, feed.config, lake, keep_raw=False, trigger=None)
-    assert zones.read_zone(spark, lake.curated).count() == 2
+    assert read_lake(spark, lake).count() == 2
 
 
 def test_the_lake_without_raw(spark, session, feed, tmp_path):
