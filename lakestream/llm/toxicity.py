@@ -53,7 +53,7 @@ NEGATIONS = "not never no nobody nicht kein keine niemals pas jamais aucun nunca
 REPORTS = "said says wrote quoted claimed alleged sagte schrieb behauptete dit écrit affirmé dijo escribió afirmó"
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "O", "I", "T", "G", "N", "R"
-THREAT_WEIGHT = 5.0
+THREAT_WEIGHT = 9.0
 #: Words after a negation that it still reaches.
 NEGATION_REACH = 3
 #: What is left of a weight under negation and in reported speech, and what a target makes of it.
