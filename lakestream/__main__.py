@@ -8,30 +8,45 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.functions.payload import parse_readings
-from lakestream.operators import lake_audit, lake_queries, log_audit
+from lakestream.functions.payload import decode, parse_readings
+from lakestream.operators import lake_audit, lake_queries, log_audit, quality
 from lakestream.operators.windows import window_report
 from lakestream.plans import maintenance
 from lakestream.plans.etl import run_etl, run_etl_batch
-from lakestream.plans.lake import Lake, build_gold, run_lake
-from lakestream.schemas import CURATED_ZONE, DEFAULT_RULES
+from lakestream.plans.lake import Lake, build_gold, lake_sensors, read_lake, run_lake
+from lakestream.schemas import DEFAULT_RULES
 from lakestream.session import prepare, streaming_session
-from lakestream.sources.log import LATEST, LogConfig, StartPosition, read_log_batch
-from lakestream.sources.zones import read_or_empty, register_views
+from lakestream.sources.batches import layout
+from lakestream.sources.log import LATEST, LogConfig, StartPosition, end_offsets, read_log_batch
+from lakestream.sources.zones import read_stream_output, register_views
 from lakestream.streaming.writers import LAKE_TRIGGER, STATS_TRIGGER
 
 SHOWN = 30
 
 
-def show(title: str, df: DataFrame, rows: int = SHOWN) -> None:
+def show(args: argparse.Namespace, title: str, df: DataFrame) -> None:
+    """Print the first `--rows` rows (0: all of them), and write everything to `--save`, if given."""
     print(f"\n{title}")
-    df.show(rows, truncate=False)
+    if args.save:
+        folder = f"{args.save}/{title.lower().replace(' ', '_')}"
+        df.write.mode("overwrite").json(folder)
+        print(f"written to {folder}")
+    df.show(args.rows or df.count(), truncate=False)
 
 
 def log_of(args: argparse.Namespace) -> LogConfig:
     if args.path:
         return LogConfig(args.topic, format=args.format, path=args.path)
-    return LogConfig(args.topic, args.servers, max_records_per_batch=args.max_records)
+    return LogConfig(
+        args.topic,
+        args.servers,
+        max_records_per_batch=args.max_records,
+        fail_on_data_loss=not args.skip_lost,
+    )
+
+
+def readings_of(spark: SparkSession, args: argparse.Namespace, *extra: str) -> DataFrame:
+    return parse_readings(read_log_batch(spark, log_of(args)), extra=extra)
 
 
 def etl(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -48,11 +63,49 @@ def etl(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def etl_batch(spark: SparkSession, args: argparse.Namespace) -> None:
     windows = run_etl_batch(spark, log_of(args), args.out)
-    show("Windows", window_report(windows), 50)
+    show(args, "Windows", window_report(windows))
     totals = windows.groupBy("sensor").agg(
         F.sum("event_count").alias("total"), F.sum("anomaly_count").alias("anomalies")
     )
-    show("Readings per sensor", totals.orderBy("sensor"))
+    show(args, "Readings per sensor", totals.orderBy("sensor"))
+
+
+def read_output(spark: SparkSession, args: argparse.Namespace) -> None:
+    """What `etl` has written so far."""
+    windows = read_stream_output(spark, f"{args.out}/windows")
+    show(args, "Windows", window_report(windows))
+    totals = windows.groupBy("sensor").agg(
+        F.count(F.lit(1)).alias("windows"),
+        F.sum("event_count").alias("readings"),
+        F.sum("anomaly_count").alias("anomalies"),
+    )
+    show(args, "Readings per sensor", totals.orderBy("sensor"))
+
+
+def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
+    found = quality.alerts(readings_of(spark, args))
+    show(args, "Alerts", found.orderBy("partition", "offset"))
+
+
+def batch_stats(spark: SparkSession, args: argparse.Namespace) -> None:
+    chunks = log_audit.batch_stats(readings_of(spark, args, "topic"), args.chunk)
+    show(args, "Chunks", chunks.orderBy("topic", "partition", "chunk", "sensor"))
+
+
+def lag(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Of a consumer whose committed offsets are given, or of the stream whose progress file is."""
+    ends = end_offsets(read_log_batch(spark, log_of(args)))
+    committed = log_audit.offsets_from_json(spark, "committed", args.committed)
+    table = log_audit.lag_flags(log_audit.lag_table(ends, committed))
+    show(args, "Lag", table.orderBy("topic", "partition"))
+    show(args, "Status", log_audit.lag_status(table))
+
+
+def audit(spark: SparkSession, args: argparse.Namespace) -> None:
+    log = read_log_batch(spark, log_of(args))
+    show(args, "Partitions", log_audit.partition_completeness(log).orderBy("topic", "partition"))
+    show(args, "Gaps", log_audit.offset_gaps(log).orderBy("topic", "partition", "after_offset"))
+    show(args, "Keys on several partitions", log_audit.key_partitions(decode(log)).filter("not single"))
 
 
 def lake(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -69,36 +122,43 @@ def lake(spark: SparkSession, args: argparse.Namespace) -> None:
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     zones = Lake(args.lake)
     built = build_gold(spark, zones, args.sensor)
-    show("Gold", built.orderBy("sensor_type", "year", "month", "day"))
-    curated = read_or_empty(spark, zones.curated, CURATED_ZONE)
-    show("Sensors", lake_queries.sensor_comparison(curated).orderBy("sensor_type"))
+    show(args, "Gold", built.orderBy("sensor_type", "year", "month", "day"))
+    show(args, "Sensors", lake_queries.sensor_comparison(read_lake(spark, zones)).orderBy("sensor_type"))
 
 
 def query(spark: SparkSession, args: argparse.Namespace) -> None:
     zones = Lake(args.lake)
     sensor = lake_queries.checked_sensor(args.sensor)
-    register_views(spark, zones.curated, zones.gold)
+    register_views(spark, read_lake(spark, zones), zones.gold)
     for name in ("day_report", "anomaly_shares", "hourly_trend", "sensor_spread"):
         bound = {"sensor": sensor} if ":sensor" in lake_queries.SQL[name] else {}
-        show(name, lake_queries.run_sql(spark, name, **bound))
+        show(args, name, lake_queries.run_sql(spark, name, **bound))
     full = spark.table("sensor_curated")
     pruned = full.filter(F.col("sensor_type") == sensor)
-    show("Partition pruning", lake_audit.pruning_report(full, pruned))
+    show(args, "Partition pruning", lake_audit.pruning_report(full, pruned))
     pruned.select("sensor_type", "value").explain("formatted")
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Closed batches of a streamed lake into a range; a lake without batches into a folder of its own."""
     zones = Lake(args.lake)
     if args.dry_run:
-        show("To compact", maintenance.compaction_report(spark, zones.curated))
+        show(args, "To compact", maintenance.compaction_report(spark, zones.curated))
         return
-    show(
-        "Compacted",
-        maintenance.compact(
+    if layout(spark, zones.curated, zones.compacted) is not None:
+        done = maintenance.compact_batches(
             spark, zones.curated, zones.compacted, files_per_partition=args.target_files
-        ),
+        )
+        print(f"batches {done[0]} to {done[1]}, rows unchanged" if done else "no closed batch")
+        if args.expire:
+            print(f"{len(maintenance.expire_batches(spark, zones.curated, zones.compacted))} folders removed")
+        return
+    where = F.expr(args.where) if args.where else None
+    report = maintenance.compact(
+        spark, zones.curated, zones.compacted, files_per_partition=args.target_files, where=where
     )
-    rows = maintenance.verify_compaction(spark, zones.curated, zones.compacted)
+    show(args, "Compacted", report)
+    rows = maintenance.verify_compaction(spark, zones.curated, zones.compacted, where)
     print(f"{rows} rows, unchanged")
 
 
@@ -112,20 +172,19 @@ def explore(spark: SparkSession, args: argparse.Namespace) -> None:
     }
     chosen = {args.zone: zones[args.zone]} if args.zone else zones
     files = lake_audit.file_inventory(spark, chosen)
-    show("Zones", lake_audit.inventory_summary(files).orderBy("zone", "kind"))
-    show("Directories", lake_audit.dir_rollup(files, 4).orderBy("zone", "directory"), 200)
+    show(args, "Zones", lake_audit.inventory_summary(files).orderBy("zone", "kind"))
+    show(args, "Directories", lake_audit.dir_rollup(files, 4).orderBy("zone", "directory"))
 
 
 def stats(spark: SparkSession, args: argparse.Namespace) -> None:
     sensor = lake_queries.checked_sensor(args.sensor)
-    curated = read_or_empty(spark, Lake(args.lake).curated, CURATED_ZONE)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
-    show(f"{sensor} by day", lake_queries.sensor_stats(curated, sensor, args.days, as_of), 91)
+    rows = lake_queries.sensor_stats(read_lake(spark, Lake(args.lake)), sensor, args.days, as_of)
+    show(args, f"{sensor} by day", rows)
 
 
 def sensors(spark: SparkSession, args: argparse.Namespace) -> None:
-    curated = Lake(args.lake).curated
-    show("Sensors", lake_queries.sensor_types(spark, curated, DEFAULT_RULES.sensors))
+    show(args, "Sensors", lake_sensors(spark, Lake(args.lake), DEFAULT_RULES.sensors))
 
 
 def latest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -135,7 +194,7 @@ def latest(spark: SparkSession, args: argparse.Namespace) -> None:
         found = log_audit.latest_readings(parse_readings(log), args.n, sensor)
     else:
         found = log_audit.latest_of_log(log, args.n, sensor, args.seek_back, extend=args.seek_back is None)
-    show("Latest", found)
+    show(args, "Latest", found)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -145,12 +204,15 @@ def parser() -> argparse.ArgumentParser:
     def command(work, help: str, *, log: bool = False, lake_root: bool = False) -> argparse.ArgumentParser:
         sub = commands.add_parser(work.__name__.replace("_", "-"), help=help)
         sub.set_defaults(work=work)
+        sub.add_argument("--rows", type=int, default=SHOWN, help="rows to print of a result, 0 for all")
+        sub.add_argument("--save", help="folder to write whole results to, as JSON lines")
         if log:
             sub.add_argument("--servers", default="localhost:9092", help="Kafka bootstrap servers")
             sub.add_argument("--topic", default="sensor-events")
             sub.add_argument("--path", help="read the log from files instead of Kafka")
             sub.add_argument("--format", default="parquet", help="format of --path")
             sub.add_argument("--max-records", type=int, help="records per micro-batch")
+            sub.add_argument("--skip-lost", action="store_true", help="go on where retention removed offsets")
         if lake_root:
             sub.add_argument("--lake", required=True, help="root folder of the lake")
         return sub
@@ -164,6 +226,15 @@ def parser() -> argparse.ArgumentParser:
     command(etl_batch, "the same statistics over a bounded read", log=True).add_argument(
         "--out", required=True
     )
+    command(read_output, "what etl has written").add_argument("--out", required=True)
+    command(alerts, "readings above their sensor's threshold", log=True)
+    command(batch_stats, "statistics of chunks of the log", log=True).add_argument(
+        "--chunk", type=int, default=log_audit.CHUNK
+    )
+    command(lag, "how far a consumer is behind", log=True).add_argument(
+        "--committed", required=True, help='offsets as Spark reports them: {"topic": {"0": 12}}'
+    )
+    command(audit, "gaps and repeats of the log, and keys that are spread", log=True)
     sub = command(lake, "feed the raw and curated zones", log=True, lake_root=True)
     sub.add_argument("--no-raw", action="store_true")
     sub.add_argument("--trigger", help='such as "30 seconds"')
@@ -175,6 +246,8 @@ def parser() -> argparse.ArgumentParser:
     sub = command(compact, "merge small files", lake_root=True)
     sub.add_argument("--dry-run", action="store_true")
     sub.add_argument("--target-files", type=int, default=1, help="files per directory")
+    sub.add_argument("--where", help="SQL condition on partition columns (a lake without batches)")
+    sub.add_argument("--expire", action="store_true", help="remove the batches that ranges have replaced")
     command(explore, "files and sizes of the zones", lake_root=True).add_argument(
         "--zone", choices=["raw", "curated", "consumption", "compacted"]
     )

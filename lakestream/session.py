@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from lakestream.functions.folders import delete_folder
+
 SCRATCH_SETTING = "spark.checkpoint.dir"
 
 
@@ -72,6 +74,14 @@ def streaming_session(
     return session
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every table and checkpoint this library has written to the shared folder; when the results
+    that read them have been used."""
+    root = spark.conf.get(SCRATCH_SETTING, None)
+    if root:
+        delete_folder(spark, f"{root.rstrip('/')}/lakestream")
+
+
 def text_partitions_session(spark: SparkSession) -> SparkSession:
     """A session that takes partition values as the text in the directory's name, so that a sensor `001`
     is not read as the number 1."""

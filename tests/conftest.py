@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakestream.schemas import LOG_RECORD  # noqa: E402
+from lakestream.session import drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -29,6 +30,7 @@ def spark(tmp_path_factory) -> SparkSession:
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

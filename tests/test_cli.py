@@ -4,7 +4,8 @@ import pytest
 
 from conftest import body, records
 from lakestream.__main__ import main
-from lakestream.sinks.batch import append_to_file_log
+from lakestream.plans.lake import Lake, curated_readings
+from lakestream.sinks.batch import append_to_file_log, write_curated
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +37,48 @@ def test_lake_commands(places, capsys):
     assert "sensor_type=temperature" in capsys.readouterr().out
     main(["compact", *lake, "--dry-run"])
     main(["compact", *lake])
-    assert "8 rows, unchanged" in capsys.readouterr().out
+    assert "no closed batch" in capsys.readouterr().out
+
+
+def test_compacting_a_streamed_lake(spark, places, tmp_path, capsys):
+    log, lake = str(tmp_path / "log"), ["--lake", str(tmp_path / "lake")]
+    for first in (0, 4, 8):
+        rows = [("humidity", body("humidity", 30.0 + i)) for i in range(4)]
+        append_to_file_log(records(spark, rows, first=first).drop("timestampType"), log)
+        main(["lake", "--path", log, "--topic", "t", *lake, "--once", "--no-raw"])
+    main(["compact", *lake])
+    assert "batches 0 to 1, rows unchanged" in capsys.readouterr().out
+    main(["compact", *lake, "--expire"])
+    out = capsys.readouterr().out
+    assert "no closed batch" in out and "2 folders removed" in out
+    main(["gold", *lake])
+    assert "|12 " in capsys.readouterr().out.replace("| ", "|").replace(" 12", "12")
+
+
+def test_compacting_a_part_of_a_written_zone(spark, tmp_path, capsys):
+    made = Lake(str(tmp_path / "lake"))
+    rows = [body("humidity", 1.0), body("temperature", 2.0)]
+    write_curated(curated_readings(records(spark, rows)), made.curated)
+    main(["compact", "--lake", made.root, "--where", "sensor_type = 'humidity'"])
+    assert "1 rows, unchanged" in capsys.readouterr().out
+
+
+def test_log_commands(spark, places, tmp_path, capsys):
+    log, root = places
+    of = ["--path", log, "--topic", "t"]
+    main(["alerts", *of, "--rows", "0"])
+    assert "ALERT: HIGH TEMPERATURE 37.00 C" in capsys.readouterr().out
+    main(["batch-stats", *of, "--chunk", "4", "--save", str(tmp_path / "saved")])
+    assert "written to" in capsys.readouterr().out
+    assert sorted(r["count"] for r in spark.read.json(str(tmp_path / "saved/chunks")).collect()) == [4, 4]
+    main(["lag", *of, "--committed", '{"t": {"0": 3}}'])
+    out = capsys.readouterr().out
+    assert "behind" in out and "BEHIND" in out
+    main(["audit", *of])
+    assert "Gaps" in capsys.readouterr().out
+    main(["etl", *of, "--out", f"{root}/etl2", "--once"])
+    main(["read-output", "--out", f"{root}/etl2"])
+    assert "anomalies" in capsys.readouterr().out
 
 
 def test_serving_commands(places, capsys):
