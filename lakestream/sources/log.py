@@ -18,8 +18,8 @@ from lakestream.schemas import LOG_RECORD, schema
 Offsets = Mapping[str, Mapping[int, int]]
 
 ENDS = schema(topic="string", partition="integer", end="long")
-#: Up to so many partitions, starting offsets are also written into the scan's filter. They only save
-#: reading: what is returned does not depend on them.
+#: Up to so many partitions, the bounds of a tail are a filter that reaches the scan; beyond, a join with the
+#: same bounds. What is returned does not depend on it.
 PUSHED_PARTITIONS = 200
 
 
@@ -196,9 +196,14 @@ def tail_log(log: DataFrame, seek_back: int, ends: Sequence[Row] | None = None)
     the tail reaches up to them: records and partitions that arrive later are not in it.
     """
     rows = list(ends) if ends is not None else end_offsets(log).collect()
-    fixed = log.sparkSession.createDataFrame([(r["topic"], r["partition"], r["end"]) for r in rows], ENDS)
     if len(rows) <= PUSHED_PARTITIONS:
-        log = log.filter(tail_positions(rows, seek_back).reached())
+        inside = F.lit(False)
+        for r in rows:
+            here = (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
+            since = F.col("offset") >= max(0, r["end"] - seek_back)
+            inside = inside | (here & since & (F.col("offset") < r["end"]))
+        return log.filter(inside)
+    fixed = log.sparkSession.createDataFrame([(r["topic"], r["partition"], r["end"]) for r in rows], ENDS)
     inside = (F.col("offset") >= F.col("end") - F.lit(seek_back)) & (F.col("offset") < F.col("end"))
     return log.join(F.broadcast(fixed), ["topic", "partition"]).filter(inside).select(log.columns)
 
