@@ -11,10 +11,13 @@ MAX_ROUNDS = 60
 
 
 def _with_least(pairs: DataFrame) -> DataFrame:
-    """Each pair (a, b) with `m`, the least of a and everything paired with it. The minimum is combined before
-    the shuffle, and the join that brings it back can be split by AQE where one `a` has very many pairs."""
-    least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return pairs.join(least.hint("merge"), "a")
+    """Each pair (a, b) with `m`, the least of a and everything paired with it.
+
+    The minimum is combined before the shuffle. It is settled before it is joined, since AQE splits a join
+    where one `a` has very many pairs only if both sides come straight from their shuffles.
+    """
+    least = settled(pairs.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
+    return pairs.join(least, "a")
 
 
 def large_star(edges: DataFrame) -> DataFrame:

@@ -277,7 +277,7 @@ def groups(marked: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> D
     roots = connected(links(bits.select("bits"), radius))
     placed = bits.join(roots.withColumnRenamed("node", "bits"), "bits", "left")
     placed = settled(placed.select("bits", "least", F.coalesce("root", "bits").alias("root")))
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = settled(placed.groupBy("root").agg(F.min("least").alias("component_id")))
     return marked.join(placed.join(ids, "root").select("bits", "component_id"), "bits")
 
 
