@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,64 +54,105 @@ def sensor_comparison(curated: DataFrame) -> DataFrame:
     )
 
 
+def _settled(expression: str, digits: int = 2) -> str:
+    """`round_half_up` as text."""
+    return f"round(round({expression}, 9), {digits})"
+
+
+@dataclass(frozen=True)
+class Report:
+    """One question: what a row is, its figures by name, and the order of the rows. The DataFrame form and
+    the SQL text are both made from it, so there is one definition of every figure."""
+
+    keys: Mapping[str, str]
+    figures: Mapping[str, str]
+    order: tuple[str, ...]
+    one_sensor: bool = False
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        named = [F.expr(expression).alias(name) for name, expression in self.keys.items()]
+        figures = [F.expr(expression).alias(name) for name, expression in self.figures.items()]
+        order = [F.desc(o.removeprefix("-")) if o.startswith("-") else F.asc(o) for o in self.order]
+        return rows.groupBy(*named).agg(*figures).orderBy(*order)
+
+    def sql(self, view: str) -> str:
+        chosen = [f"{expression} AS {name}" for name, expression in {**self.keys, **self.figures}.items()]
+        order = [f"{o[1:]} DESC" if o.startswith("-") else o for o in self.order]
+        return " ".join(
+            [
+                f"SELECT {', '.join(chosen)} FROM {view}",
+                "WHERE sensor_type = :sensor" if self.one_sensor else "",
+                f"GROUP BY {', '.join(self.keys.values())} ORDER BY {', '.join(order)}",
+            ]
+        )
+
+
+_COUNT, _ANOMALIES = "count(*)", "count_if(is_anomaly)"
+_MEAN, _LEAST, _MOST = (_settled(f"{f}(value)") for f in ("avg", "min", "max"))
+
+# The names of reports and of their columns are fixed values.
+REPORTS = {
+    "day_report": Report(
+        {key: key for key in DAY_KEYS},
+        {
+            "avg_value": _MEAN,
+            "min_value": _LEAST,
+            "max_value": _MOST,
+            "total_records": _COUNT,
+            "anomalies": _ANOMALIES,
+        },
+        DAY_KEYS,
+        one_sensor=True,
+    ),
+    "anomaly_shares": Report(
+        {"sensor_type": "sensor_type"},
+        {
+            "total": _COUNT,
+            "anomalies": _ANOMALIES,
+            "anomaly_pct": _settled(f"try_divide({_ANOMALIES} * 100.0D, {_COUNT})"),
+        },
+        ("-anomaly_pct", "sensor_type"),
+    ),
+    "hourly_trend": Report(
+        {"hour_of_day": "hour(event_time)"},
+        {"avg_value": _MEAN, "readings": _COUNT},
+        ("hour_of_day",),
+        one_sensor=True,
+    ),
+    "sensor_spread": Report(
+        {"sensor_type": "sensor_type"},
+        {"mean": _MEAN, "std_dev": _settled("stddev_samp(value)"), "p0": _LEAST, "p100": _MOST, "n": _COUNT},
+        ("sensor_type",),
+    ),
+}
+
+
 def day_report(curated: DataFrame, sensor: str, by_day_of_month: bool = False) -> DataFrame:
     """Daily figures of one sensor, read from its directories only.
 
     `by_day_of_month` groups by the day number alone, which merges the 5th of every month into one row;
     without it a row is a calendar day.
     """
-    keys = ("sensor_type", "day") if by_day_of_month else DAY_KEYS
-    return (
-        only_sensor(curated, sensor)
-        .groupBy(*keys)
-        .agg(
-            round_half_up(F.avg("value"), 2).alias("avg_value"),
-            round_half_up(F.min("value"), 2).alias("min_value"),
-            round_half_up(F.max("value"), 2).alias("max_value"),
-            F.count(F.lit(1)).alias("total_records"),
-            F.count_if("is_anomaly").alias("anomalies"),
-        )
-        .orderBy(*keys)
-    )
+    report = REPORTS["day_report"]
+    if by_day_of_month:
+        keys = ("sensor_type", "day")
+        report = replace(report, keys={key: key for key in keys}, order=keys)
+    return report.of(only_sensor(curated, sensor))
 
 
 def anomaly_shares(curated: DataFrame) -> DataFrame:
     """Share of anomalies per sensor, the highest first."""
-    total, anomalies = F.count(F.lit(1)), F.count_if("is_anomaly")
-    return (
-        curated.groupBy("sensor_type")
-        .agg(
-            total.alias("total"),
-            anomalies.alias("anomalies"),
-            percentage(anomalies, total).alias("anomaly_pct"),
-        )
-        .orderBy(F.desc("anomaly_pct"), "sensor_type")
-    )
+    return REPORTS["anomaly_shares"].of(curated)
 
 
 def hourly_trend(curated: DataFrame, sensor: str) -> DataFrame:
     """Average by hour of day, in UTC."""
-    return (
-        only_sensor(curated, sensor)
-        .groupBy(F.hour("event_time").alias("hour_of_day"))
-        .agg(round_half_up(F.avg("value"), 2).alias("avg_value"), F.count(F.lit(1)).alias("readings"))
-        .orderBy("hour_of_day")
-    )
+    return REPORTS["hourly_trend"].of(only_sensor(curated, sensor))
 
 
 def sensor_spread(curated: DataFrame) -> DataFrame:
     """Mean, sample deviation and extremes; the deviation of a single reading is null."""
-    return (
-        curated.groupBy("sensor_type")
-        .agg(
-            round_half_up(F.avg("value"), 2).alias("mean"),
-            round_half_up(F.stddev_samp("value"), 2).alias("std_dev"),
-            round_half_up(F.min("value"), 2).alias("p0"),
-            round_half_up(F.max("value"), 2).alias("p100"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .orderBy("sensor_type")
-    )
+    return REPORTS["sensor_spread"].of(curated)
 
 
 def row_counts(curated: DataFrame, sensor: str) -> DataFrame:
@@ -186,44 +228,7 @@ def preview(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
 
 # The same questions as SQL over the views of `sources.zones.register_views`. Arguments are bound, never
 # pasted into the text.
-SQL = {
-    "day_report": """
-        SELECT sensor_type, year, month, day,
-               round(round(avg(value), 9), 2) AS avg_value,
-               round(min(value), 2) AS min_value,
-               round(max(value), 2) AS max_value,
-               count(*) AS total_records,
-               count_if(is_anomaly) AS anomalies
-        FROM sensor_curated
-        WHERE sensor_type = :sensor
-        GROUP BY sensor_type, year, month, day
-        ORDER BY year, month, day
-    """,
-    "anomaly_shares": """
-        SELECT sensor_type, count(*) AS total, count_if(is_anomaly) AS anomalies,
-               round(round(100.0D * count_if(is_anomaly) / count(*), 9), 2) AS anomaly_pct
-        FROM sensor_curated
-        GROUP BY sensor_type
-        ORDER BY anomaly_pct DESC, sensor_type
-    """,
-    "hourly_trend": """
-        SELECT hour(event_time) AS hour_of_day,
-               round(round(avg(value), 9), 2) AS avg_value,
-               count(*) AS readings
-        FROM sensor_curated
-        WHERE sensor_type = :sensor
-        GROUP BY ALL
-        ORDER BY hour_of_day
-    """,
-    "sensor_spread": """
-        SELECT sensor_type,
-               round(round(avg(value), 9), 2) AS mean,
-               round(round(stddev_samp(value), 9), 2) AS std_dev,
-               round(min(value), 2) AS p0, round(max(value), 2) AS p100, count(*) AS n
-        FROM sensor_curated
-        GROUP BY sensor_type
-        ORDER BY sensor_type
-    """,
+SQL = {name: report.sql("sensor_curated") for name, report in REPORTS.items()} | {
     "full_count": "SELECT count(*) AS n FROM sensor_curated",
     "pruned_count": "SELECT count(*) AS n FROM sensor_curated WHERE sensor_type = :sensor",
 }

@@ -198,7 +198,7 @@ def offset_gaps(log: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
     edges = bucketed.groupBy(*PARTITION, "_bucket").agg(
         F.min("offset").alias("first"),
         F.max("offset").alias("last"),
-        F.bit_xor(F.xxhash64("offset")).alias("_mark"),
+        F.bit_xor(F.when(F.col("offset").isNotNull(), F.xxhash64("offset"))).alias("_mark"),
     )
     edges = edges.filter(F.col("_mark").isNotNull())  # asked of both uses, so that they share one shuffle
     expected = F.aggregate(

@@ -32,7 +32,8 @@ from lakestream.streaming.writers import LAKE_TRIGGER, foreach_batch_once, write
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the zones are. The sensor domain and the use case are part of the path, not columns."""
+    """Where the zones are. The sensor domain and the use case are part of the path, not columns. The folder
+    names below the root are fixed values."""
 
     root: str
     topic: str = "sensor-events"

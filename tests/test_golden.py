@@ -10,7 +10,7 @@ from lakestream.functions.columns import percentage
 from lakestream.operators import log_audit as audit
 from lakestream.operators.windows import rollup_windows
 
-# start, sensor, average, minimum, maximum, readings, anomalies
+# Published figures. Start, sensor, average, minimum, maximum, readings, anomalies
 WINDOWS = [
     ("10:00", "humidity", 60.24, 20.63, 88.29, 12, 0),
     ("10:00", "pressure", 1009.24, 983.68, 1029.06, 11, 0),
