@@ -195,12 +195,15 @@ def offset_gaps(log: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
     one map-side aggregate, and no task ever sees a whole partition.
     """
     bucketed = with_bucket(log.select(*PARTITION, "offset"), "offset", width)
+    # said here, or the join below says it of one side alone and the two uses of `edges` do not share a shuffle
+    for column in (*PARTITION, "_bucket"):
+        bucketed = bucketed.filter(F.col(column).isNotNull())
     edges = bucketed.groupBy(*PARTITION, "_bucket").agg(
         F.min("offset").alias("first"),
         F.max("offset").alias("last"),
         F.bit_xor(F.when(F.col("offset").isNotNull(), F.xxhash64("offset"))).alias("_mark"),
     )
-    edges = edges.filter(F.col("_mark").isNotNull())  # asked of both uses, so that they share one shuffle
+    edges = edges.filter(F.col("_mark").isNotNull())
     expected = F.aggregate(
         F.sequence("first", "last"), F.lit(0).cast("long"), lambda mark, i: mark.bitwiseXOR(F.xxhash64(i))
     )

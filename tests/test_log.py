@@ -307,10 +307,11 @@ def test_a_healthy_log_is_audited_without_moving_its_positions(spark):
     log = records(spark, [body("a", 1.0)] * 500)
     gaps = audit.offset_gaps(log, width=50)
     assert gaps.collect() == []
-    assert plan_of(gaps).count("ReusedExchange") >= 1
     holed = log.filter("offset not in (7, 8, 120, 399)")
     twice = holed.union(holed.filter("offset in (6, 9, 9, 200, 201)"))
-    found = sorted((r.after_offset, r.next_offset, r.missing) for r in audit.offset_gaps(twice, width=50).collect())
+    gaps = audit.offset_gaps(twice, width=50)
+    found = sorted((r.after_offset, r.next_offset, r.missing) for r in gaps.collect())
+    assert "ReusedExchange" in plan_of(gaps)
     assert found == [(6, 9, 2), (119, 121, 1), (398, 400, 1)]
 
 
