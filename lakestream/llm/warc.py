@@ -245,8 +245,10 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
     light = source.select("page", "url", F.sha1("html").alias("sha1"), F.octet_length("html").alias("size"))
     firsts = light.groupBy("sha1").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n"))
+    # settled, as AQE splits the join for a payload with very many pages only between two plain shuffles
+    firsts = settled(firsts.filter("n > 1"))
     copies = Window.partitionBy("sha1", "page").orderBy("url")
-    marked = light.withColumn("copy", F.row_number().over(copies)).join(firsts.filter("n > 1"), "sha1")
+    marked = light.withColumn("copy", F.row_number().over(copies)).join(firsts, "sha1")
     revisits = marked.filter(~((F.col("page").eqNullSafe(F.col("first"))) & (F.col("copy") == 1)))
     return responses.unionByName(
         revisits.select(
