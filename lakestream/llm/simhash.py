@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestream.llm.components import connected
@@ -302,6 +302,5 @@ def deduplicated(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     named = documents.withColumn(name, row)
     found = near_duplicates(named, name, text_col)
     dropped = found.filter(F.col("component_id") != F.col(name)).select(name).distinct()
-    copy = F.row_number().over(Window.partitionBy(name).orderBy(name))
-    kept = named.join(dropped, name, "left_anti").withColumn("copy" + name, copy)
-    return kept.filter(F.col("copy" + name) == 1).drop(name, "copy" + name)
+    # repeated rows meet in their own task before the shuffle, so that many of them are no hot key
+    return named.dropDuplicates([name]).join(dropped, name, "left_anti").drop(name)
