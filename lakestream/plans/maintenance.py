@@ -205,12 +205,13 @@ def compact_batches(
     first = merged[0][0] if merged else now.covered + 1
     target = range_folder(compacted, first, closed[-1])
     reader = text_partitions_session(spark).read.option("mergeSchema", "true")
-    folders = [f"{curated}/{BATCH}={b}" for b in closed]
-    listed = [partition_files(spark, curated).filter(F.col(BATCH).cast("bigint").between(closed[0], closed[-1])).drop(BATCH)]
-    frames = [reader.option("basePath", curated).parquet(*folders).select("*", _place()).drop(BATCH)]
+    chosen = F.col(BATCH).cast("bigint").between(closed[0], closed[-1])
+    listed = [partition_files(spark, curated).filter(chosen).drop(BATCH)]
+    frames = [reader.parquet(curated).filter(chosen).select("*", _place()).drop(BATCH)]
     for old in merged:
-        listed.append(partition_files(spark, range_folder(compacted, *old)))
-        frames.append(reader.option("basePath", range_folder(compacted, *old)).parquet(range_folder(compacted, *old)).select("*", _place()))
+        folder = range_folder(compacted, *old)
+        listed.append(partition_files(spark, folder))
+        frames.append(reader.parquet(folder).select("*", _place()))
 
     def union(a: DataFrame, b: DataFrame) -> DataFrame:
         return a.unionByName(b, allowMissingColumns=True)

@@ -12,7 +12,7 @@ from lakestream.functions.columns import with_date_parts
 from lakestream.operators.log_audit import CHUNK, batch_stats
 from lakestream.operators.quality import split_valid
 from lakestream.sinks.batch import gathered
-from lakestream.schemas import CURATED_PARTITIONS, DEFAULT_RULES, RAW_PARTITIONS, SensorRules
+from lakestream.schemas import DEFAULT_RULES, RAW_PARTITIONS, SensorRules
 
 # How often the statistics stream and the lake streams run.
 STATS_TRIGGER = "10 seconds"
@@ -82,19 +82,6 @@ def write_raw_zone(
     )
 
 
-def write_curated_zone(
-    curated: DataFrame, path: str, checkpoint: str, trigger: str | None = LAKE_TRIGGER
-) -> StreamingQuery:
-    return write_stream(
-        curated,
-        path,
-        checkpoint,
-        trigger,
-        partition_by=CURATED_PARTITIONS,
-        compression="snappy",
-    )
-
-
 def foreach_batch(
     df: DataFrame,
     work: Callable[[DataFrame, int], None],

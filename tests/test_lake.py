@@ -9,7 +9,14 @@ from conftest import body, plan_of, records
 from lakestream.functions.folders import delete_folder
 from lakestream.operators import lake_audit, lake_queries
 from lakestream.plans import maintenance
-from lakestream.plans.lake import Lake, build_gold, curated_readings, rebuild_curated
+from lakestream.plans.lake import (
+    Lake,
+    build_gold,
+    curated_readings,
+    lake_sensors,
+    read_lake,
+    rebuild_curated,
+)
 from lakestream.schemas import (
     CURATED_PARTITIONS,
     CURATED_ZONE,
@@ -22,7 +29,8 @@ from lakestream.schemas import (
 )
 from lakestream.sinks import batch as sinks
 from lakestream.sources import zones
-from lakestream.streaming.writers import raw_zone_rows
+from lakestream.sources.batches import layout, range_folder
+from lakestream.streaming.writers import raw_zone_rows, write_batch_once
 
 DAYS = [f"2024-0{m}-{d:02d}" for m in (1, 2) for d in (1, 2, 3)]
 
@@ -314,6 +322,50 @@ def test_gold_of_a_sensor_with_an_odd_name(spark, tmp_path, name):
     )
 
 
+def batch(spark, curated_path, number, *rows, **more):
+    zone = curated_readings(records(spark, [body(*r) for r in rows]))
+    write_batch_once(zone.withColumns(more), curated_path, number, CURATED_PARTITIONS)
+
+
+def test_batches_are_compacted_into_ranges(spark, tmp_path):
+    made = Lake(str(tmp_path))
+    where = (spark, made.curated, made.compacted)
+    assert maintenance.compact_batches(*where) is None and layout(*where) is None
+    assert read_lake(spark, made).count() == 0
+    batch(spark, made.curated, 0, ("humidity", 1.0), ("humidity", 2.0))
+    assert maintenance.compact_batches(*where) is None  # the newest batch may be repeated
+    batch(spark, made.curated, 1, ("humidity", 3.0), firmware=F.lit("1.2"))
+    batch(spark, made.curated, 2)
+    assert maintenance.compact_batches(*where) == (0, 1)
+    assert read_lake(spark, made).count() == 3
+    kept = maintenance.zone_as_written(spark, range_folder(made.compacted, 0, 1))
+    assert {(r.value, r.firmware) for r in kept.collect()} == {(1.0, None), (2.0, None), (3.0, "1.2")}
+    batch(spark, made.curated, 2, ("humidity", 4.0))
+    batch(spark, made.curated, 3, ("temperature", 5.0))
+    assert maintenance.compact_batches(*where, merge_after=2) == (2, 2)
+    batch(spark, made.curated, 4, ("temperature", 6.0))
+    assert maintenance.compact_batches(*where, merge_after=2) == (0, 3)
+    now = layout(*where)
+    assert (now.ranges, now.replaced, now.live, now.old) == (((0, 3),), ((0, 1), (2, 2)), (4,), (0, 1, 2, 3))
+    assert sorted(r.value for r in read_lake(spark, made).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert len(maintenance.expire_batches(*where)) == 6 and maintenance.expire_batches(*where) == []
+    assert sorted(r.value for r in read_lake(spark, made).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert [r.sensor_type for r in lake_sensors(spark, made).collect()] == ["humidity", "temperature"]
+    assert build_gold(spark, made).agg(F.sum("record_count")).first()[0] == 6
+
+
+def test_a_range_that_is_not_finished_is_not_read(spark, tmp_path):
+    made = Lake(str(tmp_path))
+    for number in range(3):
+        batch(spark, made.curated, number, ("humidity", float(number)))
+    unfinished = range_folder(made.compacted, 0, 1)
+    read_lake(spark, made).limit(1).write.partitionBy(*CURATED_PARTITIONS).parquet(unfinished)
+    delete_folder(spark, f"{unfinished}/_SUCCESS")
+    assert sorted(r.value for r in read_lake(spark, made).collect()) == [0.0, 1.0, 2.0]
+    assert maintenance.compact_batches(spark, made.curated, made.compacted) == (0, 1)
+    assert sorted(r.value for r in read_lake(spark, made).collect()) == [0.0, 1.0, 2.0]
+
+
 def test_null_directories_survive_compaction(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
