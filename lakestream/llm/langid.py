@@ -43,7 +43,10 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 def letter_runs(text: str) -> list[bytes]:
     """The letter runs of a text in UTF-8, none longer than LONGEST_RUN bytes."""
-    runs = [w.encode("utf-8", "replace") for w in LETTERS.findall(text.lower())]
+    found = LETTERS.findall(text.lower())
+    if not text.isascii():  # digits of other kinds, such as a raised two, are no letters by themselves
+        found = [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
+    runs = [w.encode("utf-8", "replace") for w in found]
     if any(len(w) > LONGEST_RUN for w in runs):
         runs = [w[i : i + LONGEST_RUN] for w in runs for i in range(0, len(w), LONGEST_RUN)]
     return runs
@@ -255,7 +258,8 @@ def training_words(
                 if len(runs) > SAMPLE_WORDS:
                     runs = random.Random(len(text)).sample(runs, SAMPLE_WORDS)
                 words.append(runs)
-            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(words, pa.list_(pa.binary()))], ["lang", "words"])
+            columns = [pa.array(lang, pa.string()), pa.array(words, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "words"])
 
     chosen = labelled.filter(draw < share[F.col(lang_col)]).select(lang_col, text_col)
     rows = chosen.mapInArrow(run, "lang string, words array<binary>").collect()
@@ -297,7 +301,8 @@ def identify(
                 scores = shares.max(axis=1)
                 names = sent.value.languages
                 langs = [names[b] if s > 0 else UNKNOWN for b, s in zip(best, scores)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"])
+            columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "lang_pred", "score"])
 
     out = only(documents, id_col, text_col).mapInArrow(run, f"id {key}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
@@ -310,6 +315,8 @@ def recognised(
     sent = ready(documents.sparkSession).sparkContext.broadcast(network)
 
     def keep(texts: list[str | None]) -> list[bool]:
-        return [True] * len(texts) if sent.value is None else (reader(sent.value).shares(texts).max(axis=1) >= least).tolist()
+        if sent.value is None:
+            return [True] * len(texts)
+        return (reader(sent.value).shares(texts).max(axis=1) >= least).tolist()
 
     return where(documents, text_col, keep)

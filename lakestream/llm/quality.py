@@ -168,7 +168,7 @@ def cutoffs(
     counts = (
         rows.select("stratum", "good", F.inline(F.array(*marks)))
         .groupBy("stratum", "rule", "above")  # at most 21 for each stratum and rule
-        .agg(F.sum((F.col("good") > 0).cast("long")).alias("good"), F.sum((F.col("good") <= 0).cast("long")).alias("bad"))
+        .agg(F.count_if(F.col("good") > 0).alias("good"), F.count_if(F.col("good") <= 0).alias("bad"))
     )
     # A document that lies above `above` cutoffs exceeds the strictest ones: those from place 20 - above on.
     whole = Window.partitionBy("stratum", "rule")
@@ -198,9 +198,8 @@ def cutoffs(
         F.max(F.struct("gain", (-F.col("place")).alias("lenient"), "place", "n", "k", "k_bad", "p_value")).alias("b")
     )
     grids = F.create_map(*(x for rule, (_, g) in RULES.items() for x in (F.lit(rule), F.array(*map(F.lit, g)))))
-    return best.select(
-        "stratum", "rule", F.element_at(grids[F.col("rule")], F.col("b.place") + 1).alias("cutoff"), "b.n", "b.k", "b.p_value"
-    )
+    cutoff = F.element_at(grids[F.col("rule")], F.col("b.place") + 1).alias("cutoff")
+    return best.select("stratum", "rule", cutoff, "b.n", "b.k", "b.p_value")
 
 
 def judge(

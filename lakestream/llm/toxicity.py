@@ -47,10 +47,30 @@ SHORT_NOT = re.compile(r"n['’]t\b")
 QUOTES = re.compile(r"[\"“”„«»]")
 
 # Word lists in English, German, French and Spanish.
-THREATS = "kill hurt destroy stab shoot strangle töten umbringen erschießen verprügeln tuer frapper étrangler matar golpear disparar"
-TARGETS = "you your yours yourself he she they him them dich dir euch ihr ihn tu toi vous ils elles tú usted ustedes ellos ellas"
-NEGATIONS = "not never no nobody nicht kein keine niemals pas jamais aucun nunca jamás tampoco"
-REPORTS = "said says wrote quoted claimed alleged sagte schrieb behauptete dit écrit affirmé dijo escribió afirmó"
+THREATS = """
+kill hurt destroy stab shoot strangle
+töten umbringen erschießen verprügeln
+tuer frapper étrangler
+matar golpear disparar
+"""
+TARGETS = """
+you your yours yourself he she they him them
+dich dir euch ihr ihn
+tu toi vous ils elles
+tú usted ustedes ellos ellas
+"""
+NEGATIONS = """
+not never no nobody
+nicht kein keine niemals
+pas jamais aucun
+nunca jamás tampoco
+"""
+REPORTS = """
+said says wrote quoted claimed alleged
+sagte schrieb behauptete
+dit écrit affirmé
+dijo escribió afirmó
+"""
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "O", "I", "T", "G", "N", "R"
 THREAT_WEIGHT = 9.0
@@ -294,7 +314,8 @@ def labelled_sample(
     documents: DataFrame, labels: DataFrame, eligible: Column, id_col: str, text_col: str, label_col: str
 ) -> DataFrame:
     """`text`, `toxic`, `part` (of 4) of the documents drawn, one for each set of near copies."""
-    known = only(labels, id_col, label_col).filter(eligible & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+    usable = F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
+    known = only(labels, id_col, label_col).filter(eligible & usable)
     known = known.groupBy(id_col).agg((F.max(label_col) > 0).alias("toxic"))
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
