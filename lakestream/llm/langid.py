@@ -32,9 +32,9 @@ HIDDEN = 16
 STEPS, WORDS_PER_STEP, RATE = 500, 512, 0.02
 #: A letter run longer than this is read in parts.
 LONGEST_RUN = 48
-#: Words the network reads at once, and the bytes of a worker's table of words.
+#: Words the network reads at once, and the words and bytes of a worker's table of words.
 READ_AT_ONCE = 4096
-TABLE_BYTES = 32 << 20
+TABLE_WORDS, TABLE_BYTES = 500_000, 32 << 20
 #: A document is recognised if the mean probability of its language reaches this.
 LEAST_SHARE = 0.35
 UNKNOWN = "und"
@@ -193,7 +193,7 @@ class Reader:
     def __init__(self, network: Network):
         self.network = network
         self.width = len(network.languages)
-        self.capacity = max(10_000, TABLE_BYTES // (4 * self.width))
+        self.capacity = max(10_000, min(TABLE_WORDS, TABLE_BYTES // (4 * self.width)))
         self.place: dict[bytes, int] = {}
         self.table = np.zeros((self.capacity, self.width), np.float32)
 
