@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample; every vector is then indexed in the leaf that it descends to. A query
 walks the tree through a priority queue of nodes by their centroid's distance, so leaves come in the order in
 which they look promising. How many it visits is calibrated: for some vectors the true neighbours are found by
-brute force over the whole index, and visits are widened until the leaves hold the wanted share of them.
+brute force over the whole index, and visits are widened until the leaves hold the wanted share of them. Empty
+leaves are no visits, and a query goes on until its leaves hold as many candidates as it asks for.
 Distances are computed in double precision on the original vectors.
 
 A leaf's vectors, and the queries that visit it, meet in pieces of bounded size, so a leaf with a third of all
@@ -76,14 +77,22 @@ class Tree:
                     waiting.append((child, rows[near == i]))
         return found
 
-    def order(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first `visits` leaves, best bin first."""
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < visits:
+    def order(
+        self, query: np.ndarray, visits: int, sizes: dict[int, int] | None = None, least: int = 0
+    ) -> list[int]:
+        """The first `visits` leaves, best bin first, and more until they hold `least` rows.
+
+        With `sizes`, the rows of each leaf, those without rows are passed over.
+        """
+        queue, out, rows = [(0.0, 0)], [], 0
+        while queue and (len(out) < visits or rows < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
-                out.append(self.leaf[node])
+                size = 0 if sizes is None else sizes.get(self.leaf[node], 0)
+                if size or sizes is None:
+                    out.append(self.leaf[node])
+                    rows += size
                 continue
             gaps = np.square(self.centroids[kids] - query).sum(axis=1)
             for gap, child in zip(gaps.tolist(), kids):
@@ -192,10 +201,10 @@ def build(
 
     indexed = settled(rows.mapInArrow(assign, f"id {key}, vector array<double>, leaf long"))
     sizes = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
-    return Index(tree, indexed, sizes, calibrated(indexed, tree, n, k, recall))
+    return Index(tree, indexed, sizes, calibrated(indexed, tree, sizes, n, k, recall))
 
 
-def calibrated(indexed: DataFrame, tree: Tree, n: int, k: int, recall: float) -> int:
+def calibrated(indexed: DataFrame, tree: Tree, sizes: dict[int, int], n: int, k: int, recall: float) -> int:
     """The visits after which the calibrating vectors have met `recall` of their true neighbours."""
     spark = indexed.sparkSession
     chosen = drawn(indexed, CALIBRATION / n, "calibrate").select("id", "vector").collect()
@@ -228,13 +237,13 @@ def calibrated(indexed: DataFrame, tree: Tree, n: int, k: int, recall: float) ->
     truth = best.withColumn("place", place).filter(F.col("place") <= k).select("query", "leaf").collect()
     if not truth:
         return tree.leaves
-    turns = [{leaf: t for t, leaf in enumerate(tree.order(q, tree.leaves), 1)} for q in queries]
+    turns = [{leaf: t for t, leaf in enumerate(tree.order(q, tree.leaves, sizes), 1)} for q in queries]
     needed = sorted(turns[r.query][r.leaf] for r in truth)
     return needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]
 
 
 def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
-    """`query`, `rank`, `id`, `score`: the `k` nearest of the visited vectors but the query's own.
+    """`query`, `rank`, `id`, `score`: the `k` nearest of the visited vectors but those with the query's id.
 
     `queries` has columns id and vector, as the index has.
     """
@@ -242,7 +251,7 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     key = index.rows.schema["id"].dataType.simpleString()
     own_key = queries.schema["id"].dataType.simpleString()
     sent = spark.sparkContext.broadcast(index.tree)
-    visits, pieces = index.visits, {leaf: -(-n // PIECE_ROWS) for leaf, n in index.sizes.items()}
+    visits, sizes, pieces = index.visits, index.sizes, {leaf: -(-n // PIECE_ROWS) for leaf, n in index.sizes.items()}
     blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
 
     def spread(of: Column) -> Column:
@@ -255,14 +264,19 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            orders = [sent.value.order(q, visits) for q in matrix(batch.column(1))] if batch.num_rows else []
+            orders = []
+            if batch.num_rows:
+                wanted = batch.column(2).to_pylist()
+                orders = [sent.value.order(q, visits, sizes, n) for q, n in zip(matrix(batch.column(1)), wanted)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(orders, pa.list_(pa.int64()))], ["query", "vector", "leaves"]
+                [*batch.columns[:2], pa.array(orders, pa.list_(pa.int64()))], ["query", "vector", "leaves"]
             )
 
-    walked = queries.select("id", "vector").mapInArrow(
-        walk, f"query {own_key}, vector array<double>, leaves array<long>"
-    )
+    # Rows with the query's id are no candidates, wherever they lie.
+    own_rows = index.rows.join(queries.select("id").distinct(), "id", "left_semi").groupBy("id").count()
+    wanted = queries.select("id", "vector").join(own_rows, "id", "left")
+    wanted = wanted.select("id", "vector", (F.coalesce("count", F.lit(0)) + k).alias("wanted"))
+    walked = wanted.mapInArrow(walk, f"query {own_key}, vector array<double>, leaves array<long>")
     block = F.pmod(F.xxhash64("query"), F.lit(blocks))
     seekers = walked.select("query", "vector", block.alias("block"), F.explode("leaves").alias("leaf"))
     seekers = seekers.withColumn("piece", F.explode(F.sequence(F.lit(0), spread(F.col("leaf")) - 1)))
