@@ -10,7 +10,7 @@ import pytest
 
 duckdb = pytest.importorskip("duckdb")
 
-from conftest import plan_of  # noqa: E402
+from helpers import plan_of  # noqa: E402
 from lakestream.checks import audit, etl, fixture, lake, streams  # noqa: E402,F401
 
 DATA = "/root/testdata/sf0.001"

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import body, records
+from helpers import body, records
 from lakestream.__main__ import main
 from lakestream.plans.lake import Lake, curated_readings
 from lakestream.sinks.batch import append_to_file_log, write_curated

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import utc
+from helpers import utc
 from lakestream.functions.columns import percentage
 from lakestream.operators import log_audit as audit
 from lakestream.operators.windows import rollup_windows

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import body, plan_of, records
+from helpers import body, plan_of, records
 from lakestream.functions.folders import delete_folder
 from lakestream.operators import lake_audit, lake_queries
 from lakestream.plans import maintenance

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import body, epoch_ms, plan_of, records
+from helpers import body, epoch_ms, plan_of, records
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
 from lakestream.sinks import batch as sinks

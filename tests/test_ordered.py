@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from lakestream.functions import ordered
 
 

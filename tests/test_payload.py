@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import body, plan_of, records, utc
+from helpers import body, plan_of, records, utc
 from lakestream.functions import payload as p
 from lakestream.operators.quality import drop_malformed
 from lakestream.schemas import READING_V1, READING_V2

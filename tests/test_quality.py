@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import body, records
+from helpers import body, records
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import quality as q
 from lakestream.plans.etl import flagged_readings

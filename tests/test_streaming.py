@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from conftest import body, records, utc
+from helpers import body, records, utc
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
 from lakestream.operators.windows import window_bounds
