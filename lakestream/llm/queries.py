@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import ann, bpe, langid, packing, quality, secret_scan, sharding, simhash, toxicity, warc
+from lakestream.llm import ann, bpe, langid, packing, quality, secret_scan, sharding, simhash, substrings, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -125,3 +125,30 @@ def op10_secrets(spark, sf_dir):
     """Every candidate in every document, with the forest's verdict."""
     docs = read(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.fit(docs))
+
+
+@register
+def op11_substrings(spark, sf_dir):
+    """Every document without the passages that a document with a smaller id has too."""
+    found = substrings.without_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op11_substrings"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS spelled FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY spelled) AS least FROM windows) WHERE doc_id > least
+), covered AS (
+    SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest(range(13)) AS k)
+), words AS (
+    SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
