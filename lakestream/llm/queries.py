@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import ann, bpe, langid, packing, quality, secret_scan, sharding, simhash, substrings, toxicity, warc
+from lakestream.llm import ann, bpe, langid, manifest, packing, quality, secret_scan, sharding, simhash, substrings, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -152,3 +152,70 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
     sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+@register
+def op12_manifest(spark, sf_dir):
+    """Every document's leaf, roots and proof; of a seventh, n_chars is tampered with before it is verified."""
+    docs = read(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = {"n_chars": F.when(chosen, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    found = manifest.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered=tampered)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+#: DuckDB has no CRC32: eight shifts for each digit of the id.
+_FIELDS = " || ".join(
+    f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text")
+)
+ORACLES["op12_manifest"] = f"""
+WITH RECURSIVE crc_steps AS (
+    SELECT doc_id, 4294967295::BIGINT AS crc, 0 AS step, doc_id::VARCHAR AS digits FROM documents
+    UNION ALL
+    SELECT doc_id, list_reduce([xor(crc, ascii(digits[step + 1])), 1, 2, 3, 4, 5, 6, 7, 8],
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), step + 1, digits
+    FROM crc_steps WHERE step < len(digits)
+), chosen AS (
+    SELECT doc_id, xor(crc, 4294967295) % 7 = 0 AS hit FROM crc_steps WHERE step = len(digits)
+), leaves AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || lang, '-') AS tree, sha256({_FIELDS.format(n_chars='n_chars')}) AS leaf,
+        sha256({_FIELDS.format(n_chars='(n_chars + hit::BIGINT)')}) AS claimed,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+    FROM documents JOIN chosen USING (doc_id)
+), nodes AS (
+    SELECT tree, 0 AS level, pos, n, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n
+), subroots AS MATERIALIZED (
+    SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper_nodes AS (
+    SELECT 0 AS level, pos, n, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 2, n
+), steps AS MATERIALIZED (
+    SELECT doc_id, d.level, (leaves.pos >> d.level) % 2 AS side, s.digest
+    FROM leaves JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1) d ON d.tree = leaves.tree
+    LEFT JOIN nodes s ON s.tree = leaves.tree AND s.level = d.level AND s.pos = xor(leaves.pos >> d.level, 1)
+), all_steps AS MATERIALIZED (
+    SELECT * FROM steps
+    UNION ALL
+    SELECT doc_id, 1000 + u.level, (subroots.pos >> u.level) % 2, s.digest
+    FROM leaves JOIN subroots USING (tree), (SELECT DISTINCT level FROM upper_nodes WHERE n > 1) u
+    LEFT JOIN upper_nodes s ON s.level = u.level AND s.pos = xor(subroots.pos >> u.level, 1)
+), ordered AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS k FROM all_steps
+), fold AS (
+    SELECT doc_id, 1 AS k, claimed AS digest FROM leaves
+    UNION ALL
+    SELECT f.doc_id, f.k + 1, sha256(CASE WHEN side = 1 THEN o.digest || f.digest ELSE f.digest || coalesce(o.digest, '') END)
+    FROM fold f JOIN ordered o ON o.doc_id = f.doc_id AND o.k = f.k
+), ends AS (
+    SELECT doc_id, arg_max(digest, k) AS folded_root FROM fold GROUP BY doc_id
+), proofs AS (
+    SELECT doc_id, sha256(coalesce(string_agg(digest, '' ORDER BY k), '')) AS proof_sha256 FROM ordered GROUP BY doc_id
+)
+SELECT doc_id, leaf, subroots.digest AS subroot, top.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+    folded_root = top.digest AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), (SELECT digest FROM upper_nodes WHERE n = 1) top
+"""
