@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.llm import ann, bpe, langid, manifest, packing, quality, secret_scan, sharding, simhash, substrings, toxicity, warc
+from lakestream.llm import ann, bpe, langid, manifest, packing, periodic, quality, secret_scan, sharding
+from lakestream.llm import simhash, substrings, toxicity, warc
 from lakestream.llm.corpus import fold, read, ready
 from lakestream.session import scratch_path
 
@@ -165,23 +168,26 @@ def op12_manifest(spark, sf_dir):
 
 
 #: DuckDB has no CRC32: eight shifts for each digit of the id.
-_FIELDS = " || ".join(
-    f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text")
-)
-ORACLES["op12_manifest"] = f"""
-WITH RECURSIVE crc_steps AS (
+SQL_CRC = """
+crc_steps AS (
     SELECT doc_id, 4294967295::BIGINT AS crc, 0 AS step, doc_id::VARCHAR AS digits FROM documents
     UNION ALL
     SELECT doc_id, list_reduce([xor(crc, ascii(digits[step + 1])), 1, 2, 3, 4, 5, 6, 7, 8],
         lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), step + 1, digits
     FROM crc_steps WHERE step < len(digits)
-), chosen AS (
-    SELECT doc_id, xor(crc, 4294967295) % 7 = 0 AS hit FROM crc_steps WHERE step = len(digits)
-), leaves AS MATERIALIZED (
+), crc AS MATERIALIZED (
+    SELECT doc_id, xor(crc, 4294967295) AS crc FROM crc_steps WHERE step = len(digits)
+)"""
+
+_FIELDS = " || ".join(
+    f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text")
+)
+ORACLES["op12_manifest"] = f"""
+WITH RECURSIVE {SQL_CRC}, leaves AS MATERIALIZED (
     SELECT doc_id, coalesce('=' || lang, '-') AS tree, sha256({_FIELDS.format(n_chars='n_chars')}) AS leaf,
-        sha256({_FIELDS.format(n_chars='(n_chars + hit::BIGINT)')}) AS claimed,
+        sha256({_FIELDS.format(n_chars='(n_chars + (crc % 7 = 0)::BIGINT)')}) AS claimed,
         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
-    FROM documents JOIN chosen USING (doc_id)
+    FROM documents JOIN crc USING (doc_id)
 ), nodes AS (
     SELECT tree, 0 AS level, pos, n, leaf AS digest FROM leaves
     UNION ALL
@@ -219,3 +225,57 @@ SELECT doc_id, leaf, subroots.digest AS subroot, top.digest AS root, coalesce(pr
     folded_root = top.digest AS verified
 FROM leaves JOIN subroots USING (tree) JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), (SELECT digest FROM upper_nodes WHERE n = 1) top
 """
+
+
+def planted_repetition(doc_id: int | None, n: int) -> np.ndarray | None:
+    """For a tenth of the ids, where each word of a text comes from when its end repeats itself; a null id has none."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.append(np.arange(a), a + np.arange(n - a) % p)
+
+
+@register
+def op13_periodic(spark, sf_dir):
+    """The periodic runs of every document, with repetitions planted in a tenth of them."""
+    found = periodic.repetitions(read(spark, sf_dir, "documents"), planted=planted_repetition)
+    runs, collapsed = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("runs", "collapsed"))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", runs, collapsed)
+
+
+ORACLES["op13_periodic"] = rf"""
+WITH RECURSIVE {SQL_CRC}, d AS (
+    SELECT doc_id, crc AS h, crc // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, len(w) AS n
+    FROM documents JOIN crc USING (doc_id)
+), places AS (
+    SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM d WHERE n > 0
+), words AS MATERIALIZED (
+    SELECT doc_id, n, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM places
+), pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+    ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT doc_id, q, min(i) AS s, count(*) + q AS n FROM (
+        SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+    ) GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS MATERIALIZED (
+    SELECT * FROM stretches r WHERE NOT EXISTS (
+        SELECT 1 FROM stretches t WHERE t.doc_id = r.doc_id AND t.q < r.q AND r.q % t.q = 0 AND t.s <= r.s AND t.s + t.n >= r.s + r.n
+    )
+), found AS (
+    SELECT doc_id, count(*) AS n_runs, arg_max(struct_pack(s := s, n := n, q := q), struct_pack(e := n / q, s := -s, q := -q)) AS best,
+        string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS runs
+    FROM runs GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words WHERE NOT EXISTS (
+        SELECT 1 FROM runs r WHERE r.doc_id = words.doc_id AND i >= r.s + r.q AND i < r.s + r.n
+    ) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.n AS BIGINT) AS length,
+    CAST(best.q AS BIGINT) AS period, CAST(1000 * best.n // best.q AS BIGINT) AS exponent_milli,
+    sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
