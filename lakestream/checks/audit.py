@@ -15,6 +15,8 @@ from lakestream.checks.fixture import (
     curated,
     log,
     log_config,
+    once,
+    positioned_records,
     sql_round,
     table,
 )
@@ -25,13 +27,17 @@ from lakestream.operators.windows import window_bounds
 from lakestream.plans.etl import statistics
 from lakestream.plans.lake import curated_readings
 from lakestream.schemas import SensorRules
+from lakestream.session import scratch_path
+from lakestream.sinks.batch import append_to_file_log
 from lakestream.sources.log import (
+    LogConfig,
     StartPosition,
     end_offsets,
     read_log_batch,
     seek_back_for,
 )
 from lakestream.sources.log import tail_log as tail
+from lakestream.sources.time_index import extend_time_index, first_by_index, read_time_index
 
 WITH_LOG = f"WITH {SQL_LOG}"
 SQL_ENDS = """ends AS (SELECT "partition", max("offset") + 1 AS "end" FROM log GROUP BY 1)"""
@@ -82,15 +88,8 @@ def latest_from_tail(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     f"""{WITH_LOG}, {SQL_ENDS}, kept AS (
-      SELECT log.* FROM log JOIN ends USING ("partition") WHERE sensor <> 'error' OR "offset" < "end" - 200
-    ), marks AS (SELECT "partition", max("offset") + 1 AS e FROM kept GROUP BY 1
-    ), tries AS (
-      SELECT b, count(*) FILTER (sensor = 'error' AND "offset" >= e - b) AS n
-      FROM kept JOIN marks USING ("partition"), (SELECT unnest([30 * 4 ** i for i in range(14)]) AS b) GROUP BY b
-    ), tail AS (
-      SELECT kept.* FROM kept JOIN marks USING ("partition")
-      WHERE "offset" >= e - (SELECT min(b) FROM tries WHERE n >= 5 OR b = (SELECT max(b) FROM tries)))
-    SELECT {_LATEST}, CAST({_NEWEST} AS INTEGER) AS rank FROM tail
+      SELECT log.* FROM log JOIN ends USING ("partition") WHERE sensor <> 'error' OR "offset" < "end" - 200)
+    SELECT {_LATEST}, CAST({_NEWEST} AS INTEGER) AS rank FROM kept
     WHERE sensor = 'error' QUALIFY rank <= 5"""
 )
 def latest_quiet_sensor(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,6 +103,29 @@ def latest_quiet_sensor(spark: SparkSession, sf: str) -> DataFrame:
     return audit.latest_of_log(records, 5, "error")
 
 
+@check(
+    f"""{WITH_LOG}, {SQL_ENDS}, kept AS (
+      SELECT log.* REPLACE (CASE WHEN log."partition" = 0 THEN ts + INTERVAL '400 days' ELSE ts END AS ts,
+                            CASE WHEN log."partition" = 0 THEN ms + 34560000000 ELSE ms END AS ms)
+      FROM log JOIN ends USING ("partition")
+      WHERE log."partition" <> 0 OR sensor <> 'purchase' OR "offset" < "end" // 2)
+    SELECT {_LATEST}, CAST({_NEWEST} AS INTEGER) AS rank FROM kept
+    WHERE sensor = 'purchase' QUALIFY rank <= 5"""
+)
+def latest_across_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest readings lie deep in a partition where the sensor has gone quiet; the others have older ones at
+    their very end."""
+    records = log(spark, sf)
+    end = next(r["end"] for r in end_offsets(records).collect() if r["partition"] == 0)
+    bought = F.col("key") == F.lit("purchase").cast("binary")
+    records = records.filter((F.col("partition") != 0) | ~bought | (F.col("offset") < end // 2))
+    text = F.col("value").cast("string")
+    sent = F.get_json_object(text, "$.timestamp")
+    later = F.replace(text, sent, (sent.cast("bigint") + 400 * 86_400_000).cast("string")).cast("binary")
+    moved = records.withColumn("value", F.when(F.col("partition") == 0, later).otherwise(F.col("value")))
+    return audit.latest_of_log(moved, 5, "purchase")
+
+
 @check(
     f"""{WITH_LOG}
     SELECT "partition", "offset" // 50 AS chunk, sensor, count(*) AS count,
@@ -421,16 +443,72 @@ def between_positions(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("partition", "offset")
 
 
+_FIRST = """firsts AS (SELECT "partition" AS p, min("offset") AS "first" FROM log
+      WHERE {time} >= TIMESTAMP '{at}' GROUP BY 1)"""
+#: Record times far out of order: up to three days after the event.
+SQL_SHUFFLED = "ts + to_seconds((event_id * 7919) % 259200)"
+
+
+def _shuffled_config(spark: SparkSession, sf: str) -> LogConfig:
+    """The log with such times."""
+
+    def build(path: str) -> None:
+        late = F.make_dt_interval(secs=(F.col("event_id") * 7919 % 259_200).cast("decimal(18,6)"))
+        records = positioned_records(spark, sf, late)
+        append_to_file_log(records, path)
+
+    return LogConfig(TOPIC, format="parquet", path=once(spark, "shuffled-log", sf, build))
+
+
 @check(
-    f"""{WITH_LOG}
-    SELECT "partition", "offset" FROM log WHERE kafka_timestamp >= TIMESTAMP '2024-01-15 00:00:00'"""
+    f"""{WITH_LOG}, {_FIRST.format(time='kafka_timestamp', at='2024-01-15')}
+    SELECT "partition", "offset" FROM log JOIN firsts ON p = "partition" WHERE "offset" >= "first\""""
 )
 def since_time(spark: SparkSession, sf: str) -> DataFrame:
-    """A bounded read from a point in time."""
+    """A bounded read from a point in time: from the first offset of each partition that is as late."""
     start = StartPosition.at_time(1_705_276_800_000)
     return read_log_batch(spark, log_config(spark, sf), start).select("partition", "offset")
 
 
+@check(
+    f"""{WITH_LOG}, {_FIRST.format(time=SQL_SHUFFLED, at='2024-01-15')}
+    SELECT "partition", "offset" FROM log JOIN firsts ON p = "partition" WHERE "offset" >= "first\""""
+)
+def since_time_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Records after the start belong to the read, also those with earlier times."""
+    start = StartPosition.at_time(1_705_276_800_000)
+    return read_log_batch(spark, _shuffled_config(spark, sf), start).select("partition", "offset")
+
+
+@check(
+    f"""{WITH_LOG}, {_FIRST.format(time=SQL_SHUFFLED, at='2024-01-15')}
+    SELECT "partition", "offset" FROM log LEFT JOIN firsts ON p = "partition"
+    WHERE "first" IS NULL OR "offset" < "first\""""
+)
+def until_time_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """A read up to a time ends at the first record that is as late."""
+    end = StartPosition.at_time(1_705_276_800_000)
+    return read_log_batch(spark, _shuffled_config(spark, sf), end=end).select("partition", "offset")
+
+
+@check(
+    f"""{WITH_LOG}, {_FIRST.format(time=SQL_SHUFFLED, at='2024-01-15')},
+    last AS (SELECT "partition", max("offset") + 1 AS "end" FROM log GROUP BY 1)
+    SELECT CAST("partition" AS INTEGER) AS "partition", "first", "end" FROM last LEFT JOIN firsts ON p = "partition\""""
+)
+def offsets_by_time_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The same start looked up in a sparse index, which has been extended once and lags behind the log."""
+    path = scratch_path(spark, "time-index")
+    records = read_log_batch(spark, _shuffled_config(spark, sf))
+    ends = {r["partition"]: r["end"] for r in end_offsets(records).collect()}
+    for share in (3, 2):
+        known = F.lit(False)
+        for partition, end in ends.items():
+            known = known | ((F.col("partition") == partition) & (F.col("offset") < end // share))
+        extend_time_index(records.filter(known), path, width=64)
+    return first_by_index(records, read_time_index(spark, path), 1_705_276_800_000).drop("topic")
+
+
 @check(
     f"""{WITH_LOG} SELECT "partition", "offset", sensor AS sensor_type FROM log
     WHERE sensor = 'purchase'"""

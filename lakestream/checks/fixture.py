@@ -10,7 +10,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.functions.ordered import number_rows
@@ -84,8 +84,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- the log ---------------------------------------------------------------------------------------
 
 
-def _positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with partition, offset and times."""
+def _positioned(spark: SparkSession, sf_dir: str, delay: Column | None = None) -> DataFrame:
+    """Events with partition, offset and times; records arrive up to ten minutes, or `delay`, after the event."""
     events = table(spark, sf_dir, "events").withColumns(
         {
             "partition": (F.col("user_id") % 3).cast("int"),
@@ -94,7 +94,8 @@ def _positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     numbered = number_rows(events, ["partition"], "event_id")
-    delay = F.make_dt_interval(secs=(F.col("event_id") * 37 % 600).cast("decimal(18,6)"))
+    if delay is None:
+        delay = F.make_dt_interval(secs=(F.col("event_id") * 37 % 600).cast("decimal(18,6)"))
     return numbered.withColumn("timestamp", F.col("event_time") + delay)
 
 
@@ -119,10 +120,14 @@ def _as_records(positioned: DataFrame, value) -> DataFrame:
     )
 
 
+def positioned_records(spark: SparkSession, sf_dir: str, delay: Column | None = None) -> DataFrame:
+    body = F.to_json(F.struct(*[c.alias(n) for n, c in _body().items()]))
+    return _as_records(_positioned(spark, sf_dir, delay), body)
+
+
 def log_path(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
-        body = F.to_json(F.struct(*[c.alias(n) for n, c in _body().items()]))
-        append_to_file_log(_as_records(_positioned(spark, sf_dir), body), path)
+        append_to_file_log(positioned_records(spark, sf_dir), path)
 
     return once(spark, "log", sf_dir, build)
 

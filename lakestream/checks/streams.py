@@ -155,13 +155,34 @@ def dead_letter_stream(spark: SparkSession, sf: str) -> DataFrame:
            {sql_round('avg(value)', 2)} AS avg FROM log GROUP BY 1, 2, 3"""
 )
 def batch_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunk statistics per micro-batch; one batch takes the whole log here."""
+    """Chunk statistics of a stream; one batch takes the whole log here."""
+    return _streamed_chunks(spark, log_config(spark, sf))[0]
+
+
+def _streamed_chunks(spark: SparkSession, config: LogConfig) -> tuple[DataFrame, str]:
     path = scratch_path(spark, "stats")
-    readings = parse_readings(read_log_stream(streaming_session(spark), log_config(spark, sf)))
+    readings = parse_readings(read_log_stream(streaming_session(spark), config))
     writers.stream_batch_stats(
         readings, path, scratch_path(spark, "checkpoint"), trigger=None
     ).awaitTermination()
-    return spark.read.parquet(path).drop("ingest_batch")
+    return writers.read_batch_stats(spark.read.parquet(path)), path
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT "partition", "offset" // 50 AS chunk, sensor, count(*) AS count,
+           {sql_round('min(value)', 2)} AS min, {sql_round('max(value)', 2)} AS max,
+           {sql_round('avg(value)', 2)} AS avg, true AS cut_somewhere FROM log GROUP BY 1, 2, 3"""
+)
+def batch_stats_many_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same chunks from micro-batches that cut them: every batch has some of each chunk's records."""
+    folder = scratch_path(spark, "cut")
+    for part in range(4):
+        log(spark, sf).filter(F.col("offset") % 4 == part).coalesce(1).write.mode("append").parquet(folder)
+    config = LogConfig(TOPIC, format="parquet", path=folder, max_files_per_batch=1)
+    found, path = _streamed_chunks(spark, config)
+    batches = spark.read.parquet(path).select("ingest_batch").distinct().count()
+    return found.withColumn("cut_somewhere", F.lit(batches == 4))
 
 
 @check(

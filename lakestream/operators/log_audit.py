@@ -26,6 +26,8 @@ PARTITION = ("topic", "partition")
 CHUNK = 50
 # Fixed value: a partition this far behind is flagged.
 HIGH_LAG = 50
+#: Deduplication shuffles all records if they are no more than this, or if one in so many is a repeat.
+PLAIN_ROWS, MANY_REPEATS = 2_000_000, 20
 
 
 def _partition_columns(*frames: DataFrame) -> list[str]:
@@ -56,13 +58,8 @@ def latest_readings(readings: DataFrame, n: int = 1, sensor: str | None = None)
     wanted = only_sensor(readings, sensor, "sensor").filter(F.col("sensor").isNotNull())
     age = F.coalesce(F.unix_millis("event_time"), F.lit(0))
     newest_first = W.partitionBy("sensor").orderBy(age.desc(), F.desc("partition"), F.desc("offset"))
-    if n == 1:
-        # the largest time per sensor and partition is a number, which hash aggregation combines before the
-        # shuffle; only the readings that reach it are ranked
-        aged = wanted.withColumn("_age", age)
-        reached = aged.groupBy("sensor", "partition").agg(F.max("_age").alias("_age"))
-        wanted = aged.join(reached, ["sensor", "partition", "_age"])
-    # the rank limit is applied in every map task before the shuffle, so a hot sensor sends n rows per task
+    # the rank limit is applied in every map task before the shuffle, so a hot sensor sends n rows per task, and the
+    # log is parsed once
     ranked = wanted.withColumn("_rank", F.row_number().over(newest_first)).filter(F.col("_rank") <= n)
     return ranked.select(*_latest_columns(), *([F.col("_rank").alias("rank")] if n > 1 else []))
 
@@ -75,26 +72,34 @@ def latest_of_log(
     extend: bool = True,
     ends: Sequence[Row] | None = None,
 ) -> DataFrame:
-    """The n newest readings of one sensor near the end of a raw log, parsing only the tail.
-
-    The tail begins `seek_back` offsets before the end of each partition and is doubled until it holds n
-    readings of the sensor or the whole log, so a sensor that has data is found however busy the others
-    are. With `extend=False` it stays as it is, and the answer is partial. The ends are looked up once.
-    Newest means by time among the records of the tail; `latest_readings` over the whole log is exact for
-    times that run far out of order.
+    """The n newest readings of one sensor near the ends of a raw log's partitions, parsing only the tails.
+
+    A partition's tail begins `seek_back` offsets before its end. One that holds fewer than n readings of the
+    sensor is made four times as long, until it has n or is read to its start, whatever the others have found: a
+    partition where the sensor is quiet may still hold the newest. So the answer is exact wherever times follow
+    offsets within a partition; `latest_readings` over the whole log is for times that run out of order. A
+    sensor that a partition never had is looked for in all of it; pass the `ends` of the partitions that matter
+    where the key decides the partition. With `extend=False` the tails stay as they are, and the answer is
+    partial. The ends are looked up once.
     """
     rows = list(ends) if ends is not None else end_offsets(log).collect()
-    longest = max((r["end"] for r in rows), default=0)
-    back = seek_back or seek_back_for(n)
-    while True:
-        found = latest_readings(parse_readings(tail_log(log, back, rows)), n, sensor)
-        if not extend or back >= longest or found.count() >= n:
-            return found
-        back *= 4
-
-
-def batch_stats(readings: DataFrame, n: int = CHUNK, key: str = "message_key") -> DataFrame:
-    """Count, extremes and average per key over chunks of n consecutive offsets of a partition.
+    back = {(r["topic"], r["partition"]): seek_back or seek_back_for(n) for r in rows}
+    short = [r for r in rows if r["end"] > back[r["topic"], r["partition"]]] if extend else []
+    while short:
+        parsed = parse_readings(tail_log(log, back, short), extra=["topic"])
+        mine = only_sensor(parsed, sensor, "sensor").groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("found"))
+        enough = {(r["topic"], r["partition"]) for r in mine.filter(F.col("found") >= n).collect()}
+        short = [r for r in short if (r["topic"], r["partition"]) not in enough]
+        for r in short:
+            back[r["topic"], r["partition"]] *= 4
+        # what is read to its start now has nothing more to give
+        short = [r for r in short if r["end"] > back[r["topic"], r["partition"]]]
+    return latest_readings(parse_readings(tail_log(log, back, rows)), n, sensor)
+
+
+def batch_parts(readings: DataFrame, n: int = CHUNK, key: str = "message_key") -> DataFrame:
+    """Per key and chunk of n consecutive offsets of a partition: count, sum and extremes, which can be merged with
+    those of the rest of the chunk.
 
     Chunks follow offsets, not the order in which a consumer happened to poll its partitions, so a rerun
     gives the same chunks. Records without a key are left out.
@@ -108,13 +113,43 @@ def batch_stats(readings: DataFrame, n: int = CHUNK, key: str = "message_key") -
         )
         .agg(
             F.count(F.lit(1)).alias("count"),
-            round_half_up(F.min("value"), 2).alias("min"),
-            round_half_up(F.max("value"), 2).alias("max"),
-            round_half_up(F.avg("value"), 2).alias("avg"),
+            F.count("value").alias("values"),
+            F.sum("value").alias("total"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
         )
     )
 
 
+def merged_batch_parts(parts: DataFrame) -> DataFrame:
+    """The parts of each chunk, however micro-batches cut it, as one."""
+    return parts.groupBy(*_partition_columns(parts), "chunk", "sensor").agg(
+        F.sum("count").alias("count"),
+        F.sum("values").alias("values"),
+        F.sum("total").alias("total"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+    )
+
+
+def finished_batch_stats(parts: DataFrame) -> DataFrame:
+    """Count, extremes and average of each chunk of `batch_parts`."""
+    return parts.select(
+        *_partition_columns(parts),
+        "chunk",
+        "sensor",
+        "count",
+        round_half_up(F.col("min"), 2).alias("min"),
+        round_half_up(F.col("max"), 2).alias("max"),
+        round_half_up(F.try_divide("total", "values"), 2).alias("avg"),
+    )
+
+
+def batch_stats(readings: DataFrame, n: int = CHUNK, key: str = "message_key") -> DataFrame:
+    """Count, extremes and average per key over chunks of n consecutive offsets of a partition."""
+    return finished_batch_stats(batch_parts(readings, n, key))
+
+
 # --- consumer lag ----------------------------------------------------------------------------------
 
 
@@ -261,17 +296,26 @@ def dedupe_log(
     keys: Sequence[str] = ("topic", "partition", "offset"),
     event_time: str = "timestamp",
     within: str = "10 minutes",
+    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """A re-delivered record has no second effect. On a stream the positions already seen are remembered
     for `within`, so state does not grow with the log.
 
     In a batch the positions delivered more than once are found from the key columns alone; records delivered
-    once, payloads and all, stay where they are read. Which of several copies is kept is not defined. Null
-    keys count as equal.
+    once, payloads and all, stay where they are read. That pays where the log is large and repeats are few: up to
+    `plain_rows` records, or where more than one in `MANY_REPEATS` is a repeat, all records are shuffled once
+    instead. Which of several copies is kept is not defined. Null keys count as equal.
     """
     if log.isStreaming:
         return log.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
-    repeated = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    positions = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    if plain_rows and log.count() <= plain_rows:
+        return log.dropDuplicates(list(keys))
+    again = F.sum(F.when(F.col("_copies") > 1, F.col("_copies")))
+    records, repeats = positions.agg(F.sum("_copies"), F.coalesce(again, F.lit(0))).first()
+    if (records or 0) < MANY_REPEATS * repeats:
+        return log.dropDuplicates(list(keys))
+    repeated = positions.filter("_copies > 1")
     marks = repeated.select(*[F.col(k).alias(f"_again_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_again_{k}")) for k in keys])
     once = log.join(marks, same, "left_anti")

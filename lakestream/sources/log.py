@@ -14,13 +14,12 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.schemas import LOG_RECORD, schema
+from lakestream.sources.bounds import within
+from lakestream.sources.time_index import first_by_index
 
 Offsets = Mapping[str, Mapping[int, int]]
 
 ENDS = schema(topic="string", partition="integer", end="long")
-#: Up to so many partitions, the bounds of a tail are a filter that reaches the scan; beyond, a join with the
-#: same bounds. What is returned does not depend on it.
-PUSHED_PARTITIONS = 200
 
 
 @dataclass(frozen=True)
@@ -86,7 +85,7 @@ class StartPosition:
 
         "latest", and its number -1, have no meaning for a fixed set of files; take the end offsets and use
         `at_offsets`. -2 is the earliest. Partitions that are not listed are read from their beginning
-        here; Kafka demands that all be listed.
+        here; Kafka demands that all be listed. A point in time is looked up first (`file_position`).
         """
         if self.kind == "offsets":
             passed = F.lit(True)
@@ -97,8 +96,6 @@ class StartPosition:
                     here = (F.col("topic") == topic) & (F.col("partition") == partition)
                     passed = passed & (~here | (F.col("offset") >= offset))
             return passed
-        if self.kind == "timestamp":
-            return F.col("timestamp") >= F.timestamp_millis(F.lit(self.epoch_ms))
         if self.kind == "earliest":
             return F.lit(True)
         raise ValueError(f"a file log cannot start at {self.kind!r}; use at_offsets(end offsets)")
@@ -143,13 +140,43 @@ def batch_options(
     return dict(cfg.extra)
 
 
+def first_at(log: DataFrame, epoch_ms: int) -> DataFrame:
+    """Per partition the first offset whose record is from that time or later, and the end; one row per
+    partition. Later records count from there on, whatever their time."""
+    reached = F.col("timestamp") >= F.timestamp_millis(F.lit(epoch_ms))
+    return log.groupBy("topic", "partition").agg(
+        F.min(F.when(reached, F.col("offset"))).alias("first"), (F.max("offset") + 1).alias("end")
+    )
+
+
+def file_position(log: DataFrame, position: StartPosition, index: DataFrame | None = None) -> StartPosition:
+    """A point in time as offsets of a file log, as Kafka looks it up: the first offset of each partition at or
+    after it, however the records' times are ordered; the end where there is none. Other positions stay as
+    they are. `index` (`sources.time_index`) spares reading the times of the whole log.
+    """
+    if position.kind != "timestamp":
+        return position
+    if index is None:
+        found = first_at(log, position.epoch_ms)
+    else:
+        found = first_by_index(log, index, position.epoch_ms)
+    offsets: dict[str, dict[int, int]] = {}
+    for row in found.collect():  # a row per partition
+        start = row["first"] if row["first"] is not None else row["end"]
+        offsets.setdefault(row["topic"], {})[row["partition"]] = start
+    return StartPosition.at_offsets(offsets)
+
+
 def read_log_stream(
-    spark: SparkSession, cfg: LogConfig, start: StartPosition = EARLIEST
+    spark: SparkSession, cfg: LogConfig, start: StartPosition = EARLIEST, index: DataFrame | None = None
 ) -> DataFrame:
-    """The log as an unbounded DataFrame."""
+    """The log as an unbounded DataFrame. A start in time is looked up among the files there are now; partitions
+    that appear later are read from their beginning."""
     reader = spark.readStream.format(cfg.format).options(**stream_options(cfg, start))
     if cfg.is_kafka:
         return reader.load()
+    if start.kind == "timestamp":
+        start = file_position(read_log_batch(spark, cfg), start, index)
     return reader.schema(LOG_RECORD).load(cfg.path).filter(start.reached())
 
 
@@ -158,19 +185,20 @@ def read_log_batch(
     cfg: LogConfig,
     start: StartPosition = EARLIEST,
     end: StartPosition = LATEST,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """The log from `start` up to, not including, `end`."""
     reader = spark.read.format(cfg.format).options(**batch_options(cfg, start, end))
     if cfg.is_kafka:
         return reader.load()
-    records = reader.schema(LOG_RECORD).load(cfg.path).filter(start.reached())
+    whole = reader.schema(LOG_RECORD).load(cfg.path)
+    records = whole.filter(file_position(whole, start, index).reached())
+    end = file_position(whole, end, index)
     if end.kind == "offsets":
         for topic, partitions in end.offsets.items():
             for partition, offset in partitions.items():
                 here = (F.col("topic") == topic) & (F.col("partition") == partition)
                 records = records.filter(~here | (F.col("offset") < offset))
-    elif end.kind == "timestamp":
-        records = records.filter(~end.reached())
     return records
 
 
@@ -189,23 +217,22 @@ def tail_positions(ends: Iterable[Row], seek_back: int) -> StartPosition:
     return StartPosition.at_offsets(starts)
 
 
-def tail_log(log: DataFrame, seek_back: int, ends: Sequence[Row] | None = None) -> DataFrame:
+SeekBack = int | Mapping[tuple[str, int], int]
+
+
+def tail_log(log: DataFrame, seek_back: SeekBack, ends: Sequence[Row] | None = None) -> DataFrame:
     """The last `seek_back` offsets of every partition, of the raw log; empty partitions have none to give.
+    How far back may be given for each (topic, partition).
 
     The ends, one row per partition, are fixed first (from three narrow columns, unless they are given), and
     the tail reaches up to them: records and partitions that arrive later are not in it.
     """
     rows = list(ends) if ends is not None else end_offsets(log).collect()
-    if len(rows) <= PUSHED_PARTITIONS:
-        inside = F.lit(False)
-        for r in rows:
-            here = (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
-            since = F.col("offset") >= max(0, r["end"] - seek_back)
-            inside = inside | (here & since & (F.col("offset") < r["end"]))
-        return log.filter(inside)
-    fixed = log.sparkSession.createDataFrame([(r["topic"], r["partition"], r["end"]) for r in rows], ENDS)
-    inside = (F.col("offset") >= F.col("end") - F.lit(seek_back)) & (F.col("offset") < F.col("end"))
-    return log.join(F.broadcast(fixed), ["topic", "partition"]).filter(inside).select(log.columns)
+
+    def back(row: Row) -> int:
+        return seek_back if isinstance(seek_back, int) else seek_back[row["topic"], row["partition"]]
+
+    return within(log, [(r["topic"], r["partition"], max(0, r["end"] - back(r)), r["end"]) for r in rows])
 
 
 def seek_back_for(n: int) -> int:

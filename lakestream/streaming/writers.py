@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestream.functions.columns import with_date_parts
-from lakestream.operators.log_audit import CHUNK, batch_stats
+from lakestream.operators.log_audit import CHUNK, batch_parts, finished_batch_stats, merged_batch_parts
 from lakestream.operators.quality import split_valid
 from lakestream.sinks.batch import gathered
 from lakestream.schemas import DEFAULT_RULES, RAW_PARTITIONS, SensorRules
@@ -171,12 +171,18 @@ def stream_batch_stats(
     n: int = CHUNK,
     trigger: str | None = STATS_TRIGGER,
 ) -> StreamingQuery:
-    """Chunk statistics of each micro-batch. A chunk cut by a batch border has one row per side."""
+    """Chunk statistics as parts: what each micro-batch holds of a chunk. `read_batch_stats` puts a chunk that a
+    batch border cuts together again."""
     return foreach_batch(
-        readings, lambda rows, i: write_batch_once(batch_stats(rows, n), path, i), checkpoint, trigger
+        readings, lambda rows, i: write_batch_once(batch_parts(rows, n), path, i), checkpoint, trigger
     )
 
 
+def read_batch_stats(parts: DataFrame) -> DataFrame:
+    """The statistics of whole chunks from what `stream_batch_stats` has written so far."""
+    return finished_batch_stats(merged_batch_parts(parts))
+
+
 def maintain_latest(
     readings: DataFrame,
     path: str,

@@ -9,7 +9,9 @@ from helpers import body, epoch_ms, plan_of, records
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
 from lakestream.sinks import batch as sinks
+from lakestream.sources import bounds
 from lakestream.sources import log as src
+from lakestream.sources import time_index
 
 KAFKA = src.LogConfig("sensor-events", "b1:9092,b2:9092")
 
@@ -67,6 +69,69 @@ def test_reading_between_times(spark, file_log):
     assert src.read_log_batch(spark, file_log, end=until).count() == 0
 
 
+@pytest.fixture(scope="module")
+def unordered(spark, tmp_path_factory):
+    """Partition 0 with times 0, 50, 10, 30, 60, 20, ...; 1 early, 2 late."""
+    path = str(tmp_path_factory.mktemp("unordered"))
+    log = records(spark, [body("a", float(i)) for i in range(40)])
+    for p in range(3):
+        minutes = (F.col("offset") * 50 % 90 + F.lit([0, -500, 500][p])).cast("int")
+        at = F.col("timestamp") + F.make_interval(mins=minutes)
+        moved = log.withColumn("partition", F.lit(p)).withColumn("timestamp", at)
+        sinks.append_to_file_log(moved.drop("timestampType"), path)
+    return src.LogConfig("t", format="parquet", path=path)
+
+
+def places(df):
+    return sorted((r.partition, r.offset) for r in df.collect())
+
+
+def test_a_time_is_the_first_offset_that_late(spark, unordered):
+    """What follows is read whatever its time; a partition without such a record is at its end."""
+    at = src.StartPosition.at_time(epoch_ms("2024-01-01T10:30:00"))
+    first = next(i for i in range(40) if i * 50 % 90 >= 30)
+    late = [(0, i) for i in range(first, 40)] + [(2, i) for i in range(40)]
+    assert places(src.read_log_batch(spark, unordered, at)) == late
+    early = [(0, i) for i in range(first)] + [(1, i) for i in range(40)]
+    assert places(src.read_log_batch(spark, unordered, end=at)) == early
+    stream = src.read_log_stream(spark, unordered, at)
+    query = stream.writeStream.format("memory").queryName("from_time").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert places(spark.table("from_time")) == late
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_the_time_index_finds_the_same(spark, unordered, tmp_path, width):
+    whole = src.read_log_batch(spark, unordered)
+    path = str(tmp_path / "index")
+    lagging = whole.filter("offset < 10 or (partition = 2 and offset < 25)").filter("partition <> 1")
+    assert time_index.extend_time_index(lagging, path, width) > 0
+    assert time_index.extend_time_index(lagging, path, width) == 0
+    for step in range(2):
+        index = time_index.read_time_index(spark, path)
+        for minute in (-1000, -480, 0, 30, 85, 89, 100, 520, 1000):
+            ms = epoch_ms("2024-01-01T10:00:00") + minute * 60_000
+            found = time_index.first_by_index(whole, index, ms).orderBy("partition").collect()
+            assert found == src.first_at(whole, ms).orderBy("partition").collect()
+        time_index.extend_time_index(whole, path, width)
+    assert time_index.read_time_index(spark, path).count() == time_index.time_index(whole, width).count()
+    with pytest.raises(ValueError, match="width"):
+        time_index.extend_time_index(whole, path, width + 1)
+
+
+def test_a_lookup_reads_one_bucket_of_a_partition(spark, unordered, tmp_path):
+    whole, path = src.read_log_batch(spark, unordered), str(tmp_path / "index")
+    time_index.extend_time_index(whole, path, 10)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        found = time_index.first_by_index(whole, time_index.read_time_index(spark, path), epoch_ms("2024-01-01T10:30:00"))
+        plan = plan_of(found)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(offset,0),LessThan(offset,10)" in plan.replace(" ", "")
+    assert "GreaterThanOrEqual(offset,40)" in plan.replace(" ", "")
+
+
 def test_latest_needs_offsets_on_a_file_log(spark, file_log):
     with pytest.raises(ValueError, match="at_offsets"):
         src.read_log_stream(spark, file_log, src.LATEST)
@@ -74,7 +139,7 @@ def test_latest_needs_offsets_on_a_file_log(spark, file_log):
 
 @pytest.mark.parametrize("literal", [200, 0])
 def test_the_tail_of_every_partition(spark, file_log, monkeypatch, literal):
-    monkeypatch.setattr(src, "PUSHED_PARTITIONS", literal)
+    monkeypatch.setattr(bounds, "PUSHED_PARTITIONS", literal)
     tail = src.tail_log(src.read_log_batch(spark, file_log), 5)
     got = sorted((r.partition, r.offset) for r in tail.collect())
     assert got == [(0, o) for o in range(95, 100)] + [(1, o) for o in range(5, 10)] + [(2, 0), (2, 1), (2, 2)]
@@ -95,7 +160,7 @@ def test_the_tail_has_fixed_ends(spark, tmp_path, monkeypatch):
     records(spark, [body("a", 1.0)] * 5, 0, 20).write.mode("append").parquet(path)
     records(spark, [body("a", 1.0)] * 5, 7).write.mode("append").parquet(path)
     for pushed in (200, 0):
-        monkeypatch.setattr(src, "PUSHED_PARTITIONS", pushed)
+        monkeypatch.setattr(bounds, "PUSHED_PARTITIONS", pushed)
         tail = src.tail_log(src.read_log_batch(spark, cfg), 4, ends)
         assert sorted((r.partition, r.offset) for r in tail.collect()) == [(0, o) for o in range(16, 20)]
 
@@ -164,9 +229,17 @@ def test_a_quiet_sensor_is_found(spark):
     assert audit.latest_readings(parse_readings(log), 1, "rare").count() == 1
 
 
-def test_the_newest_reading_needs_no_sorting_of_its_input(spark):
+def test_the_newest_reading_parses_the_log_once(spark):
     plan = plan_of(audit.latest_readings(readings(spark, [("a", 1.0)])))
-    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert plan.count("Scan ExistingRDD") == 1 and "WindowGroupLimit" in plan
+
+
+def test_a_quiet_partition_may_hold_the_newest(spark):
+    """The first partition has enough readings near its end, the second a newer one far back."""
+    many = records(spark, [body("a", float(i), "2024-01-01T10:00:00") for i in range(60)])
+    deep = records(spark, [body("a", 99.0, "2024-01-02T10:00:00")] + [body("b", 1.0)] * 500, 1)
+    assert audit.latest_of_log(many.union(deep), 2, "a").orderBy("rank").first().value == 99.0
+    assert audit.latest_of_log(many.union(deep), 1, "a", extend=False).first().value == 59.0
 
 
 def test_the_rank_is_cut_before_the_shuffle(spark):
@@ -317,9 +390,17 @@ def test_a_healthy_log_is_audited_without_moving_its_positions(spark):
 
 def test_records_delivered_once_are_not_shuffled(spark):
     log = records(spark, [body("a", float(i)) for i in range(300)])
-    clean = audit.dedupe_log(log.union(log.filter("offset < 3")))
+    clean = audit.dedupe_log(log.union(log.filter("offset < 3")), plain_rows=0)
     assert clean.count() == 300 and clean.columns == log.columns
     assert sorted(r.offset for r in clean.collect()) == list(range(300))
     assert "BroadcastHashJoin" in plan_of(clean)  # the positions delivered again, found by their size
     nulls = log.withColumn("topic", F.lit(None).cast("string"))
     assert audit.dedupe_log(nulls.union(nulls)).count() == 300
+    assert audit.dedupe_log(nulls.union(nulls.filter("offset < 3")), plain_rows=0).count() == 300
+
+
+def test_many_repeats_are_removed_in_one_shuffle(spark):
+    log = records(spark, [body("a", float(i)) for i in range(300)])
+    for found in (audit.dedupe_log(log.union(log), plain_rows=0), audit.dedupe_log(log.union(log.limit(1)))):
+        assert "Join" not in plan_of(found) and found.count() == 300
+    assert audit.dedupe_log(log.limit(0), plain_rows=0).count() == 0
