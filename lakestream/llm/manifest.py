@@ -25,9 +25,10 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ from lakestream.llm.corpus import batches, only, ready, settled
 
 #: Levels of a block.
 LEVELS = 8
+#: Bytes of blocks that are swept at once; proofs take several times as many.
+SWEPT_BYTES = 1 << 19
 
 #: A proof is a chain of steps from below to above; a step is the sibling after its side, or neither.
 Steps = tuple | None
@@ -171,31 +174,50 @@ def storeys(nodes: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
             return found, nodes.select("tree", "digest")
 
 
-def proven(found: Sequence[DataFrame], down: DataFrame, levels: int) -> DataFrame:
-    """The reversed sweep: each leaf as `item` with its `steps`, and the further columns of `down`, which has a row
-    for each tree with the `steps` of its root."""
-    more = [c for c in down.columns if c not in ("tree", "steps")]
+Finish = Callable[[pa.RecordBatch], pa.RecordBatch]
+
+
+def _swept(storey: DataFrame, down: DataFrame, levels: int, finish: Finish | None, schema: str | None) -> DataFrame:
+    """The reversed sweep through a storey: a row per node, with the columns of its item, its `steps` and the further
+    columns of `down`; or what `finish` makes of them."""
+    more = [c for c in down.columns if c not in ("tree", "steps", "block")]
+    joined = storey.join(down, ["tree", "block"]).select("tree", "n", "steps", "items", *more)
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(table, SWEPT_BYTES):
+            steps = []
+            digests = batch.column("items").flatten().field("digest").to_pylist()
+            ends = batch.column("items").value_lengths().to_pylist()
+            at = 0
+            for n, above, size in zip(batch.column("n").to_pylist(), batch.column("steps").to_pylist(), ends):
+                up = height(n, levels)
+                done = forward(digests[at : at + size], up)
+                steps += map(listed, reverse(done, up, chained(above)))
+                at += size
+            whose = pc.list_parent_indices(batch.column("items"))
+            items = batch.column("items").flatten()
+            kind = items.type
+            columns = {"tree": batch.column("tree").take(whose)}
+            columns |= {kind.field(i).name: items.field(i) for i in range(kind.num_fields)}
+            columns |= {"steps": pa.array(steps, pa.list_(pa.string()))} | {c: batch.column(c).take(whose) for c in more}
+            out = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            yield finish(out) if finish else out
+
+    fields = list(joined.schema["items"].dataType.elementType.fields)
+    kinds = [("tree", "string"), *((f.name, f.dataType.simpleString()) for f in fields), ("steps", "array<string>")]
+    kinds += [(c, joined.schema[c].dataType.simpleString()) for c in more]
+    return joined.mapInArrow(run, schema or ", ".join(f"`{name}` {kind}" for name, kind in kinds))
+
+
+def proven(
+    found: Sequence[DataFrame], down: DataFrame, levels: int, finish: Finish | None = None, schema: str | None = None
+) -> DataFrame:
+    """The reversed sweep: each leaf with its columns, its `steps` and the further columns of `down`, which has a row
+    for each tree with the `steps` of its root; or what `finish` makes of that, of the given schema."""
     down = down.withColumn("block", F.lit(0).cast("long"))
-    for storey in reversed(found):
-        joined = storey.join(down, ["tree", "block"]).select("tree", "n", "steps", "items", *more)
-
-        def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches(table):
-                steps = []
-                for n, above, items in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                    up = height(n, levels)
-                    done = forward([i["digest"] for i in items], up)
-                    steps.append([listed(s) for s in reverse(done, up, chained(above))])
-                columns = [*batch.columns, pa.array(steps, pa.list_(pa.list_(pa.string())))]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "proofs"])
-
-        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema)
-        swept = joined.mapInArrow(run, f"{kinds}, proofs array<array<string>>")
-        leaves = swept.select("tree", *more, F.explode(F.arrays_zip("items", "proofs")).alias("leaf"))
-        down = leaves.select("tree", *more, F.col("leaf.items").alias("item"), F.col("leaf.proofs").alias("steps"))
-        if storey is not found[0]:
-            down = down.withColumn("block", F.col("item.pos")).drop("item")
-    return down
+    for storey in reversed(found[1:]):
+        down = _swept(storey, down, levels, None, None).withColumnRenamed("pos", "block").drop("digest")
+    return _swept(found[0], down, levels, finish, schema)
 
 
 def manifest(
@@ -205,9 +227,10 @@ def manifest(
     group_col: str = "lang",
     tampered: dict[str, Column] | None = None,
     levels: int = LEVELS,
+    with_steps: bool = False,
 ) -> DataFrame:
-    """One row per row: id, `leaf`, `subroot` of its group, `root` of the table, `steps` (its proof), `proof_sha256`,
-    `folded_root` (from the row with the columns of `tampered` in place of its own) and `verified`."""
+    """One row per row: id, `leaf`, `subroot` of its group, `root` of the table, `proof_sha256`, `folded_root` (from the
+    row with the columns of `tampered` in place of its own) and `verified`; with `steps`, its proof, if asked for."""
     ready(rows.sparkSession)
     source = only(rows, *dict.fromkeys([id_col, group_col, *columns]))
     own = {c: F.col(f"`{c}`") for c in columns}
@@ -220,20 +243,20 @@ def manifest(
     upper = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "digest")
     above, root = storeys(numbered(upper, "tree", ["group"]), levels)
     start = root.select("tree", F.array().cast("array<string>").alias("steps"), F.col("digest").alias("root"))
-    groups = proven(above, start, levels)
-    groups = settled(groups.select(F.col("item.group").alias("tree"), "steps", "root", F.col("item.digest").alias("subroot")))
-    leaves = proven(found, groups, levels).select("item.id", "item.digest", "item.claimed", "subroot", "root", "steps")
+    groups = settled(
+        proven(above, start, levels).select(F.col("group").alias("tree"), "steps", "root", F.col("digest").alias("subroot"))
+    )
     key = rows.schema[id_col].dataType.simpleString()
-
-    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(table):
-            claims, proofs = batch.column(2).to_pylist(), batch.column(5).to_pylist()
-            ends = [folded(leaf, steps) for leaf, steps in zip(claims, proofs)]
-            whole = [digest(step[1:] for step in steps) for steps in proofs]
-            columns = [*(batch.column(i) for i in (0, 1, 3, 4, 5)), pa.array(whole, pa.string()), pa.array(ends, pa.string())]
-            names = ["id", "leaf", "subroot", "root", "steps", "proof_sha256", "folded_root"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    kinds = "leaf string, subroot string, root string, steps array<string>, proof_sha256 string, folded_root string"
-    out = leaves.mapInArrow(run, f"id {key}, {kinds}")
+    names = ["id", "leaf", "subroot", "root", "proof_sha256", "folded_root"] + ["steps"] * with_steps
+
+    def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claims, proofs = batch.column("claimed").to_pylist(), batch.column("steps").to_pylist()
+        ends = [folded(leaf, steps) for leaf, steps in zip(claims, proofs)]
+        whole = [digest(step[1:] for step in steps) for steps in proofs]
+        columns = [batch.column(c) for c in ("id", "digest", "subroot", "root")]
+        columns += [pa.array(whole, pa.string()), pa.array(ends, pa.string())] + [batch.column("steps")] * with_steps
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    kinds = f"id {key}, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
+    out = proven(found, groups, levels, finish, kinds + ", steps array<string>" * with_steps)
     return out.withColumn("verified", F.col("folded_root") == F.col("root")).withColumnRenamed("id", id_col)
