@@ -28,7 +28,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestream.llm import jaccard
 from lakestream.llm.components import connected
 from lakestream.llm.corpus import batches, only, ready, settled
 
@@ -293,15 +292,3 @@ def near_duplicates(
     marked = settled(fingerprints(documents, id_col, text_col, shingle_words))
     found = groups(marked, id_col, radius)
     return found.select(id_col, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def deduplicated(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of `jaccard`, the one with the least id (a null id is least, then the text's
-    hash decides); of repeated rows one stays. All columns are as they were."""
-    name = "_row" + "_" * max(len(c) for c in documents.columns)  # longer than any other, so clashing with none
-    row = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("hash"))
-    named = documents.withColumn(name, row)
-    found = jaccard.groups(named, name, text_col)
-    dropped = found.filter(F.col("component_id") != F.col(name)).select(name).distinct()
-    # repeated rows meet in their own task before the shuffle, so that many of them are no hot key
-    return named.dropDuplicates([name]).join(dropped, name, "left_anti").drop(name)
