@@ -22,6 +22,7 @@ from lakestream.checks.fixture import (
 )
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
+from lakestream.operators.hash_tree import hash_tree_diff
 from lakestream.operators.quality import only_sensor
 from lakestream.operators.windows import window_bounds
 from lakestream.plans.etl import statistics
@@ -399,6 +400,25 @@ def multiset_differences(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@check(
+    f"""{WITH_LOG}, kept AS (
+      SELECT *, CASE WHEN sensor = 'error' AND day = 7 THEN 'lost' WHEN sensor = 'view' AND day = 3 AND "offset" % 2 = 0 THEN 'twice'
+                     WHEN sensor = 'click' AND day = 20 THEN 'changed' END AS damage FROM log)
+    SELECT sensor AS sensor_type, day, "partition", "offset", value, CAST(surplus AS BIGINT) AS surplus FROM (
+      SELECT *, value AS v, CASE damage WHEN 'twice' THEN -1 ELSE 1 END AS surplus FROM kept WHERE damage IS NOT NULL
+      UNION ALL SELECT * REPLACE (value + 1 AS value), value, -1 FROM kept WHERE damage = 'changed')"""
+)
+def hash_tree_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated zone against a copy that has lost a day, holds half of another twice, and has a third changed."""
+    columns = ("sensor_type", "year", "month", "day", "partition", "offset", "value")
+    zone = curated(spark, sf).select(*columns)
+    of, day = F.col("sensor_type"), F.col("day")
+    changed = F.when((of == "click") & (day == 20), F.col("value") + 1).otherwise(F.col("value"))
+    twice = zone.filter((of == "view") & (day == 3) & (F.col("offset") % 2 == 0))
+    copy = zone.filter((of != "error") | (day != 7)).withColumn("value", changed).unionByName(twice)
+    return hash_tree_diff(zone, copy, buckets=16).drop("year", "month")
+
+
 def _reconciled(spark: SparkSession, sf: str) -> DataFrame:
     """The damaged log against a curated zone that lost the views and holds the signups twice."""
     readings = parse_readings(broken_log(spark, sf))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakestream.checks.fixture import (
     RULES,
     SQL_LOG,
+    TOPIC,
     broken_log,
     check,
     compacted,
@@ -27,6 +28,8 @@ from lakestream.operators import lake_audit, lake_queries
 from lakestream.operators.lake_audit import partition_files
 from lakestream.operators.log_audit import batch_stats
 from lakestream.operators.quality import drop_malformed
+from lakestream.plans import daily_parts
+from lakestream.plans.lake import Lake, curated_readings
 from lakestream.plans.lake import rebuild_curated as rebuild
 from lakestream.plans.maintenance import compact, verify_compaction, zone_as_written
 from lakestream.schemas import (
@@ -41,7 +44,7 @@ from lakestream.schemas import (
 from lakestream.session import scratch_path
 from lakestream.sinks.batch import write_batch, write_gold, write_raw, write_verified
 from lakestream.sources.zones import read_or_empty, read_zone, register_views, replay_raw
-from lakestream.streaming.writers import raw_zone_rows
+from lakestream.streaming.writers import raw_zone_rows, write_batch_once
 
 WITH_LOG = f"WITH {SQL_LOG}"
 SENSOR = "purchase"
@@ -112,6 +115,28 @@ def gold_after_correction(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@check(
+    f"""{WITH_LOG}, corrected AS (
+      SELECT * FROM log WHERE sensor <> '{SENSOR}' OR day NOT BETWEEN 10 AND 12 OR value <= 50)
+    {SQL_DAILY.replace('FROM log', 'FROM corrected')} GROUP BY 1, 2, 3, 4"""
+)
+def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold from the figures of three batches, after readings of one sensor on three days have been withdrawn from
+    all of them: only those days are computed anew."""
+    made, parts = Lake(scratch_path(spark, "lake"), TOPIC), scratch_path(spark, "parts")
+    rows = curated_readings(log(spark, sf), RULES)
+    for b in range(3):
+        part = F.col("offset") % 3 == b
+        write_batch_once(rows.filter(part), made.curated, b, CURATED_PARTITIONS)
+        daily_parts.add_batches(spark, made, parts)
+    sound = (F.col("sensor_type") != SENSOR) | ~F.col("day").between(10, 12) | (F.col("value") <= 50)
+    for b in range(3):
+        write_batch_once(rows.filter((F.col("offset") % 3 == b) & sound), made.curated, b, CURATED_PARTITIONS)
+    days = [(SENSOR, dt.date(2024, 1, d)) for d in (10, 11, 12)]
+    daily_parts.correct_days(spark, made, parts, days)
+    return daily_parts.read_gold_parts(spark, parts)
+
+
 @check(
     f"""{WITH_LOG}
     SELECT sensor AS sensor_type, count(*) AS total_records, {sql_round('avg(value)', 2)} AS overall_avg,

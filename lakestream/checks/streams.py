@@ -37,7 +37,7 @@ from lakestream.sinks.batch import write_batch
 from lakestream.sources.batches import layout, range_folder
 from lakestream.sources.log import LogConfig, read_log_stream
 from lakestream.sources.zones import read_or_empty, read_stream_output
-from lakestream.streaming import writers
+from lakestream.streaming import latest, seen, writers
 from lakestream.streaming.supervise import ProgressTotals, run_queries
 
 WITH_LOG = f"WITH {SQL_LOG}"
@@ -326,3 +326,50 @@ def lake_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
     if len(now.ranges) != 1 or now.replaced or now.old or most != 1:
         raise AssertionError(f"not compacted: {now}, {most} files in a directory")
     return build_gold(spark, made)
+
+
+@check(
+    f"""{WITH_LOG}
+    SELECT device_id, sensor, value, event_time, "partition", "offset", true AS only_changes FROM log
+    QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY ms DESC, "partition" DESC, "offset" DESC) = 1"""
+)
+def latest_by_device_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest reading of every device as a log of changes, over four batches, half of them merged. No batch
+    writes more rows than it has devices."""
+    path, folder = scratch_path(spark, "changes"), scratch_path(spark, "quarters")
+    checkpoint = scratch_path(spark, "checkpoint")
+    records = log(spark, sf)
+    for part in range(4):
+        records.filter(F.col("offset") % 4 == part).coalesce(1).write.mode("append").parquet(folder)
+        config = LogConfig(TOPIC, format="parquet", path=folder)
+        readings = parse_readings(read_log_stream(streaming_session(spark), config))
+        latest.maintain_changes(readings, path, checkpoint, trigger=None).awaitTermination()
+        if part == 2:
+            latest.merge_changes(spark, path)
+            latest.expire_changes(spark, path)
+    written = spark.read.parquet(f"{path}/changes").groupBy("ingest_batch").count()
+    devices = parse_readings(records).groupBy((F.col("offset") % 4).alias("part")).agg(F.count_distinct("device_id").alias("n"))
+    sparse = written.join(devices, F.col("ingest_batch") == F.col("part")).filter(F.col("count") > F.col("n")).isEmpty()
+    found = latest.read_changes(spark, path).withColumn("only_changes", F.lit(sparse and written.count() == 2))
+    return found.select("device_id", "sensor", "value", "event_time", "partition", "offset", "only_changes")
+
+
+@check(
+    f"""{WITH_LOG}, kept AS (SELECT * FROM log WHERE "offset" % 97 <> 5),
+    holes AS (SELECT "partition", count(*) FILTER (gap > 1) + 1 AS ranges FROM (
+      SELECT "partition", "offset" - lag("offset") OVER (PARTITION BY "partition" ORDER BY "offset") AS gap FROM kept) GROUP BY 1)
+    SELECT "partition", "offset", sensor, value, CAST(ranges AS BIGINT) AS ranges FROM kept JOIN holes USING ("partition")"""
+)
+def deduplicated_by_ranges_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A log with holes, whose files are delivered again, whole and in part: a record counts once, and what is
+    remembered of a partition is a range for each hole and one more."""
+    path, folder = scratch_path(spark, "by-ranges"), scratch_path(spark, "redelivering")
+    checkpoint = scratch_path(spark, "checkpoint")
+    records = log(spark, sf).filter(F.col("offset") % 97 != 5)
+    for part in (F.col("offset") % 3 != 1, F.col("offset") % 2 == 0, F.lit(True)):
+        records.filter(part).write.mode("append").parquet(folder)
+        stream = read_log_stream(streaming_session(spark), LogConfig(TOPIC, format="parquet", path=folder))
+        seen.deduplicate_by_ranges(stream, path, checkpoint, None, width=64).awaitTermination()
+    ranges = seen.read_seen(spark, path).groupBy("partition").agg(F.count(F.lit(1)).alias("ranges"))
+    rows = parse_readings(seen.read_deduplicated(spark, path))
+    return rows.join(ranges, "partition").select("partition", "offset", "sensor", "value", "ranges")

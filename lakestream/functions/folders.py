@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: How Spark's writers name the directory of a null partition value, and the characters they escape in
-#: directory names (fixed values).
+#: How Spark's writers name the directory of a null partition value and the file that says a folder is complete, and the
+#: characters they escape in directory names (fixed values).
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+COMPLETE = "_SUCCESS"
 ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
 
 
@@ -40,3 +41,9 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
 def exists(spark: SparkSession, path: str) -> bool:
     system, place = _reach(spark, path)
     return bool(system.exists(place))
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Put the empty file that says a folder is complete, as Spark's writers do, into a folder written without it."""
+    system, place = _reach(spark, f"{path}/{COMPLETE}")
+    system.create(place, True).close()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
@@ -38,15 +38,13 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     return files.select("path", "length")
 
 
-def partition_files(spark: SparkSession, root: str, paths: bool = False) -> DataFrame:
-    """Length and partition columns, as text, of every Parquet file of a Hive-partitioned zone, from the
-    listing; with its path if asked for."""
-    files = (
-        listing_session(spark)
-        .read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-    )
+def partition_files(
+    spark: SparkSession, root: str, paths: bool = False, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """Length and partition columns, as text, of every Parquet file of a Hive-partitioned zone, or of some `folders`
+    inside it, from the listing; with its path if asked for."""
+    reader = listing_session(spark).read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = reader.load(root) if folders is None else reader.option("basePath", root).load(list(folders))
     return files.drop("modificationTime", "content", *(() if paths else ("path",)))
 
 

@@ -411,9 +411,8 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.groupBy(*columns).agg(F.sum("_n").alias("surplus")).filter("surplus <> 0")
 
 
-def fingerprint_columns(df: DataFrame) -> list[Column]:
-    """Aggregates that are equal for equal multisets of rows: the count, and two sums of row hashes with
-    different seeds.
+def row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row with different seeds.
 
     Spark's hash passes over nulls, so that (null, 'x') and ('x', null) would be alike; every column is
     hashed with a flag for null, and nested values as JSON that spells their nulls out.
@@ -426,7 +425,12 @@ def fingerprint_columns(df: DataFrame) -> list[Column]:
             parts += [column.isNull(), text]
         else:
             parts += [column.isNull(), column]
-    first, second = F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
+    return F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
+
+
+def fingerprint_columns(df: DataFrame) -> list[Column]:
+    """Aggregates that are equal for equal multisets of rows: the count, and two sums of row hashes."""
+    first, second = row_hashes(df)
     return [
         F.count(F.lit(1)).alias("records"),
         F.coalesce(F.sum(first.cast("decimal(28,0)")), F.lit(0)).alias("sum_1"),

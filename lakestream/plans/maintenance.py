@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestream.functions.folders import NULL_FOLDER, delete_folder
+from lakestream.functions.folders import NULL_FOLDER, delete_folder, mark_complete
 from lakestream.operators.lake_audit import list_files, partition_files
-from lakestream.operators.log_audit import same_rows
+from lakestream.operators.log_audit import fingerprint, fingerprint_columns, same_rows
 from lakestream.schemas import CURATED_PARTITIONS
 from lakestream.session import text_partitions_session
 from lakestream.sources.batches import BATCH, layout, range_folder
@@ -47,7 +47,8 @@ def planned_files(
     plan = listed.groupBy(*_named(partitions)).agg(
         F.greatest(F.lit(files_per_partition), filled).alias("_files")
     )
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # a row per directory
+    # a row per directory in one task: a million directories are some hundred megabytes, fewer than a listing takes
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     return plan.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0)))
 
 
@@ -102,8 +103,10 @@ def _rewrite(
     partitions: Sequence[str],
     keep_others: bool,
     sort_by: Sequence[str] = (),
+    complete: bool = True,
 ) -> None:
-    """Write rows with their `_place` into the files planned for their directories, a task for each file."""
+    """Write rows with their `_place` into the files planned for their directories, a task for each file. Without
+    `complete` the folder has no `_SUCCESS` afterwards."""
     columns = [F.col(f"`{c}`") for c in placed.columns if c != "_place"]
     total = plan.agg(F.sum("_files")).first()[0] or 1
     joined = placed.select("*", *_named(partitions)).join(plan, [f"_key_{p}" for p in partitions], "left")
@@ -115,6 +118,7 @@ def _rewrite(
         spread.select(*columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(complete).lower())
         .partitionBy(*partitions)
         .option("compression", "snappy")
         .parquet(target)
@@ -168,9 +172,16 @@ def verify_same_rows(
     run before a compacted zone takes the place of the original."""
     if where is not None:
         left, right = left.filter(where), right.filter(where)
-    if not same_rows(left, right, exact):
+    if exact:
+        same, records = same_rows(left, right, exact=True), None
+    else:
+        same, records = set(left.dtypes) == set(right.dtypes), 0
+        if same:
+            first, second = (_found(side.select(*columns_of(left))) for side in (left, right))
+            same, records = first == second, second["records"]
+    if not same:
         raise RowsChanged("the rewritten zone does not hold the same rows")
-    return right.count()
+    return right.count() if records is None else records
 
 
 def verify_compaction(
@@ -194,8 +205,12 @@ def compact_batches(
 
     The newest batch may still be repeated by its stream and stays as it is. Earlier ranges are left alone
     until there are `merge_after` of them; then they are merged with the new batches into one, so that a
-    directory never has more files than ranges and open batches. The rows are verified before this returns;
-    a range that fails is removed.
+    directory never has more files than ranges and open batches.
+
+    The range is written without its `_SUCCESS`, so no reader takes it; its rows are compared with those that went
+    in, observed while they were written; then it is marked complete. Whatever ends the job in between, readers
+    go on with the batches, and the next run writes the range again. One that fails is removed. Only the folders
+    concerned are listed and their footers read.
     """
     now = layout(spark, curated, compacted)
     closed = now.live[:-1] if now else ()
@@ -205,26 +220,41 @@ def compact_batches(
     first = merged[0][0] if merged else now.covered + 1
     target = range_folder(compacted, first, closed[-1])
     reader = text_partitions_session(spark).read.option("mergeSchema", "true")
-    chosen = F.col(BATCH).cast("bigint").between(closed[0], closed[-1])
-    listed = [partition_files(spark, curated).filter(chosen).drop(BATCH)]
-    frames = [reader.parquet(curated).filter(chosen).select("*", _place()).drop(BATCH)]
-    for old in merged:
-        folder = range_folder(compacted, *old)
-        listed.append(partition_files(spark, folder))
-        frames.append(reader.parquet(folder).select("*", _place()))
+    listed, frames = [], []
+    sources = [(curated, [f"{curated}/{BATCH}={b}" for b in closed])]
+    sources += [(folder, [folder]) for folder in (range_folder(compacted, *old) for old in merged)]
+    for base, folders in sources:
+        files = partition_files(spark, base, folders=folders)
+        if not files.isEmpty():
+            frames.append(reader.option("basePath", base).parquet(*folders).select("*", _place()).drop(BATCH))
+            listed.append(files.drop(BATCH))
+    if not frames:
+        return None  # batches without rows wait for one that has some
 
     def union(a: DataFrame, b: DataFrame) -> DataFrame:
         return a.unionByName(b, allowMissingColumns=True)
 
     rows = reduce(union, frames)
+    source = rows.drop("_place")
+    seen = Observation("compacted")
     plan = planned_files(reduce(union, listed), partitions, target_bytes, files_per_partition)
-    _rewrite(rows, plan, target, partitions, keep_others=False)
-    if not same_rows(rows.drop("_place"), zone_as_written(spark, target)):
+    _rewrite(rows.observe(seen, *fingerprint_columns(source)), plan, target, partitions, False, complete=False)
+    written = zone_as_written(spark, target)
+    if set(written.dtypes) != set(source.dtypes) or _found(written.select(*columns_of(source))) != seen.get:
         delete_folder(spark, target)
         raise RowsChanged(f"{target} does not hold the rows of its batches")
+    mark_complete(spark, target)
     return first, closed[-1]
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def _found(df: DataFrame) -> dict:
+    return fingerprint(df).first().asDict()
+
+
 def expire_batches(spark: SparkSession, curated: str, compacted: str) -> list[str]:
     """Remove the batches and ranges that compacted ranges have replaced; returns their folders. To be run
     when no reader that began before the last compaction is left."""

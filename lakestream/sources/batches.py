@@ -1,8 +1,8 @@
 """A curated zone that a stream feeds in numbered batches, and ranges of closed batches compacted.
 
 `<curated>/ingest_batch=<n>/` is one micro-batch; writing it again replaces it. `<compacted>/batches=<a>-<b>/`
-holds what the batches a to b hold, in few files, and counts once its `_SUCCESS` is there. A reader takes the
-ranges, and the batches after the last of them; so a range takes effect at once, nobody reads a folder while it
+holds what the batches a to b hold, in few files, and counts once its `_SUCCESS` is there, which is put there last,
+after its rows have been compared. A reader takes the ranges, and the batches after the last of them; so a range takes effect at once, nobody reads a folder while it
 is rewritten, and the batches it replaces can be removed later.
 """
 
@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from lakestream.functions.folders import child_folders, exists
+from lakestream.functions.folders import COMPLETE, child_folders, exists
 from lakestream.schemas import CURATED_ZONE
 from lakestream.sources.zones import read_or_empty
 
@@ -44,7 +44,7 @@ def layout(spark: SparkSession, curated: str, compacted: str) -> Layout | None:
     found = []
     for name in child_folders(spark, compacted):
         match = re.fullmatch(r"batches=(\d+)-(\d+)", name)
-        if match and exists(spark, f"{compacted}/{name}/_SUCCESS"):
+        if match and exists(spark, f"{compacted}/{name}/{COMPLETE}"):
             found.append((int(match[1]), int(match[2])))
     if not batches and not found:
         return None

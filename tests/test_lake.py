@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from helpers import body, plan_of, records
 from lakestream.functions.folders import delete_folder
 from lakestream.operators import lake_audit, lake_queries
-from lakestream.plans import maintenance
+from lakestream.operators.lake_queries import daily_stats
+from lakestream.plans import daily_parts, maintenance
 from lakestream.plans.lake import (
     Lake,
     build_gold,
@@ -366,6 +367,120 @@ def test_a_range_that_is_not_finished_is_not_read(spark, tmp_path):
     assert sorted(r.value for r in read_lake(spark, made).collect()) == [0.0, 1.0, 2.0]
 
 
+def three_batches(spark, root):
+    made = Lake(root)
+    for number in range(3):
+        batch(spark, made.curated, number, ("humidity", float(number)), ("temperature", 40.0 + number))
+    return made
+
+
+@pytest.mark.parametrize("step", ["_found", "mark_complete"])
+def test_a_range_counts_only_after_its_rows_were_compared(spark, tmp_path, monkeypatch, step):
+    """Whatever ends the job, at the comparison or between it and the end, readers go on with the batches, which are
+    not removed, and the next run makes the range."""
+    made = three_batches(spark, str(tmp_path))
+    where = (spark, made.curated, made.compacted)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(maintenance, step, killed)
+    with pytest.raises(KeyboardInterrupt):
+        maintenance.compact_batches(*where)
+    monkeypatch.undo()
+    assert layout(*where).ranges == () and maintenance.expire_batches(*where) == []
+    assert read_lake(spark, made).count() == 6
+    assert maintenance.compact_batches(*where) == (0, 1)
+    assert read_lake(spark, made).count() == 6 and len(maintenance.expire_batches(*where)) == 2
+    assert read_lake(spark, made).count() == 6
+
+
+def test_a_range_with_other_rows_is_refused(spark, tmp_path, monkeypatch):
+    made = three_batches(spark, str(tmp_path))
+    where = (spark, made.curated, made.compacted)
+    found = maintenance._found
+    monkeypatch.setattr(maintenance, "_found", lambda df: found(df.limit(3)))
+    with pytest.raises(maintenance.RowsChanged):
+        maintenance.compact_batches(*where)
+    assert layout(*where).ranges == () and read_lake(spark, made).count() == 6
+
+
+def test_compaction_opens_only_the_folders_concerned(spark, tmp_path):
+    """Footers of batches long compacted are not read: they may even be damaged."""
+    made = three_batches(spark, str(tmp_path))
+    where = (spark, made.curated, made.compacted)
+    maintenance.compact_batches(*where)
+    for part in (tmp_path / "curated/domain=iot/ingest_batch=0").rglob("*.parquet"):
+        part.write_bytes(b"damaged")
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    batch(spark, made.curated, 3, ("humidity", 9.0))
+    assert maintenance.compact_batches(*where) == (2, 2)
+    assert read_lake(spark, made).count() == 7
+
+
+def gold_of(rows):
+    return sorted(tuple(r[c] for c in ("sensor_type", "day", "record_count", "avg_value", "max_value", "anomaly_count")) for r in rows)
+
+
+def test_gold_follows_batches_and_corrections(spark, tmp_path):
+    """Batches, a repeated batch, a correction that takes the largest value and all of a day, later batches, a correction of
+    the correction, compaction, and everything anew: always the gold of the whole zone."""
+    made, parts = Lake(str(tmp_path / "lake")), str(tmp_path / "parts")
+    days = ("2024-01-01T10:00:00", "2024-01-02T10:00:00")
+
+    def same():
+        return gold_of(daily_parts.read_gold_parts(spark, parts).collect()) == gold_of(daily_stats(read_lake(spark, made)).collect())
+
+    assert daily_parts.add_batches(spark, made, parts) == [] and daily_parts.read_gold_parts(spark, parts).isEmpty()
+    assert daily_parts.correct_days(spark, made, parts, [("humidity", dt.date(2024, 1, 1))]) is None
+    for number in range(2):
+        batch(spark, made.curated, number, *[(s, 30.0 + 10 * number + i, days[i]) for s in ("temperature", "humidity") for i in (0, 1)])
+        assert daily_parts.add_batches(spark, made, parts)[-1] == number and same()
+    batch(spark, made.curated, 1, ("temperature", 99.0, days[0]), ("humidity", 1.0, days[1]))
+    assert daily_parts.add_batches(spark, made, parts) == [1] and same()
+    # the largest temperature of the first day goes, and all of the second
+    batch(spark, made.curated, 0, ("temperature", 30.0, days[0]), ("humidity", 31.0, days[1]))
+    batch(spark, made.curated, 1)
+    touched = [("temperature", dt.date(2024, 1, d)) for d in (1, 2)] + [("humidity", dt.date(2024, 1, 2))]
+    assert not same()
+    assert daily_parts.correct_days(spark, made, parts, touched) == 0
+    daily_parts.correct_days(spark, made, parts, [("humidity", dt.date(2024, 1, 1))])
+    assert same()
+    batch(spark, made.curated, 2, ("temperature", 50.0, days[1]), ("humidity", 2.0, days[0]))
+    assert daily_parts.add_batches(spark, made, parts) == [2] and same()
+    assert daily_parts.correct_days(spark, made, parts, touched) == 2 and same()
+    maintenance.compact_batches(spark, made.curated, made.compacted)
+    maintenance.expire_batches(spark, made.curated, made.compacted)
+    batch(spark, made.curated, 3, ("pressure", 5.0, days[0]))
+    assert daily_parts.add_batches(spark, made, parts) == [3] and same()
+    assert daily_parts.correct_all(spark, made, parts) == 3 and same()
+    batch(spark, made.curated, 4, ("pressure", 7.0, days[0]))
+    daily_parts.add_batches(spark, made, parts)
+    assert same()
+
+
+def test_batches_removed_too_early_are_noticed(spark, tmp_path):
+    made, parts = three_batches(spark, str(tmp_path / "lake")), str(tmp_path / "parts")
+    maintenance.compact_batches(spark, made.curated, made.compacted)
+    maintenance.expire_batches(spark, made.curated, made.compacted)
+    with pytest.raises(ValueError, match="correct_all"):
+        daily_parts.add_batches(spark, made, parts)
+    assert daily_parts.correct_all(spark, made, parts) == 2
+    assert daily_parts.add_batches(spark, made, parts) == []
+    assert daily_parts.read_gold_parts(spark, parts).agg(F.sum("record_count")).first()[0] == 6
+
+
+def test_a_correction_opens_the_files_of_its_days(spark, tmp_path):
+    made = Lake(str(tmp_path))
+    for number in range(2):
+        rows = [(s, 1.0, f"2024-01-{d:02}T10:00:00") for s in ("humidity", "pressure") for d in range(1, 9)]
+        batch(spark, made.curated, number, *rows)
+    days = [("humidity", dt.date(2024, 1, d)) for d in (2, 5)]
+    zone = read_lake(spark, made)
+    report = lake_audit.pruning_report(zone, zone.filter(daily_parts.on_days(days))).first()
+    assert (report.full_files, report.pruned_files, report.pruned_rows) == (32, 4, 4)
+
+
 def test_null_directories_survive_compaction(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
