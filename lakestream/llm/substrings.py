@@ -42,6 +42,8 @@ HASHED_BYTES, COMBINED_BYTES = 1 << 20, 8 << 20
 PIECE_WORDS = 100_000
 #: Bytes of text for each bucket; the strings have about three times as many.
 BUCKET_BYTES = 1 << 21
+#: Numbers that are broadcast, at most, to tell which documents lose words.
+CELLS = 1 << 18
 #: Strings of large buckets that are spelled out at once.
 SPELLED = 2000
 #: A bucket of more windows than this goes window by window.
@@ -202,7 +204,8 @@ class Packer:
 
 
 def row_hash(text: bytes) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(text)).astype(np.int64))
+    """Spark's `xxhash64` of a text."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text, 42)).astype(np.int64))
 
 
 def marks(
@@ -328,18 +331,17 @@ def kept_words(text: bytes, stretches: Iterable[tuple[int, int]], window: int =
 def without_repeats(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings
 ) -> DataFrame:
-    """One row per document: id, `n_words`, `n_removed`, and `kept`, its remaining words joined by blanks."""
+    """One row per document: id, `n_words`, `n_removed`, and `kept`, its remaining words joined by blanks. Only
+    documents that share one of `CELLS` cells with one that loses words are shuffled."""
     ready(documents.sparkSession)
     key = documents.schema[id_col].dataType.simpleString()
     found = marks(documents, id_col, text_col, window, **settings)
     # a row per document that loses words; no more stretches than it has words
-    found = found.groupBy("id", "row").agg(F.collect_list(F.struct("start", "windows")).alias("stretches"))
-    source = only(documents, id_col, text_col).toDF("id", "text").withColumn("text", F.col("text").cast("binary"))
-
-    def hashed(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(table):
-            rows = pa.array([row_hash(t or b"") for t in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, rows], ["id", "text", "row"])
+    found = settled(found.groupBy("id", "row").agg(F.collect_list(F.struct("start", "windows")).alias("stretches")))
+    source = only(documents, id_col, text_col).toDF("id", "text")
+    cell = F.pmod(F.xxhash64("id", "row"), F.lit(CELLS))
+    rows = source.withColumn("row", F.xxhash64("text")).withColumn("cell", cell)
+    cells = F.broadcast(found.select(cell.alias("cell")).distinct())
 
     def remove(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(table):
@@ -355,7 +357,9 @@ def without_repeats(
             ]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_removed", "kept"])
 
-    rows = source.mapInArrow(hashed, f"id {key}, text binary, row long")
-    joined = rows.join(found, ["id", "row"], "left").select("id", "text", "stretches")
+    clear = rows.join(cells, "cell", "left_anti").withColumn("stretches", F.lit(None).cast(found.schema["stretches"].dataType))
+    rest = rows.join(cells, "cell", "left_semi").join(found, ["id", "row"], "left")
+    joined = clear.select("id", "text", "stretches").unionByName(rest.select("id", "text", "stretches"))
+    joined = joined.withColumn("text", F.col("text").cast("binary"))
     out = joined.mapInArrow(remove, f"id {key}, n_words long, n_removed long, kept binary")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))

@@ -135,3 +135,10 @@ def test_words_and_their_hashes():
         assert least_of(values, width).tolist() == [min(values[i : i + width]) for i in range(61 - width)]
     hashes = RunHashes(np.tile(values[:7], 5)).of(np.array([0, 7, 14, 1]), np.array([4, 11, 18, 5]))
     assert len(set(hashes[:3].tolist())) == 1 and hashes[3] != hashes[0]
+
+
+def test_rows_are_hashed_as_spark_does(spark):
+    texts = ["", "a", "né漢 " * 50, "x" * 3000]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in table.selectExpr("xxhash64(text)").collect()]
+    assert got == [substrings.row_hash(t.encode()) for t in texts]
