@@ -8,10 +8,15 @@ leaves are no visits, and a query goes on until its leaves hold as many candidat
 Distances are computed in double precision on the original vectors.
 
 A leaf's vectors, and the queries that visit it, meet in pieces of bounded size, so a leaf with a third of all
-vectors is searched by as many tasks as its size asks for. Vectors that are null, zero, of another length than
-most or hold null or non-finite components take no part, nor do those without an id. Repeated rows are
-candidates of their own; ties go to the smaller id; with fewer candidates than asked for all are returned.
-Other columns are ignored.
+vectors is searched by as many tasks as its size asks for, and only the vectors of a leaf that very many queries
+visit are copied for them. Of equal vectors only so many can be answers, those with the least ids; the others do
+not travel, so a vector that a third of all rows have is as cheap as any other.
+
+Vectors that are null, zero, of another length than most or hold null or non-finite components take no part, nor
+do those without an id. Repeated rows are candidates of their own. A query is an id with a vector: rows that repeat
+both are one query, rows that repeat the id with another vector are queries of their own, with a ranking each. Rows
+with a query's id are never its neighbours. Ties go to the smaller id; with fewer candidates than asked for all are
+returned. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -168,9 +173,18 @@ def drawn(rows: DataFrame, share: float, purpose: str) -> DataFrame:
     return rows.filter(draw < share)
 
 
+def answering(rows: DataFrame, k: int) -> DataFrame:
+    """The rows that can be among the `k` nearest of anything: of equal vectors the 2 k first by id, no more than k of
+    an id, so that k are left whichever id asks. Every task cuts to these before the shuffle."""
+    of_id = F.row_number().over(Window.partitionBy("vector", "id").orderBy(F.lit(0)))
+    by_id = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    rows = rows.withColumn("_place", of_id).filter(F.col("_place") <= k).drop("_place")
+    return rows.withColumn("_place", by_id).filter(F.col("_place") <= 2 * k).drop("_place")
+
+
 @dataclass
 class Index:
-    """The tree, every vector with its leaf, how many vectors each leaf has, and the visits of a search."""
+    """The tree, every vector that can be an answer with its leaf, how many vectors each leaf has, and the visits of a search."""
 
     tree: Tree
     rows: DataFrame
@@ -183,7 +197,7 @@ def build(
 ) -> Index | None:
     """Fit the tree, index every usable vector and calibrate; None if there is no usable vector."""
     spark = ready(table.sparkSession)
-    rows = usable(table, id_col, vector_col)
+    rows = settled(answering(usable(table, id_col, vector_col), k))
     n = rows.count()
     if not n:
         return None
@@ -245,22 +259,25 @@ def calibrated(indexed: DataFrame, tree: Tree, sizes: dict[int, int], n: int, k:
 def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     """`query`, `rank`, `id`, `score`: the `k` nearest of the visited vectors but those with the query's id.
 
-    `queries` has columns id and vector, as the index has.
+    `queries` has columns id and vector, as the index has; each different pair of them gets its ranking. `k` is at
+    most that of the index.
     """
     spark = ready(queries.sparkSession)
     key = index.rows.schema["id"].dataType.simpleString()
     own_key = queries.schema["id"].dataType.simpleString()
     sent = spark.sparkContext.broadcast(index.tree)
-    visits, sizes, pieces = index.visits, index.sizes, {leaf: -(-n // PIECE_ROWS) for leaf, n in index.sizes.items()}
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
+    visits, sizes = index.visits, index.sizes
 
-    def spread(of: Column) -> Column:
-        """How many pieces a leaf has: a lookup among at most MOST_LEAVES entries."""
-        large = {leaf: n for leaf, n in pieces.items() if n > 1}
+    def cut(counts: dict[int, int], most: int) -> Column:
+        """Into how many parts a leaf is cut: a lookup among at most MOST_LEAVES entries."""
+        large = {leaf: -(-n // most) for leaf, n in counts.items() if n > most}
         if not large:
             return F.lit(1)
         table = F.create_map(*(F.lit(x) for pair in large.items() for x in pair))
-        return F.coalesce(F.try_element_at(table, of), F.lit(1))
+        return F.coalesce(F.try_element_at(table, F.col("leaf")), F.lit(1))
+
+    def every(parts: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), parts - 1))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,39 +291,38 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
 
     # Rows with the query's id are no candidates, wherever they lie.
     own_rows = index.rows.join(queries.select("id").distinct(), "id", "left_semi").groupBy("id").count()
-    wanted = queries.select("id", "vector").join(own_rows, "id", "left")
+    wanted = queries.select("id", "vector").distinct().join(own_rows, "id", "left")
     wanted = wanted.select("id", "vector", (F.coalesce("count", F.lit(0)) + k).alias("wanted"))
     walked = wanted.mapInArrow(walk, f"query {own_key}, vector array<double>, leaves array<long>")
-    block = F.pmod(F.xxhash64("query"), F.lit(blocks))
-    seekers = walked.select("query", "vector", block.alias("block"), F.explode("leaves").alias("leaf"))
-    seekers = seekers.withColumn("piece", F.explode(F.sequence(F.lit(0), spread(F.col("leaf")) - 1)))
+    walked = settled(walked.withColumn("mark", F.xxhash64("query", "vector")))
+    seekers = walked.select("query", "mark", "vector", F.explode("leaves").alias("leaf"))
+    visitors = {r.leaf: r["count"] for r in seekers.groupBy("leaf").count().collect()}
+    pieces, blocks = cut(sizes, PIECE_ROWS), cut(visitors, BLOCK_QUERIES)
+    seekers = seekers.withColumn("piece", every(pieces)).withColumn("block", F.pmod("mark", blocks).cast("int"))
     # Rows are dealt among the pieces of their leaf whatever their values, since equal ids may be many.
-    piece = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), spread(F.col("leaf"))).cast("int")
-    rows = index.rows.withColumn("piece", piece)
-    if blocks > 1:
-        rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-            "block", F.col("block").cast("long")
-        )
-    else:
-        rows = rows.withColumn("block", F.lit(0).cast("long"))
+    piece = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), pieces).cast("int")
+    rows = index.rows.withColumn("piece", piece).withColumn("block", every(blocks))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        query, ids, gaps = [], [], []
+        query, marks, ids, gaps = [], [], [], []
         if left.num_rows and right.num_rows:
             names = right.column("id").to_numpy()
             vectors = matrix(right.column("vector"))
-            for own, found in zip(left.column("query").to_pylist(), distances(matrix(left.column("vector")), vectors)):
+            asking = zip(left.column("query").to_pylist(), left.column("mark").to_pylist())
+            for (own, mark), found in zip(asking, distances(matrix(left.column("vector")), vectors)):
                 near = np.flatnonzero(names != own)
                 if len(near) > k:
                     edge = np.partition(found[near], k - 1)[k - 1]
                     near = near[found[near] <= edge]
                 near = near[np.lexsort((names[near], found[near]))[:k]]
                 query += [own] * len(near)
+                marks += [mark] * len(near)
                 ids += names[near].tolist()
                 gaps += found[near].tolist()
         return pa.table(
             {
                 "query": pa.array(query, left.schema.field("query").type),
+                "mark": pa.array(marks, pa.int64()),
                 "id": pa.array(ids, right.schema.field("id").type),
                 "score": pa.array(gaps, pa.float64()),
             }
@@ -314,8 +330,8 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
 
     together = ["leaf", "piece", "block"]
     met = seekers.groupBy(*together).cogroup(rows.groupBy(*together))
-    met = met.applyInArrow(meet, f"query {own_key}, id {key}, score double")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "id"))
+    met = met.applyInArrow(meet, f"query {own_key}, mark long, id {key}, score double")
+    rank = F.row_number().over(Window.partitionBy("query", "mark").orderBy("score", "id"))
     return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query", "rank", "id", "score")
 
 
@@ -328,7 +344,8 @@ def neighbours(
 ) -> DataFrame:
     """The nearest neighbours of the rows that `is_query` (an expression on `id`) picks, among all rows."""
     index = build(table, id_col, vector_col, k)
+    asking = usable(table, id_col, vector_col).filter(is_query)
     if index is None:
         key = table.schema[id_col].dataType.simpleString()
         return table.sparkSession.createDataFrame([], f"query {key}, rank int, id {key}, score double")
-    return search(index, index.rows.filter(is_query).select("id", "vector"), k)
+    return search(index, asking, k)

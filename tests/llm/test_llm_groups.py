@@ -151,9 +151,7 @@ def test_rebalancing_moves_few_slots(spark, tmp_path):
     moved = sum(a != b for a, b in zip(owner, grown))
     held = [sum(loads[s] for s in range(4096) if grown[s] == shard) for shard in range(17)]
     assert max(held) - min(held) <= 0.01 * sum(held) / 17
-    assert moved < 1.3 * 4096 / 17 and sum(b == 16 for b in grown) > 4096 / 17 / 1.3
-    into_old = sum(a != b and b != 16 for a, b in zip(owner, grown))
-    assert into_old <= 0.1 * moved  # nearly all that moves goes to the new shard
+    assert moved < 1.3 * 4096 / 17 and all(b == 16 for a, b in zip(owner, grown) if a != b)
     path = str(tmp_path / "maps")
     sharding.store_map(spark, owner, 1, path)
     sharding.store_map(spark, grown, 2, path)
