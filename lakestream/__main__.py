@@ -14,11 +14,12 @@ from lakestream.operators.windows import window_report
 from lakestream.plans import maintenance
 from lakestream.plans.etl import run_etl, run_etl_batch
 from lakestream.plans.lake import Lake, build_gold, lake_sensors, read_lake, run_lake
-from lakestream.schemas import DEFAULT_RULES
+from lakestream.schemas import COMMITTED, DEFAULT_RULES
 from lakestream.session import prepare, streaming_session
 from lakestream.sources.batches import layout
 from lakestream.sources.log import LATEST, LogConfig, StartPosition, end_offsets, read_log_batch
 from lakestream.sources.zones import read_stream_output, register_views
+from lakestream.streaming.supervise import committed_offsets
 from lakestream.streaming.writers import LAKE_TRIGGER, STATS_TRIGGER
 
 SHOWN = 30
@@ -93,9 +94,15 @@ def batch_stats(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def lag(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Of a consumer whose committed offsets are given, or of the stream whose progress file is."""
+    """Of a consumer whose committed offsets are given, of the stream whose checkpoint is, or of the consumers in a
+    table of topic, partition and committed."""
     ends = end_offsets(read_log_batch(spark, log_of(args)))
-    committed = log_audit.offsets_from_json(spark, "committed", args.committed)
+    if args.checkpoint:
+        committed = committed_offsets(spark, args.checkpoint)
+    elif args.table:
+        committed = spark.read.schema(COMMITTED).parquet(args.table)
+    else:
+        committed = log_audit.offsets_from_json(spark, "committed", args.committed)
     table = log_audit.lag_flags(log_audit.lag_table(ends, committed))
     show(args, "Lag", table.orderBy("topic", "partition"))
     show(args, "Status", log_audit.lag_status(table))
@@ -147,7 +154,7 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
         return
     if layout(spark, zones.curated, zones.compacted) is not None:
         done = maintenance.compact_batches(
-            spark, zones.curated, zones.compacted, files_per_partition=args.target_files
+            spark, zones.curated, zones.compacted, files_per_partition=args.target_files, cluster_by=args.cluster_by
         )
         print(f"batches {done[0]} to {done[1]}, rows unchanged" if done else "no closed batch")
         if args.expire:
@@ -155,7 +162,12 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
         return
     where = F.expr(args.where) if args.where else None
     report = maintenance.compact(
-        spark, zones.curated, zones.compacted, files_per_partition=args.target_files, where=where
+        spark,
+        zones.curated,
+        zones.compacted,
+        files_per_partition=args.target_files,
+        where=where,
+        cluster_by=args.cluster_by,
     )
     show(args, "Compacted", report)
     rows = maintenance.verify_compaction(spark, zones.curated, zones.compacted, where)
@@ -231,9 +243,10 @@ def parser() -> argparse.ArgumentParser:
     command(batch_stats, "statistics of chunks of the log", log=True).add_argument(
         "--chunk", type=int, default=log_audit.CHUNK
     )
-    command(lag, "how far a consumer is behind", log=True).add_argument(
-        "--committed", required=True, help='offsets as Spark reports them: {"topic": {"0": 12}}'
-    )
+    position = command(lag, "how far a consumer is behind", log=True).add_mutually_exclusive_group(required=True)
+    position.add_argument("--committed", help='offsets as Spark reports them: {"topic": {"0": 12}}')
+    position.add_argument("--checkpoint", help="checkpoint folder of a Kafka stream")
+    position.add_argument("--table", help="Parquet table of topic, partition and committed")
     command(audit, "gaps and repeats of the log, and keys that are spread", log=True)
     sub = command(lake, "feed the raw and curated zones", log=True, lake_root=True)
     sub.add_argument("--no-raw", action="store_true")
@@ -248,6 +261,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--target-files", type=int, default=1, help="files per directory")
     sub.add_argument("--where", help="SQL condition on partition columns (a lake without batches)")
     sub.add_argument("--expire", action="store_true", help="remove the batches that ranges have replaced")
+    sub.add_argument("--cluster-by", nargs="+", default=(), metavar="COLUMN", help="columns to lay rows out by together")
     command(explore, "files and sizes of the zones", lake_root=True).add_argument(
         "--zone", choices=["raw", "curated", "consumption", "compacted"]
     )

@@ -22,6 +22,7 @@ from lakestream.checks.fixture import (
 )
 from lakestream.functions.payload import parse_readings
 from lakestream.operators import log_audit as audit
+from lakestream.operators import sketches
 from lakestream.operators.hash_tree import hash_tree_diff
 from lakestream.operators.quality import only_sensor
 from lakestream.operators.windows import window_bounds
@@ -29,7 +30,7 @@ from lakestream.plans.etl import statistics
 from lakestream.plans.lake import curated_readings
 from lakestream.schemas import SensorRules
 from lakestream.session import scratch_path
-from lakestream.sinks.batch import append_to_file_log
+from lakestream.sinks.batch import append_to_file_log, write_batch
 from lakestream.sources.log import (
     LogConfig,
     StartPosition,
@@ -419,6 +420,58 @@ def hash_tree_differences(spark: SparkSession, sf: str) -> DataFrame:
     return hash_tree_diff(zone, copy, buckets=16).drop("year", "month")
 
 
+_DELAYS = """delays AS (
+      SELECT date_trunc('hour', kafka_timestamp) AS hour, date_trunc('day', kafka_timestamp) AS day,
+             epoch_ms(kafka_timestamp) - ms AS delay FROM log)"""
+
+
+@check(
+    f"""{WITH_LOG}, {_DELAYS}
+    SELECT 'hour' AS span, hour AS start, count(*) AS readings, true AS close FROM delays GROUP BY 2
+    UNION ALL SELECT 'day', day, count(*), true FROM delays GROUP BY 2"""
+)
+def delay_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles of hours from stored sketches, and of days from the hours' sketches merged: each within the rank
+    error of the exact one."""
+    path = scratch_path(spark, "sketches")
+    readings = parse_readings(log(spark, sf))
+    write_batch(sketches.delay_sketches(readings), path)
+    stored = spark.read.parquet(path).withColumnRenamed("arrival_hour", "start")
+    days = sketches.merged_sketches(stored, [F.date_trunc("day", "start").alias("start")])
+    parts = []
+    for span, held in (("hour", stored), ("day", days)):
+        found = sketches.sketch_quantiles(held, (0.5, 0.95))
+        delays = readings.select(F.date_trunc(span, "kafka_timestamp").alias("start"), sketches.delay_ms().alias("delay"))
+        ranks = []
+        for name, share in (("p50_ms", 0.5), ("p95_ms", 0.95)):
+            below, upto = F.count_if(F.col("delay") < F.col(name)), F.count_if(F.col("delay") <= F.col(name))
+            slack = 0.02 * F.count(F.lit(1)) + 1
+            ranks.append((below <= share * F.count(F.lit(1)) + slack) & (upto >= share * F.count(F.lit(1)) - slack))
+        judged = delays.join(found, "start").groupBy("start", "readings").agg((ranks[0] & ranks[1]).alias("close"))
+        parts.append(judged.select(F.lit(span).alias("span"), "start", "readings", "close"))
+    return parts[0].unionByName(parts[1])
+
+
+@check(
+    f"""{WITH_LOG}, kept AS (
+      SELECT "partition", "offset" + 1 AS seq FROM log
+      WHERE "offset" % 7 <> 3 AND "offset" // 100 % 3 <> 1 AND day IN (9, 10)),
+    gaps AS (SELECT "partition", lag(seq) OVER (PARTITION BY "partition" ORDER BY seq) AS after, seq FROM kept)
+    SELECT "partition", after + 1 AS first, seq - 1 AS last, seq - after - 1 AS missing FROM gaps WHERE seq > after + 1"""
+)
+def sequence_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers missing from two days of messages, from bitmaps stored day by day."""
+    path = scratch_path(spark, "bitmaps")
+    readings = parse_readings(log(spark, sf)).withColumn("seq", F.col("offset") + 1)
+    kept = readings.filter((F.col("offset") % 7 != 3) & (F.expr("offset div 100") % 3 != 1))
+    day = F.dayofmonth("event_time").alias("day")
+    for number in (9, 10):
+        one = kept.filter(F.dayofmonth("event_time") == number)
+        sketches.presence_bitmaps(one, [day, "partition"]).write.mode("append").parquet(path)
+    merged = sketches.merged_bitmaps(spark.read.parquet(path), ["partition"])
+    return sketches.missing_ranges(merged, ["partition"])
+
+
 def _reconciled(spark: SparkSession, sf: str) -> DataFrame:
     """The damaged log against a curated zone that lost the views and holds the signups twice."""
     readings = parse_readings(broken_log(spark, sf))

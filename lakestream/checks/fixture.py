@@ -125,6 +125,11 @@ def positioned_records(spark: SparkSession, sf_dir: str, delay: Column | None =
     return _as_records(_positioned(spark, sf_dir, delay), body)
 
 
+def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event of each position of the log."""
+    return _positioned(spark, sf_dir).select("partition", "offset", "event_id")
+
+
 def log_path(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
         append_to_file_log(positioned_records(spark, sf_dir), path)

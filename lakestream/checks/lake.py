@@ -24,7 +24,7 @@ from lakestream.checks.fixture import (
 from lakestream.functions.columns import round_half_up
 from lakestream.functions.folders import delete_folder
 from lakestream.functions.payload import parse_readings
-from lakestream.operators import lake_audit, lake_queries
+from lakestream.operators import drift, lake_audit, lake_queries
 from lakestream.operators.lake_audit import partition_files
 from lakestream.operators.log_audit import batch_stats
 from lakestream.operators.quality import drop_malformed
@@ -480,3 +480,39 @@ def compaction_partial_rerun(spark: SparkSession, sf: str) -> DataFrame:
     verify_compaction(spark, source, target)
     kept = zone_as_written(spark, target)
     return kept.withColumns({c: F.col(c).cast("int") for c in ("year", "month", "day")})
+
+
+@check(f"""{WITH_LOG} SELECT sensor AS sensor_type, day, device_id, event_time, value, "partition", "offset" FROM log""")
+def clustered_zone(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated zone compacted with its rows in Z-order of device and time."""
+    target = scratch_path(spark, "clustered")
+    source = lake(spark, sf, "curated").curated
+    compact(spark, source, target, cluster_by=("device_id", "event_time"))
+    verify_compaction(spark, source, target)
+    zone = read_zone(spark, target, CURATED_ZONE)
+    return zone.select("sensor_type", "day", "device_id", "event_time", "value", "partition", "offset")
+
+
+@check(
+    f"""{WITH_LOG}, texts AS (SELECT CAST(day(kafka_timestamp) AS INTEGER) AS day, {sql_body()} AS body FROM log
+      WHERE event_id % 50 NOT IN (17, 18)),  -- bare NaN and Infinity, which DuckDB takes for JSON
+    objects AS (SELECT day, body FROM texts WHERE json_valid(body) AND json_type(body) = 'OBJECT'),
+    fields AS (SELECT day, body, unnest(json_keys(body)) AS field FROM objects),
+    found AS (
+      SELECT day, field, CASE json_type(body, '$.' || field) WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean'
+             WHEN 'DOUBLE' THEN 'number' WHEN 'NULL' THEN 'null' ELSE 'integer' END AS found, count(*) AS payloads
+      FROM fields GROUP BY ALL),
+    wanted AS (
+      SELECT * FROM (VALUES ('sensor', ['text', 'null']), ('value', ['number', 'integer', 'null']), ('unit', ['text', 'null']),
+        ('timestamp', ['integer', 'null']), ('device_id', ['text', 'null'])) t(field, taken))
+    SELECT day, field, CASE WHEN taken IS NULL THEN 'added' ELSE 'retyped' END AS drift, found, payloads
+    FROM found LEFT JOIN wanted USING (field) WHERE taken IS NULL OR NOT list_contains(taken, found)
+    UNION ALL
+    SELECT day, field, 'missing', NULL, n - coalesce(held, 0) FROM (SELECT day, count(*) AS n FROM objects GROUP BY 1), wanted
+    LEFT JOIN (SELECT day AS d, field AS f, sum(payloads)::BIGINT AS held FROM found GROUP BY 1, 2) ON d = day AND f = field
+    WHERE n > coalesce(held, 0)"""
+)
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """What the damaged payloads hold that the readers do not expect, by day."""
+    rows = broken_log(spark, sf).withColumn("raw_json", F.col("value").cast("string"))
+    return drift.schema_drift(rows.withColumn("day", F.dayofmonth("timestamp")), ["day"])

@@ -15,6 +15,7 @@ from lakestream.checks.fixture import (
     TOPIC,
     broken_config,
     check,
+    event_ids,
     log,
     log_config,
     log_path,
@@ -37,8 +38,8 @@ from lakestream.sinks.batch import write_batch
 from lakestream.sources.batches import layout, range_folder
 from lakestream.sources.log import LogConfig, read_log_stream
 from lakestream.sources.zones import read_or_empty, read_stream_output
-from lakestream.streaming import latest, seen, writers
-from lakestream.streaming.supervise import ProgressTotals, run_queries
+from lakestream.streaming import late, latest, seen, writers
+from lakestream.streaming.supervise import ProgressTotals, run_queries, window_state
 
 WITH_LOG = f"WITH {SQL_LOG}"
 
@@ -373,3 +374,36 @@ def deduplicated_by_ranges_stream(spark: SparkSession, sf: str) -> DataFrame:
     ranges = seen.read_seen(spark, path).groupBy("partition").agg(F.count(F.lit(1)).alias("ranges"))
     rows = parse_readings(seen.read_deduplicated(spark, path))
     return rows.join(ranges, "partition").select("partition", "offset", "sensor", "value", "ranges")
+
+
+@check(
+    f"""{WITH_LOG}, {SQL_WINDOWS}
+    SELECT window_start, window_end, sensor FROM windows
+    WHERE window_end > (SELECT max(ts) - INTERVAL '2 minutes' FROM events)"""
+)
+def open_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stopped stream still holds in its state: the windows that the watermark has not closed."""
+    root = scratch_path(spark, "etl")
+    run_etl(streaming_session(spark), log_config(spark, sf), root, RULES, trigger=None)
+    return window_state(spark, f"{root}/checkpoints/windows")
+
+
+@check(
+    f"""{WITH_LOG}, parts AS (
+      SELECT *, event_id * 7 % 4 AS batch, time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end FROM log),
+    latest AS (SELECT batch, max(event_time) AS latest FROM parts GROUP BY 1),
+    marks AS (SELECT b.batch, max(l.latest) - INTERVAL '2 minutes' AS watermark FROM latest b JOIN latest l ON l.batch < b.batch GROUP BY 1)
+    SELECT "partition", "offset", sensor, event_time, CAST(p.batch AS INTEGER) AS batch, watermark
+    FROM parts p JOIN marks m ON m.batch = p.batch WHERE window_end <= watermark"""
+)
+def late_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Four batches of one log, each with readings of all days: what the watermark of the batches before has closed."""
+    path, folder = scratch_path(spark, "late"), scratch_path(spark, "quarters")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in range(4):
+        quarter = log(spark, sf).join(event_ids(spark, sf), ["partition", "offset"])
+        quarter.filter(F.col("event_id") * 7 % 4 == part).drop("event_id").coalesce(1).write.mode("append").parquet(folder)
+        stream = read_log_stream(streaming_session(spark), LogConfig(TOPIC, format="parquet", path=folder))
+        late.keep_late(parse_readings(stream), path, checkpoint, trigger=None).awaitTermination()
+    found = late.read_late(spark, path).withColumnRenamed("ingest_batch", "batch")
+    return found.select("partition", "offset", "sensor", "event_time", "batch", "watermark")

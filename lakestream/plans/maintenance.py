@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestream.functions.folders import NULL_FOLDER, delete_folder, mark_complete
+from lakestream.functions.zorder import RANK_BITS, interleaved, quantile_bounds, with_ranks
 from lakestream.operators.lake_audit import list_files, partition_files
 from lakestream.operators.log_audit import fingerprint, fingerprint_columns, same_rows
 from lakestream.schemas import CURATED_PARTITIONS
@@ -61,6 +62,7 @@ def compact(
     target_bytes: int = TARGET_BYTES,
     where: Column | None = None,
     sort_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rewrite a zone to a new folder with at most `files_per_partition` files per directory, and report
     on it. `where`, on partition columns, compacts a part of the zone, such as the last closed month: the
@@ -71,7 +73,9 @@ def compact(
 
     A directory that would not fit its files at the target size gets as many as it fills, each written by a
     task of its own, so the largest directory never ends up in one task. Rows are spread by the file and
-    position they were read from, which a repeated task reproduces.
+    position they were read from, which a repeated task reproduces. With `cluster_by` they are spread and sorted by
+    the interleaved quantile ranks of several columns instead, so that filters on any of them skip files and row
+    groups; `sort_by` serves the first of its columns only.
     """
     zone = zone_as_written(spark, source)
     if where is not None:
@@ -84,7 +88,9 @@ def compact(
     if where is not None:
         listed = listed.filter(where)
     plan = planned_files(listed, partitions, target_bytes, files_per_partition)
-    _rewrite(zone.select("*", _place()), plan, target, partitions, where is not None, sort_by)
+    placed = zone.select("*", _place())
+    bounds = quantile_bounds(placed, cluster_by, F.col("_place")) if cluster_by else {}
+    _rewrite(placed, plan, target, partitions, where is not None, sort_by, bounds)
     if where is not None:
         for folder in stale_folders(spark, source, target, partitions, where):
             delete_folder(spark, folder)
@@ -103,17 +109,27 @@ def _rewrite(
     partitions: Sequence[str],
     keep_others: bool,
     sort_by: Sequence[str] = (),
+    bounds: Mapping[str, list] | None = None,
     complete: bool = True,
 ) -> None:
-    """Write rows with their `_place` into the files planned for their directories, a task for each file. Without
-    `complete` the folder has no `_SUCCESS` afterwards."""
+    """Write rows with their `_place` into the files planned for their directories, a task for each file; with the
+    `bounds` of some columns, clustered by them. Without `complete` the folder has no `_SUCCESS` afterwards."""
     columns = [F.col(f"`{c}`") for c in placed.columns if c != "_place"]
     total = plan.agg(F.sum("_files")).first()[0] or 1
     joined = placed.select("*", *_named(partitions)).join(plan, [f"_key_{p}" for p in partitions], "left")
-    slot = F.coalesce("_first", F.lit(0)) + F.pmod(F.col("_place"), F.coalesce("_files", F.lit(1)))
+    files = F.coalesce("_files", F.lit(1))
+    number = F.pmod(F.col("_place"), files)
+    order = [*partitions, *sort_by] if sort_by else []
+    if bounds:
+        joined, ranks = with_ranks(joined, bounds)
+        joined = joined.withColumn("_z", interleaved([F.col(r) for r in ranks]))
+        cells = 1 << (RANK_BITS * len(ranks))
+        number = F.least(F.floor(F.col("_z") * files / F.lit(cells)), files - 1)
+        order = [*partitions, "_z", *bounds]
+    slot = F.coalesce("_first", F.lit(0)) + number
     spread = joined.withColumn("_slot", slot.cast("int")).repartitionById(int(total), "_slot")
-    if sort_by:
-        spread = spread.sortWithinPartitions(*partitions, *sort_by)
+    if order:
+        spread = spread.sortWithinPartitions(*order)
     (
         spread.select(*columns)
         .write.mode("overwrite")
@@ -199,6 +215,7 @@ def compact_batches(
     files_per_partition: int = 1,
     target_bytes: int = TARGET_BYTES,
     merge_after: int = 8,
+    cluster_by: Sequence[str] = (),
 ) -> tuple[int, int] | None:
     """Compact the closed batches of a zone fed in batches (`sources.batches`) into a range, and return the
     first and the last; None if there is nothing to do.
@@ -236,9 +253,11 @@ def compact_batches(
 
     rows = reduce(union, frames)
     source = rows.drop("_place")
+    bounds = quantile_bounds(rows, cluster_by, F.col("_place")) if cluster_by else {}
     seen = Observation("compacted")
     plan = planned_files(reduce(union, listed), partitions, target_bytes, files_per_partition)
-    _rewrite(rows.observe(seen, *fingerprint_columns(source)), plan, target, partitions, False, complete=False)
+    observed = rows.observe(seen, *fingerprint_columns(source))
+    _rewrite(observed, plan, target, partitions, False, complete=False, bounds=bounds)
     written = zone_as_written(spark, target)
     if set(written.dtypes) != set(source.dtypes) or _found(written.select(*columns_of(source))) != seen.get:
         delete_folder(spark, target)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from lakestream.functions.folders import exists
 from lakestream.operators.log_audit import offsets_from_json
 
 
@@ -129,3 +130,31 @@ def stream_positions(spark: SparkSession, progress: dict) -> tuple[DataFrame, Da
 
     ends = offsets_from_json(spark, "end", *documents("latestOffset"))
     return ends, offsets_from_json(spark, "committed", *documents("endOffset"))
+
+
+def committed_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a Kafka stream has committed, from its checkpoint folder: topic, partition and `committed`, ready for
+    `log_audit.lag_table`; no rows before the first commit. The stream need not run."""
+    if not exists(spark, f"{checkpoint}/commits"):
+        return offsets_from_json(spark, "committed", "{}")
+    names = spark.read.text(f"{checkpoint}/commits").select(F.expr("try_cast(_metadata.file_name AS int)").alias("n"))
+    last = names.agg(F.max("n")).first()[0]
+    if last is None:
+        return offsets_from_json(spark, "committed", "{}")
+    lines = spark.read.text(f"{checkpoint}/offsets/{last}", wholetext=True).first()[0].splitlines()
+    # the format's version, the batch's metadata, then a line per source; of other sources than Kafka no JSON of topics
+    found = [line for line in lines[2:] if line.startswith("{") and '"logOffset"' not in line]
+    return offsets_from_json(spark, "committed", *found or ["{}"])
+
+
+def window_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows that a stream of `operators.windows.window_stats` still holds, from its checkpoint: window_start,
+    window_end and sensor, a row for each window that the watermark has not closed. The stream need not run; each
+    partition of the state is read by a task."""
+    state = spark.read.format("statestore").load(checkpoint)
+    keys = state.select("key.*")
+    window = next(f.name for f in keys.schema.fields if f.dataType.typeName() == "struct")
+    sensor = next(c for c in keys.columns if c != window)
+    return keys.select(
+        F.col(f"`{window}`.start").alias("window_start"), F.col(f"`{window}`.end").alias("window_end"), F.col(f"`{sensor}`").alias("sensor")
+    )

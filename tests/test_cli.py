@@ -5,6 +5,7 @@ import pytest
 from helpers import body, records
 from lakestream.__main__ import main
 from lakestream.plans.lake import Lake, curated_readings
+from lakestream.schemas import COMMITTED
 from lakestream.sinks.batch import append_to_file_log, write_curated
 
 
@@ -74,6 +75,12 @@ def test_log_commands(spark, places, tmp_path, capsys):
     main(["lag", *of, "--committed", '{"t": {"0": 3}}'])
     out = capsys.readouterr().out
     assert "behind" in out and "BEHIND" in out
+    done = str(tmp_path / "done")
+    spark.createDataFrame([("t", 0, 8)], COMMITTED).write.parquet(done)
+    main(["lag", *of, "--table", done])
+    assert "HEALTHY" in capsys.readouterr().out
+    main(["lag", *of, "--checkpoint", str(tmp_path / "none")])
+    assert "BEHIND" in capsys.readouterr().out
     main(["audit", *of])
     assert "Gaps" in capsys.readouterr().out
     main(["etl", *of, "--out", f"{root}/etl2", "--once"])
