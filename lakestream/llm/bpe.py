@@ -28,6 +28,8 @@ from lakestream.llm.corpus import batches, only, ready
 
 #: Entries of a generation of remembered words or stretches; four generations are some 200 MB a worker.
 REMEMBERED_WORDS = 250_000
+#: Characters of a word or stretch that is remembered, at most.
+REMEMBERED_SIZE = 64
 #: Letters from here on are split by the library's own patterns: they know the same Unicode version as its ids.
 RARE_LETTERS = "\u0250"
 #: Separators that str.split honours and the vocabulary's pattern does not.
@@ -46,7 +48,8 @@ class Recent(dict):
     """A mapping filled on demand that keeps what was asked for recently.
 
     Two generations of at most `limit` entries each: an entry that is asked for again moves to the young one,
-    and when that is full the old one goes.
+    and when that is full the old one goes. Keys of more than `REMEMBERED_SIZE` characters are made anew each time,
+    so the bytes held are bounded too.
     """
 
     def __init__(self, make: Callable[[str], str], limit: int):
@@ -57,6 +60,8 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > REMEMBERED_SIZE:
+            return value
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

@@ -30,8 +30,8 @@ from lakestream.llm.corpus import batches, only, ready, settled
 
 WINDOW = 1024
 CLOSING_ID = 0
-#: Pieces packed together; a run's memory and its last, unfilled windows are bounded by it.
-RUN_PIECES = 20_000
+#: Pieces packed together; a run's memory and its last, unfilled windows are bounded by it. And tasks at most.
+RUN_PIECES, MOST_TASKS = 20_000, 50_000
 #: The published word pattern of byte-level vocabularies of this kind (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Texts with characters from here on go to the library that owns the file: its Unicode version decides.
@@ -171,7 +171,8 @@ def pack(
 ) -> DataFrame:
     """The pieces with `sequence_id` and `offset`. Offsets in a sequence leave no gap from 0.
 
-    Runs have about `run_pieces` pieces; a task of more packs them run by run. Sequence ids are unique, and
+    Runs have about `run_pieces` pieces. There is a task for each, up to `MOST_TASKS`; one of more packs them run by
+    run. Sequence ids are unique, and
     ascending within a task. Without `total`, the number of pieces, the pieces are settled first to count
     them: right for pieces without ids, which are a few numbers each.
     """
@@ -179,7 +180,7 @@ def pack(
     if total is None:
         cut = settled(cut)
         total = cut.count()
-    runs = max(1, -(-total // run_pieces))
+    tasks = min(max(1, -(-total // run_pieces)), MOST_TASKS)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
     where = cut.columns.index(length_col)
 
@@ -204,7 +205,7 @@ def pack(
             yield from packed().to_batches()
 
     spark.conf.set("spark.sql.execution.sortBeforeRepartition", "true")
-    dealt = cut.repartition(runs)
+    dealt = cut.repartition(tasks)
     return dealt.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 

@@ -36,6 +36,8 @@ SHINGLE_WORDS = 3
 SEED = 42
 #: A group of more fingerprints than this is dealt again by the rest of their bits.
 LARGE_GROUP = 50_000
+#: Rows of groups, 20 bytes each, that a task holds at once, unless one group has more.
+HELD_ROWS = 500_000
 #: Children of a node, and fingerprints of a leaf.
 FAN_OUT = 16
 #: Fingerprints that search at once, from few to many, and the links found at once that halve their number.
@@ -253,22 +255,40 @@ def links(bits: DataFrame, radius: int = RADIUS, large_group: int = LARGE_GROUP)
         raise ValueError("four blocks find differences of at most 3 bits")
     keys = ["block", "part", "quarter"]
 
-    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in table if b.num_rows]
-        if not held:
-            return
-        rows = pa.Table.from_batches(held).combine_chunks()  # fingerprints: 20 bytes a row
+    def edges(rows: pa.Table) -> pa.RecordBatch:
         columns = [rows.column(k).to_numpy() for k in keys]
-        order = np.lexsort(columns)
-        codes = rows.column("bits").to_numpy()[order].view(np.uint64)
-        changed = np.zeros(len(order), bool)
+        changed = np.zeros(rows.num_rows, bool)
         for column in columns:
-            column = column[order]
             changed[1:] |= column[1:] != column[:-1]
-        a, b = linked(codes, np.cumsum(changed), radius)
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+        a, b = linked(rows.column("bits").to_numpy().view(np.uint64), np.cumsum(changed), radius)
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    return dealt(bits, large_group).repartition(*keys).mapInArrow(run, "a long, b long")
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come one after another; whole ones are searched as soon as `HELD_ROWS` rows are there."""
+        held, rows, most = [], 0, HELD_ROWS
+        for batch in table:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < most:
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks()
+            last = np.ones(rows, bool)
+            for key in keys:
+                column = whole.column(key).to_numpy()
+                last &= column == column[-1]
+            begin = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if begin:
+                yield edges(whole.slice(0, begin).combine_chunks())
+            held = whole.slice(begin).combine_chunks().to_batches()
+            rows -= begin
+            most = max(HELD_ROWS, 2 * rows)
+        if rows:
+            yield edges(pa.Table.from_batches(held).combine_chunks())
+
+    spread = dealt(bits, large_group).repartition(*keys).sortWithinPartitions(*keys)
+    return spread.mapInArrow(run, "a long, b long")
 
 
 def groups(marked: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:

@@ -184,8 +184,10 @@ class ArchiveWriter:
     def __init__(self, folder: str, name: str):
         self.system, base = files.FileSystem.from_uri(folder)
         self.system.create_dir(base, recursive=True)
+        # every attempt of a task has names of its own: not every file system replaces a file by renaming
+        name = f"{name}-{uuid.uuid4().hex}"
         self.final, self.path = f"{base}/{name}.zip", f"{folder}/{name}.zip"
-        self.own = f"{base}/.{name}-{uuid.uuid4().hex}"
+        self.own = f"{base}/.{name}"
         self.stream = self.system.open_output_stream(self.own)
         self.zip = zipfile.ZipFile(self.stream, "w", zipfile.ZIP_STORED, allowZip64=True)
         self.data = self.zip.open(zipfile.ZipInfo(DATA_MEMBER), "w", force_zip64=True)
