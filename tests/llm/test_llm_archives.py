@@ -153,13 +153,26 @@ def test_every_operator_is_registered_and_answers(spark):
 
     assert sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0])) == [
         "op1_toxicity", "op2_packing", "op3_simhash", "op4_quality", "op5_sharding", "op6_warc", "op7_ann",
-        "op8_langid", "op9_bpe", "op10_secrets",
+        "op8_langid", "op9_bpe", "op10_secrets", "op11_substrings", "op12_manifest", "op13_periodic",
     ]
     docs = spark.read.parquet(f"{DATA}/documents.parquet").count()
     for name in ("op1_toxicity", "op3_simhash", "op4_quality", "op5_sharding", "op8_langid", "op9_bpe"):
         assert queries.QUERIES[name](spark, DATA).select("doc_id").distinct().count() == docs
 
 
+@tables
+@pytest.mark.parametrize("name", ["op11_substrings", "op12_manifest", "op13_periodic"])
+def test_queries_against_their_sql(spark, name):
+    from lakestream.llm import queries
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    df = queries.QUERIES[name](spark, DATA)
+    result = connection.execute(queries.ORACLES[name])
+    assert df.columns == [c[0] for c in result.description]
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, result.fetchall()))
+
+
 @tables
 def test_stages_hand_on_documents(spark):
     import corpus_pipeline

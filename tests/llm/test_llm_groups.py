@@ -80,6 +80,19 @@ def test_dealing_again_loses_no_link(spark):
         assert len(set(zip(group, expected))) == len(set(group)) == len(set(expected))
 
 
+def test_groups_are_searched_as_they_come(spark, monkeypatch):
+    """With room for few rows the components are the same, also where one group has more."""
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(3)]
+    codes = sorted({rng.choice(base) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(400)})
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    bits = spark.createDataFrame([(c,) for c in signed], "bits long")
+    monkeypatch.setattr(simhash, "HELD_ROWS", 7)
+    roots = {r.node: r.root for r in components.connected(simhash.links(bits)).collect()}
+    group, expected = [roots.get(c, c) for c in signed], slow_groups(codes)
+    assert len(set(zip(group, expected))) == len(set(group)) == len(set(expected))
+
+
 def test_near_duplicates_of_odd_documents(odd, empty):
     found = simhash.near_duplicates(odd)
     assert found.columns == ["doc_id", "fingerprint", "component_id"]

@@ -134,3 +134,21 @@ def test_packing_odd_documents(odd, empty):
 def test_runs_of_bounded_length(odd):
     packed = packing.pack(packing.pieces(odd, BYTE), run_pieces=5).collect()
     assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed)
+
+
+def test_long_words_are_not_remembered():
+    recent = bpe.Recent(str.upper, 10)
+    for word in ("a" * 64, "b" * 65, "c" * 10_000):
+        assert recent[word] == word.upper()
+    assert set(recent) == {"a" * 64}
+
+
+def test_tasks_are_bounded(spark, monkeypatch):
+    """Runs are packed one after another where there would be more of them than tasks."""
+    monkeypatch.setattr(packing, "MOST_TASKS", 2)
+    rows = spark.range(900).selectExpr("id AS doc_id", "0L AS start", "1 + id * 37 % 1024 AS length")
+    packed = packing.pack(rows, run_pieces=100)
+    assert packed.rdd.getNumPartitions() <= 2
+    found = packed.groupBy("sequence_id").agg({"length": "sum", "offset": "max"}).collect()
+    assert all(r["sum(length)"] <= 1024 for r in found) and sum(r["sum(length)"] for r in found) == sum(1 + i * 37 % 1024 for i in range(900))
+    assert sum(r["sum(length)"] for r in found) / (1024 * len(found)) > 0.9
