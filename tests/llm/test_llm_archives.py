@@ -163,6 +163,8 @@ def test_every_operator_is_registered_and_answers(spark):
 @tables
 @pytest.mark.parametrize("name", ["op11_substrings", "op12_manifest", "op13_periodic"])
 def test_queries_against_their_sql(spark, name):
+    import duckdb
+
     from lakestream.llm import queries
 
     connection = duckdb.connect()
