@@ -202,8 +202,11 @@ def test_statistics_per_micro_batch(spark, session, feed, tmp_path):
     feed.add(*[("k", body("t", 9.0))])
     rows = parse_readings(src.read_log_stream(session, feed.config))
     writers.stream_batch_stats(rows, str(tmp_path / "o"), str(tmp_path / "c"), trigger=None).awaitTermination()
-    got = {(r.ingest_batch, r["count"], r.avg) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
-    assert got == {(0, 4, 1.5), (1, 1, 9.0)}
+    parts = spark.read.parquet(str(tmp_path / "o"))
+    assert {(r.ingest_batch, r["count"], r.total) for r in parts.collect()} == {(0, 4, 6.0), (1, 1, 9.0)}
+    # both hold some of one chunk
+    got = [(r["count"], r.min, r.max, r.avg) for r in writers.read_batch_stats(parts).collect()]
+    assert got == [(5, 0.0, 9.0, 3.0)]
 
 
 def test_one_failure_stops_the_others_and_is_raised(spark, session, feed, tmp_path):
