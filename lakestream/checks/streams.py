@@ -402,7 +402,7 @@ def late_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
     checkpoint = scratch_path(spark, "checkpoint")
     for part in range(4):
         quarter = log(spark, sf).join(event_ids(spark, sf), ["partition", "offset"])
-        quarter.filter(F.col("event_id") * 7 % 4 == part).drop("event_id").coalesce(1).write.mode("append").parquet(folder)
+        quarter.filter(F.col("event_id") * 7 % 4 == part).drop("event_id").write.mode("append").parquet(folder)
         stream = read_log_stream(streaming_session(spark), LogConfig(TOPIC, format="parquet", path=folder))
         late.keep_late(parse_readings(stream), path, checkpoint, trigger=None).awaitTermination()
     found = late.read_late(spark, path).withColumnRenamed("ingest_batch", "batch")

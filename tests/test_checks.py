@@ -61,3 +61,23 @@ def test_query(spark, sql, name):
     order = [[c[0] for c in result.description].index(c) for c in columns]
     expected = sorted((tuple(plain(r[i]) for i in order) for r in result.fetchall()), key=repr)
     assert got and got == expected
+
+
+@pytest.mark.parametrize("name", ["late_rows_stream"])
+def test_the_parts_of_a_log_are_written_by_many_tasks(spark, monkeypatch, name):
+    """A log of eight parts is fed in four batches, and no batch goes through a single task."""
+    folders, path_of = [], streams.scratch_path
+
+    def remembered(session, label):
+        path = path_of(session, label)
+        folders.extend([path] if label in ("cut", "quarters") else [])
+        return path
+
+    monkeypatch.setattr(streams, "scratch_path", remembered)
+    monkeypatch.setattr(streams, "log", lambda *args: fixture.log(*args).repartition(8))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        QUERIES[name](spark, DATA)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(folders) == 1 and streams.list_files(spark, folders[0]).count() > 8
