@@ -157,16 +157,14 @@ def dead_letter_stream(spark: SparkSession, sf: str) -> DataFrame:
 )
 def batch_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Chunk statistics of a stream; one batch takes the whole log here."""
-    return _streamed_chunks(spark, log_config(spark, sf))[0]
+    path = scratch_path(spark, "stats")
+    return _streamed_chunks(spark, log_config(spark, sf), path, scratch_path(spark, "checkpoint"))
 
 
-def _streamed_chunks(spark: SparkSession, config: LogConfig) -> tuple[DataFrame, str]:
-    path = scratch_path(spark, "stats")
+def _streamed_chunks(spark: SparkSession, config: LogConfig, path: str, checkpoint: str) -> DataFrame:
     readings = parse_readings(read_log_stream(streaming_session(spark), config))
-    writers.stream_batch_stats(
-        readings, path, scratch_path(spark, "checkpoint"), trigger=None
-    ).awaitTermination()
-    return writers.read_batch_stats(spark.read.parquet(path)), path
+    writers.stream_batch_stats(readings, path, checkpoint, trigger=None).awaitTermination()
+    return writers.read_batch_stats(spark.read.parquet(path))
 
 
 @check(
@@ -177,11 +175,12 @@ def _streamed_chunks(spark: SparkSession, config: LogConfig) -> tuple[DataFrame,
 )
 def batch_stats_many_batches(spark: SparkSession, sf: str) -> DataFrame:
     """The same chunks from micro-batches that cut them: every batch has some of each chunk's records."""
-    folder = scratch_path(spark, "cut")
+    folder, path = scratch_path(spark, "cut"), scratch_path(spark, "stats")
+    checkpoint = scratch_path(spark, "checkpoint")
+    config = LogConfig(TOPIC, format="parquet", path=folder)
     for part in range(4):
-        log(spark, sf).filter(F.col("offset") % 4 == part).coalesce(1).write.mode("append").parquet(folder)
-    config = LogConfig(TOPIC, format="parquet", path=folder, max_files_per_batch=1)
-    found, path = _streamed_chunks(spark, config)
+        log(spark, sf).filter(F.col("offset") % 4 == part).write.mode("append").parquet(folder)
+        found = _streamed_chunks(spark, config, path, checkpoint)
     batches = spark.read.parquet(path).select("ingest_batch").distinct().count()
     return found.withColumn("cut_somewhere", F.lit(batches == 4))
 
