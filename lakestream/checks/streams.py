@@ -340,7 +340,7 @@ def latest_by_device_stream(spark: SparkSession, sf: str) -> DataFrame:
     checkpoint = scratch_path(spark, "checkpoint")
     records = log(spark, sf)
     for part in range(4):
-        records.filter(F.col("offset") % 4 == part).coalesce(1).write.mode("append").parquet(folder)
+        records.filter(F.col("offset") % 4 == part).write.mode("append").parquet(folder)
         config = LogConfig(TOPIC, format="parquet", path=folder)
         readings = parse_readings(read_log_stream(streaming_session(spark), config))
         latest.maintain_changes(readings, path, checkpoint, trigger=None).awaitTermination()

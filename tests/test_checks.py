@@ -63,7 +63,7 @@ def test_query(spark, sql, name):
     assert got and got == expected
 
 
-@pytest.mark.parametrize("name", ["late_rows_stream", "batch_stats_many_batches"])
+@pytest.mark.parametrize("name", ["late_rows_stream", "batch_stats_many_batches", "latest_by_device_stream"])
 def test_the_parts_of_a_log_are_written_by_many_tasks(spark, monkeypatch, name):
     """A log of eight parts is fed in four batches, and no batch goes through a single task."""
     folders, path_of = [], streams.scratch_path
