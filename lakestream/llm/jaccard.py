@@ -15,11 +15,17 @@ connect what the ones before have not:
 
 A key of more shingles than fit a task (`HELD`) is cut: its probes go to all pieces of the rest, if they are few. If they
 are many, which is what a long passage in otherwise different texts makes, its sets are dealt again by their other
-keys as well: similar sets share one of those too, others scatter. After `DEALT` rounds of that, what is still large is
-compared piece by piece with piece.
+keys as well, up to `DEALT` times: most similar sets share one of those too, others scatter.
+
+4. What all sets of keys with many probes still owe each other is found by their rare shingles, with no chance in it.
+In an order that is the same for all, similar sets share one of the first size - SIMILARITY * size + 1 of each; the order
+puts the rarer first, so common passages stay out. Sets in several components that share such a shingle are compared in
+pairs, or, if more than `PAIRED` share it, in groups as above; there, what is large and has many probes is compared
+piece by piece with piece.
 
 What travels: keys and names of all sets, compressed texts of those only that share a key, once for each proposal and
-each open key. Which texts those are is known from a broadcast of at most `CELLS` numbers.
+each open key. Which texts those are is known from a broadcast of at most `CELLS` numbers, as is which shingles are rare:
+these are counted by cells.
 
 Words are separated by ASCII white space and A-Z are lower-cased; fewer words than a shingle are one. Null, empty
 and blank texts have the empty set, which is similar to itself only. Equal sets are compared once.
@@ -33,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestream.llm import simhash
@@ -47,6 +53,8 @@ SEED = 7
 PERMUTED, COUNTED = 2048, 1 << 15
 #: Shingles of the sets that meet in a task, and rounds in which the sets of larger keys are dealt again.
 HELD, DEALT = 1_000_000, 2
+#: Sets that share a rare shingle and are compared in pairs, at most.
+PAIRED = 64
 #: Numbers that are broadcast, at most, to tell which texts are wanted.
 CELLS = 1 << 18
 
@@ -205,11 +213,9 @@ def joined_groups(members: DataFrame, held: DataFrame, least: float) -> DataFram
     return texts.repartition("group").sortWithinPartitions("group", "node").mapInArrow(run, "a long, b long")
 
 
-def open_groups(members: DataFrame, nodes: DataFrame, most: int, rounds: int = DEALT) -> DataFrame:
-    """Groups in which the members (`key`, `node`, `size`, `root`) of open keys meet: `group`, `node`, `root`.
-
-    `nodes` has the `keys` of each node, by which members of large keys with many probes are dealt again.
-    """
+def _met(members: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """Groups, `group`, `node` and `root`, in which the members (`key`, `node`, `size`, `root`) of open keys meet, and the
+    members of large keys with many probes, each with a `place` in one of `pieces` pieces; None if there are none."""
     parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("held"))
     keys = parts.groupBy("key").agg(
         F.count(F.lit(1)).alias("roots"), F.sum("held").alias("held"), F.max(F.struct("held", "root")).alias("main")
@@ -223,28 +229,108 @@ def open_groups(members: DataFrame, nodes: DataFrame, most: int, rounds: int = D
     rows = members.join(keys, "key").withColumn("probe", F.col("root") != F.col("main"))
     whole = F.col("held") <= most
     few = ~whole & (F.col("probes") <= most)
-
-    def group(*parts) -> DataFrame:
-        return F.xxhash64("key", *parts).alias("group")
-
-    found = rows.filter(whole).select(group(F.lit(-1), F.lit(-1)), "node", "root")
+    found = rows.filter(whole).select(_group(F.lit(-1), F.lit(-1)), "node", "root")
     pieces = F.ceil(F.col("held") / F.lit(most)).cast("int")
     place = F.pmod(F.xxhash64("node", F.lit(SEED)), pieces).cast("int")
     every = F.sequence(F.lit(0), pieces - 1)
     cut = rows.filter(few).withColumn("piece", F.explode(F.when(F.col("probe"), every).otherwise(F.array(place))))
-    found = found.unionByName(cut.select(group(F.col("piece"), F.lit(-1)), "node", "root"))
-    many = rows.filter(~whole & ~few)
+    found = found.unionByName(cut.select(_group(F.col("piece"), F.lit(-1)), "node", "root"))
     if keys.filter(~whole & ~few).isEmpty():
+        return found, None
+    many = rows.filter(~whole & ~few).select("key", "node", "size", "root", place.alias("place"), pieces.alias("pieces"))
+    return found, many
+
+
+def _group(*parts: Column) -> Column:
+    return F.xxhash64("key", *parts).alias("group")
+
+
+def open_groups(members: DataFrame, nodes: DataFrame, most: int, rounds: int = DEALT) -> DataFrame:
+    """Groups in which the members (`key`, `node`, `size`, `root`) of open keys meet: `group`, `node`, `root`.
+
+    `nodes` has the `keys` of each node, by which members of large keys with many probes are dealt again. Those who
+    share no other key do not meet by that, so all these members are also named without a group, for `rare_links`.
+    """
+    found, many = _met(members, most)
+    if many is None:
+        return found
+    found = found.unionByName(many.select(F.lit(None).cast("long").alias("group"), "node", "root"))
+    if not rounds:
         return found
-    if rounds:
-        others = many.join(nodes.select("node", "keys"), "node")
-        again = others.withColumn("other", F.explode("keys")).filter("other <> key")
-        both = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
-        again = settled(again.select(both.alias("key"), "node", "size", "root").distinct())
-        return found.unionByName(open_groups(again, nodes, most, rounds - 1))
-    crossed = many.withColumn("piece", place).withColumn("with", F.explode(every))
-    pair = group(F.least("piece", "with"), F.greatest("piece", "with"))
-    return found.unionByName(crossed.select(pair, "node", "root"))
+    others = many.join(nodes.select("node", "keys"), "node")
+    again = others.withColumn("other", F.explode("keys")).filter("other <> key")
+    both = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
+    again = settled(again.select(both.alias("key"), "node", "size", "root").distinct())
+    return found.unionByName(open_groups(again, nodes, most, rounds - 1))
+
+
+# ---- rare shingles ----
+
+
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def cell_counts(texts: DataFrame) -> np.ndarray:
+    """How many shingles of the sets in `packed` are in each cell."""
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CELLS, np.int64)
+        for batch in batches(table):
+            for packed in batch.column(0).to_pylist():
+                np.add.at(counts, _cells(opened(packed)), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["cell", "n"])
+
+    found = texts.select("packed").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    table = found.toArrow()  # at most `CELLS` rows
+    counts = np.zeros(CELLS, np.int64)
+    counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    return counts
+
+
+def first_shingles(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The first shingles of a set, those in rarer cells before others: two sets of a similarity of `least` or more
+    share at least `least` times the size of either, and so one of these."""
+    shared = int(np.ceil(least * len(hashes) - 1e-6))
+    return hashes[np.lexsort((hashes, counts[_cells(hashes)]))[: len(hashes) - shared + 1]]
+
+
+def _rare_members(texts: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
+    """`key`, one of the first shingles of a set, with its `node`, `size` and `root`."""
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(table, 1 << 20):
+            keys = [first_shingles(opened(packed), counts, least) for packed in batch.column(3).to_pylist()]
+            at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            rows = batch.select([0, 1, 2]).take(pa.array(at))
+            columns = [pa.array(np.concatenate(keys).view(np.int64)), *rows.columns]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "root"])
+
+    chosen = texts.select("node", "size", "root", "packed")
+    return chosen.mapInArrow(run, "key long, node long, size long, root long")
+
+
+def rare_links(rest: DataFrame, held: DataFrame, least: float, most: int) -> DataFrame:
+    """Edges `a`, `b` that join components of `rest` (`node`, `size`, `root`): all its links are in the components then."""
+    texts = rest.join(held, "node")
+    rare = settled(_rare_members(texts, cell_counts(texts), least))
+    keys = rare.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    members = settled(rare.join(settled(keys.filter("low <> high").select("key", "n")), "key"))
+
+    few = members.filter(F.col("n") <= PAIRED)
+    left = few.select("key", F.col("node").alias("a"), F.col("root").alias("of_a"), F.col("size").alias("size_a"))
+    right = few.select("key", F.col("node").alias("b"), F.col("root").alias("of_b"), F.col("size").alias("size_b"))
+    alike = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(least) - F.lit(1e-6)
+    pairs = left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & alike)
+    edges = verified(settled(pairs.select("a", "b").distinct()), held, least)
+
+    found, many = _met(members.filter(F.col("n") > PAIRED).drop("n"), most)
+    if many is not None:
+        crossed = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        pair = _group(F.least("place", "with"), F.greatest("place", "with"))
+        found = found.unionByName(crossed.select(pair, "node", "root"))
+    return edges.unionByName(joined_groups(found, held, least))
 
 
 def _near_fingerprints(nodes: DataFrame) -> DataFrame:
@@ -292,7 +378,11 @@ def groups(
     edges = settled(verified(proposed, held, least))
     placed = settled(_rooted(members.select("key", "node", "size"), connected(edges)))
     meeting = open_groups(placed, nodes, most)
-    edges = edges.unionByName(settled(joined_groups(meeting, held, least)))
+    edges = edges.unionByName(settled(joined_groups(meeting.filter("group is not null"), held, least)))
+    rest = settled(meeting.filter("group is null").select("node").distinct())
+    if not rest.isEmpty():
+        rest = settled(_rooted(rest.join(nodes.select("node", "size"), "node"), connected(edges)))
+        edges = edges.unionByName(settled(rare_links(rest, held, least, most)))
     found = settled(_rooted(nodes.select("node", "least"), connected(edges)))
     ids = settled(found.groupBy("root").agg(F.min("least").alias("component_id")))
     named = found.join(ids, "root").select("node", "component_id")

@@ -179,6 +179,67 @@ def test_large_keys_are_cut_and_dealt_again(spark, monkeypatch):
         assert got == truth
 
 
+def pair_in_one_large_key(seed=5, fillers=40):
+    """Two similar texts that share one key only, far apart by fingerprint, among others that share just that key."""
+    rng = random.Random(seed)
+
+    def word():
+        return f"v{rng.randrange(10**9)}"
+
+    while True:
+        a = [word() for _ in range(100)]
+        b = list(a)
+        for at in (20, 70):
+            b[at] = word()
+        sets = [jaccard.shingles(" ".join(t).encode()) for t in (a, b)]
+        keys = [set(jaccard.band_keys(s).tolist()) for s in sets]
+        apart = (jaccard.bits_of(sets[0]) ^ jaccard.bits_of(sets[1])) & (2**64 - 1)
+        if len(keys[0] & keys[1]) == 1 and jaccard.similarity(*sets) >= 0.8 and apart.bit_count() > 3:
+            break
+    key = (keys[0] & keys[1]).pop()
+    band = jaccard.band_keys(sets[0]).tolist().index(key)
+    rows = slice(band * jaccard.ROWS, (band + 1) * jaccard.ROWS)
+    low = (sets[0] >> np.uint64(32)).astype(np.uint32)
+    least = set(sets[0][((low ^ jaccard.FLIPPED[rows]) * jaccard.FACTORS[rows]).argmin(axis=1)].tolist())
+    spans = [a[i : i + 5] for i in range(96) if jaccard.shingles(" ".join(a[i : i + 5]).encode())[0] in least]
+    texts = [" ".join(a), " ".join(b)]
+    while len(texts) < 2 + fillers:
+        rng.shuffle(spans)
+        text = " ".join([w for s in spans for w in s] + [word() for _ in range(10)])
+        if key in jaccard.band_keys(jaccard.shingles(text.encode())).tolist():
+            texts.append(text)
+    return texts
+
+
+def test_similar_sets_that_share_only_a_large_key_are_linked(spark, monkeypatch):
+    """No key but one brings the two together, and that one has too many shingles and probes for a task."""
+    texts = pair_in_one_large_key()
+    truth = slow_components(texts)
+    assert truth[:2] == [0, 0] and len(set(truth)) > 30
+    for most in (300,):
+        assert compared(spark, texts, monkeypatch, most=most)[1] == truth
+
+
+def test_links_by_rare_shingles_are_those_of_all_pairs(spark, monkeypatch):
+    """In pairs and in groups, whole, cut and crossed: sets around a few centres, at either side of the limit."""
+    texts = near_group(60) + near_texts(80, 21) + shared_passage_texts(30)
+    sets = [jaccard.shingles(t.encode()) for t in texts]
+    names = [jaccard.name_of(s) for s in sets]
+    table = spark.createDataFrame([(n, t.encode()) for n, t in dict(zip(names, texts)).items()], "node long, text binary")
+    held = jaccard.settled(jaccard.squeezed(table))
+    rows = [(n, len(s), n) for n, s in dict(zip(names, sets)).items()]
+    rest = jaccard.settled(spark.createDataFrame(rows, "node long, size long, root long"))
+    truth = slow_components(texts)
+    for paired, most in ((64, 1_000_000), (3, 1_000_000), (1, 4000), (1, 600)):
+        monkeypatch.setattr(jaccard, "PAIRED", paired)
+        roots = {n: n for n in names}
+        for edge in jaccard.rare_links(rest, held, 0.8, most).collect():
+            x, y = roots[edge.a], roots[edge.b]
+            roots = {n: min(x, y) if r in (x, y) else r for n, r in roots.items()}
+        got = [roots[n] for n in names]
+        assert len(set(zip(got, truth))) == len(set(got)) == len(set(truth))
+
+
 def test_fingerprint_of_a_set():
     rng = np.random.default_rng(3)
     for n in (0, 1, 2, 7, 40_000):
